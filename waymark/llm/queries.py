@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, simhash, token_ids, topk, warc
+from . import decontaminate, quality, secrets, simhash, token_ids, topk, warc
 from . import mixture as mixing
 from ._shared import table
 
@@ -48,6 +48,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -65,7 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_topk, op4_token_ids, op5_secrets, op7_mixture, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_warc, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op9_simhash, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
