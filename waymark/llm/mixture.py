@@ -27,7 +27,7 @@ CAP = 3.0
 SEED = 42
 #: Hash ranges that the documents of a length are counted by.
 RANGES = 1024
-#: The dynamic programme covers at most this many tokens; the same-share step and a greedy step leave less than the longest length.
+#: The dynamic programme covers at most this many tokens.
 MOST_BUDGET = 1 << 18
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -60,8 +60,9 @@ def targets(sizes: DataFrame, share: float = 1.0, weights: tuple[float, ...] = W
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length (positive, ascending) to take so that the tokens come near ``budget``.
 
-    The same share of every length, then greedily from the longest down, both without passing the budget; then an exact
-    subset sum for what is missing, over the documents that are left. The shortfall is the least that those can make.
+    The same share of every length takes all but four times the longest length; then an exact subset sum fits what is
+    missing, over the documents that are left: the sum that comes nearest, of equals the smaller. Where the missing part is
+    more than ``MOST_BUDGET``, the longest documents that fit are taken first.
     """
     taken = np.zeros(len(lengths), np.int64)
     size = int((lengths * counts).sum())
@@ -69,22 +70,23 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         return taken
     if budget >= size:
         return counts.astype(np.int64)
-    taken = np.minimum(counts, [int(c) * budget // size for c in counts]).astype(np.int64)
+    shared = max(0, budget - min(MOST_BUDGET, 4 * int(lengths[-1])))
+    taken = np.array([int(c) * shared // size for c in counts], np.int64)
     rest = budget - int((lengths * taken).sum())
     for k in range(len(lengths) - 1, -1, -1):
-        if rest <= min(MOST_BUDGET, int(lengths[-1])):
+        if rest <= MOST_BUDGET:
             break
-        more = min(rest // int(lengths[k]), int(counts[k] - taken[k]))
+        more = min(-(-(rest - MOST_BUDGET) // int(lengths[k])), rest // int(lengths[k]), int(counts[k] - taken[k]))
         taken[k] += more
         rest -= more * int(lengths[k])
-    if rest > MOST_BUDGET:  # only texts longer than the table are left: the greedy step was all
+    if rest > MOST_BUDGET:  # only texts longer than the rest are left
         return taken
-    full = (1 << rest + 1) - 1
-    reach, came = 1, {}
+    most = rest + min(rest, int(lengths[-1]))
+    full, reach, came = (1 << most + 1) - 1, 1, {}
     for k, (length, left) in enumerate(zip(lengths.tolist(), (counts - taken).tolist(), strict=True)):
-        if length > rest or reach >> rest & 1:
+        if length > most or reach >> rest & 1:
             break
-        left, step = min(left, rest // length), 1
+        left, step = min(left, most // length), 1
         while left > 0:  # binary splitting of the count
             n = min(step, left)
             new = (reach << n * length) & full & ~reach
@@ -93,7 +95,7 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
                     came[s] = (k, n)
                 reach |= new
             left, step = left - n, step * 2
-    at = reach.bit_length() - 1
+    at = min(_set_bits(reach), key=lambda s: (abs(s - rest), s))
     while at:
         k, n = came[at]
         taken[k] += n

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, secrets, simhash, token_ids, topk, warc
+from . import decontaminate, pii, quality, secrets, simhash, token_ids, topk, warc
 from . import mixture as mixing
 from ._shared import table
 
@@ -31,6 +31,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.convert(table(spark, sf_dir, "pages")))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.col("found")).alias("spans")
+    )
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -69,7 +76,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_warc, op2_pii, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op9_simhash, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
