@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii, quality, secrets, simhash, token_ids, topk, warc
+from . import decontaminate, line_dedup, pii, quality, secrets, simhash, token_ids, topk, warc
 from . import mixture as mixing
 from ._shared import table
 
@@ -63,6 +63,10 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -76,7 +80,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_pii, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_warc, op2_pii, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op8_line_dedup, op9_simhash, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
