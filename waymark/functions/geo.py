@@ -36,19 +36,16 @@ def _vector(point: Column) -> list[Column]:
 def interpolate(start: Column, end: Column, fraction: Column) -> Column:
     """The point at a fraction of the great circle between two points, to 6 decimals.
 
-    Ends are exact; equal points give that point; between antipodes the circle goes over the axis that is furthest from
-    the start.
+    Ends are exact; equal points give that point; between antipodes the circle goes through a point at right angles.
     """
     a, b = _vector(start), _vector(end)
     dot = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), a[0] * b[0] + a[1] * b[1] + a[2] * b[2]))
     omega = F.acos(dot)
     sine = F.sin(omega)
     antipodal = (sine < 1e-9) & (dot < 0)
-    # the axis of the start's smallest component, made orthogonal to the start
-    smallest = F.least(F.abs(a[0]), F.abs(a[1]), F.abs(a[2]))
-    pick = F.when(F.abs(a[0]) == smallest, 0).when(F.abs(a[1]) == smallest, 1).otherwise(2)
-    along = F.when(pick == 0, a[0]).when(pick == 1, a[1]).otherwise(a[2])
-    raw = [F.when(pick == i, 1.0).otherwise(0.0) - along * a[i] for i in range(3)]
+    # at right angles to the start and to the x axis if the start leans least on that, else to the start and the z axis
+    least_x = (F.abs(a[0]) <= F.abs(a[1])) & (F.abs(a[0]) <= F.abs(a[2]))
+    raw = [F.when(least_x, 0.0).otherwise(a[1]), F.when(least_x, a[2]).otherwise(-a[0]), F.when(least_x, -a[1]).otherwise(0.0)]
     size = F.sqrt(raw[0] * raw[0] + raw[1] * raw[1] + raw[2] * raw[2])
     target = [F.when(antipodal, raw[i] / size).otherwise(b[i]) for i in range(3)]
     angle = F.when(antipodal, F.lit(math.pi / 2)).otherwise(omega)

@@ -158,10 +158,8 @@ def load(files: DataFrame, text: str = "text", number: str = "number", repair_br
 
 def evidence_rows(records: DataFrame, record: str = "record", keep: tuple[str, ...] = ("number",)) -> DataFrame:
     """``(*keep, ord, pos, path, quote)``: every quotation with the path that leads to it, in the order of the schema."""
-    lists = [
-        F.transform(f"{record}.{p}", lambda x, i, p=p, n=n: F.struct(F.lit(n).alias("ord"), i.alias("pos"), F.format_string(f"{p}[%d].evidence", i).alias("path"), x["evidence"].alias("quote")))
-        for n, p in enumerate(EVIDENCE)
-    ]
+    one = lambda n, p: lambda x, i: F.struct(F.lit(n).alias("ord"), i.alias("pos"), F.format_string(f"{p}[%d].evidence", i).alias("path"), x["evidence"].alias("quote"))
+    lists = [F.transform(f"{record}.{p}", one(n, p)) for n, p in enumerate(EVIDENCE)]
     own = F.array(F.struct(F.lit(6).alias("ord"), F.lit(-1).alias("pos"), F.lit("time.evidence").alias("path"), F.col(f"{record}.time.evidence").alias("quote")))
     each = records.select(*keep, F.explode(F.concat(*lists, own)).alias("_e")).select(*keep, "_e.*")
     return each.filter(F.coalesce(K.strip(F.col("quote")), F.lit("")) != "")
@@ -173,7 +171,8 @@ def place_uses(records: DataFrame, record: str = "record", keep: tuple[str, ...]
     stage = f"{record}.narrative.on_stage"
     lists = [F.transform(f"{record}.places_visited", one("visited", "name_in_text")), F.transform(f"{record}.places_mentioned", one("mentioned", "name_in_text"))]
     lists += [F.transform(stage, one("on_stage", c)) for c in ("at_name_in_text", "between_from", "between_to")]
-    ords = F.concat(*[F.transform(x, lambda u, n=n: F.struct(F.lit(n).alias("ord"), u["pos"].alias("pos"), u["how"].alias("how"), u["name"].alias("name"), u["evidence"].alias("evidence"))) for n, x in enumerate(lists)])
+    ranked = lambda n: lambda u: F.struct(F.lit(n).alias("ord"), u["pos"].alias("pos"), u["how"].alias("how"), u["name"].alias("name"), u["evidence"].alias("evidence"))
+    ords = F.concat(*[F.transform(x, ranked(n)) for n, x in enumerate(lists)])
     return records.select(*keep, F.explode(ords).alias("_u")).select(*keep, "_u.*").filter(F.coalesce(K.strip(F.col("name")), F.lit("")) != "")
 
 

@@ -50,7 +50,7 @@ def split_chapters(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def contents_titles(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(CONTENTS), F.lit(2)), K.normalize)
+    return F.transform(F.regexp_extract_all(text, F.lit(CONTENTS), F.lit(2)), lambda t: K.normalize(t))
 
 
 def itinerary_block(text: Column) -> Column:

@@ -198,3 +198,47 @@ def indel_ratios(part: DataFrame) -> DataFrame:
 def chapter_selections(events: DataFrame) -> DataFrame:
     spec = F.expr("(1 + event_id % 5) || '-' || (5 + event_id % 7) || ' ,12'")
     return events.select("event_id", F.expr("1 + event_id % 5").alias("lo"), F.expr("5 + event_id % 7").alias("hi"), F.concat(F.lit("["), F.array_join(segment.chapter_selection(spec), ", "), F.lit("]")).alias("picked"))
+
+
+@declare(QUERIES, "select conv_id, row_number() over (partition by conv_id order by turn)::int number, upper(role) title, trim(text, ' ' || chr(10)) body from conversations where text not like '%' || chr(10) || chr(10) || '%' and conv_id not in (select conv_id from conversations where trim(text) = '')")
+def book_chapters(conversations: DataFrame) -> DataFrame:
+    """Each conversation printed as a book, and cut into its chapters again."""
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    good = conversations.join(conversations.filter("trim(text) = ''").select("conv_id"), "conv_id", "left_anti").withColumn("n", F.row_number().over(order))
+    page = F.concat(F.lit("CHAPTER "), K.int_to_roman(F.col("n")), F.lit(".\n"), F.upper("role"), F.lit("\n\n"), "text", F.lit("\n\n"))
+    books = good.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", page.alias("p")))), lambda x: x["p"]), "").alias("text"))
+    odd = good.filter(F.col("text").contains("\n\n")).select("conv_id", F.col("n").alias("number"))
+    return segment.split_chapters(books).select("conv_id", "number", "title", "body").join(odd, ["conv_id", "number"], "left_anti")
+
+
+@declare(QUERIES, "select conv_id::int conv_id, format('places_visited[{}].evidence', rn - 1) path, trim(text, ' ' || chr(10)) quote from (select *, row_number() over (partition by conv_id order by turn) rn from conversations) where conv_id > 0 and trim(text, ' ' || chr(10)) <> ''")
+def extraction_evidence(conversations: DataFrame) -> DataFrame:
+    """Each conversation as an extraction record in JSON, some within code fences; parsed, coerced, and its evidence exploded."""
+    visit = F.struct(F.col("role").alias("name_in_text"), F.lit("arrival").alias("role"), F.col("text").alias("evidence"))
+    lists = conversations.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", visit.alias("v")))), lambda x: x["v"]).alias("places_visited"))
+    number = F.col("conv_id").cast("int")
+    plain = F.to_json(F.struct(number.alias("chapter"), "places_visited"))
+    text = F.when(number % 2 == 0, F.concat(F.lit("```json\n"), plain, F.lit("\n```"))).otherwise(plain)
+    loaded = extraction.load(lists.filter("conv_id > 0").select(number.alias("number"), text.alias("text")))
+    return extraction.evidence_rows(loaded.filter("error is null")).select(F.col("number").alias("conv_id"), "path", "quote")
+
+
+@declare(QUERIES, "select conv_id::int conv_id, case conv_id % 5 when 0 then 'empty' when 1 then 'malformed' when 2 then 'mismatch' when 3 then 'unknown_keys' else 'bad_role' end error from (select distinct conv_id from conversations)")
+def extraction_errors(conversations: DataFrame) -> DataFrame:
+    number = F.col("conv_id").cast("int")
+    text = F.expr(
+        "case conv_id % 5 when 0 then ' ' when 1 then '{\"chapter\": ' when 2 then '{\"chapter\": ' || (conv_id + 1) || '}' "
+        "when 3 then '{\"chapter\": ' || conv_id || ', \"colour\": 1}' else '{\"chapter\": ' || conv_id || ', \"places_visited\": [{\"name_in_text\": \"x\", \"role\": \"sleeping\", \"evidence\": \"y\"}]}' end"
+    )
+    loaded = extraction.load(conversations.select("conv_id").distinct().select(number.alias("number"), text.alias("text")))
+    return loaded.select(F.col("number").alias("conv_id"), "error")
+
+
+@declare(QUERIES, "select conv_id::int conv_id, role as key, count(*)::bigint uses, min(rn)::bigint first_turn from (select *, row_number() over (partition by conv_id order by turn) rn from conversations) group by all")
+def place_uses(conversations: DataFrame) -> DataFrame:
+    """Places used per record, by key: here the roles that speak in a conversation."""
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    named = conversations.withColumn("n", F.row_number().over(order)).select("conv_id", "n", F.lit(0).alias("ord"), F.col("turn").alias("pos"), F.lit("visited").alias("how"), F.concat(F.lit("The "), F.initcap("role")).alias("name"), F.col("text").alias("evidence"))
+    summary = extraction.place_summary(named.withColumn("name", F.concat("conv_id", F.lit("|"), "name")), "n")
+    parts = F.split("key", r"\|the ")
+    return summary.select(parts[0].cast("int").alias("conv_id"), parts[1].alias("key"), "uses", F.col("first_chapter").cast("long").alias("first_turn"))
