@@ -91,3 +91,21 @@ def attach(rows: DataFrame, values: DataFrame, key: str, counts: str, total: int
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+#: Bits of a map of keys, and of one of its rows.
+MAP_BITS, ROW_BITS = 1 << 26, 1 << 15
+
+
+def marked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key has its bit in a map of the keys ``wanted``: all of those, and few others.
+
+    The map has ``MAP_BITS`` bits whatever the input, in rows of ``ROW_BITS``, and is broadcast. When very many keys are
+    wanted it lets more pass, and nothing else changes: what follows is a join on the key itself.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    bits = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / ROW_BITS).alias("_map_row")).agg(F.bitmap_construct_agg(F.col("bit") % ROW_BITS).alias("_map"))
+    at = rows.withColumn("_bit", bit).withColumn("_map_row", F.floor(F.col("_bit") / ROW_BITS)).join(F.broadcast(bits), "_map_row")
+    place = (F.col("_bit") % ROW_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring("_map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return at.filter(F.getbit(byte, place % 8) == 1).select(*rows.columns)

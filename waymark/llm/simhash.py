@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import attach, materialise, prepare, text_or_empty
+from ._shared import attach, marked, materialise, prepare, text_or_empty
 from .components import connected_components
 
 SEED = 42
@@ -58,10 +58,25 @@ def _ones(digests: bytes) -> np.ndarray:
     return total
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """The unsigned SimHash of a text: a bit is 1 if over half of the shingles' XXH64 have it."""
-    digest, total, n, tail = xxhash.xxh64_digest, np.zeros(BITS, np.int64), 0, []
+def _mixed(digests: bytes, k: int) -> bytes:
+    """Other hashes out of XXH64 digests: themselves for 0, else spread anew by the finaliser of SplitMix64."""
+    if not k:
+        return digests
+    x = np.frombuffer(digests, ">u8").astype(np.uint64) + np.uint64((k * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).astype(">u8").tobytes()
+
+
+def fingerprints_of(text: str | None, words: int = 3, count: int = 1) -> list[int]:
+    """``count`` independent unsigned SimHashes of a text, the first by XXH64 itself."""
+    digest, total, n, tail = xxhash.xxh64_digest, np.zeros((count, BITS), np.int64), 0, []
     seen = 0
+
+    def add(digests: bytes) -> None:
+        for k in range(count):
+            total[k] += _ones(_mixed(digests, k))
+
     for more in _words((text or "").encode("utf-8", "surrogatepass").lower()):
         seen += len(more)
         part = tail + more
@@ -69,12 +84,18 @@ def fingerprint(text: str | None, words: int = 3) -> int:
             ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1) - 1
             starts = np.concatenate(([0], ends[:-1] + 1))
             line, m = b" ".join(part), len(part) - words + 1
-            total += _ones(b"".join([digest(line[s:e], SEED) for s, e in zip(starts[:m].tolist(), ends[words - 1 :].tolist(), strict=True)]))
+            add(b"".join([digest(line[s:e], SEED) for s, e in zip(starts[:m].tolist(), ends[words - 1 :].tolist(), strict=True)]))
             n += m
         tail = part[1 - words :] if words > 1 else []
     if not n and seen:
-        total, n = _ones(digest(b" ".join(tail), SEED)), 1
-    return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
+        add(digest(b" ".join(tail), SEED))
+        n = 1
+    return [int.from_bytes(np.packbits(2 * t > n).tobytes(), "big") for t in total]
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """The unsigned SimHash of a text: a bit is 1 if over half of the shingles' XXH64 have it."""
+    return fingerprints_of(text, words)[0]
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -201,11 +222,66 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return joined.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the smallest id of their component (all rows of that id).
+def shingle_set(text: str | None, words: int) -> set[bytes]:
+    """The different runs of ``words`` words of a text; of fewer words, the whole."""
+    out, tail, seen = set(), [], 0
+    for more in _words((text or "").encode("utf-8", "surrogatepass").lower()):
+        seen += len(more)
+        part = tail + more
+        out.update(b" ".join(part[i : i + words]) for i in range(len(part) - words + 1))
+        tail = part[1 - words :] if words > 1 else []
+    return out or ({b" ".join(tail)} if seen else out)
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose texts (``node, t``) have a Jaccard similarity of word shingles that high."""
 
-    A row with a null id stays only if its whole component has none.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                p, q = shingle_set(x, words), shingle_set(y, words)
+                both = len(p & q)
+                keep.append(both >= similarity * (len(p) + len(q) - both))
+            yield batch.loc[keep, ["a", "b"]]
+
+    wanted = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+    own = materialise(marked(texts, wanted, "node").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    both = pairs.join(own.select(F.col("node").alias("a"), F.col("t").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("t").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInPandas(run, "a binary, b binary")
+
+
+def near_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 3, prints: int = 5, print_words: int = 3
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that have the smallest id of their group of near copies (all rows of that id).
+
+    Near copies have a Jaccard similarity of ``similarity`` or more in their sets of runs of ``words`` words. Equal texts
+    are one node. Candidates are nodes of which one of ``prints`` independent SimHashes differs in at most ``radius``
+    bits, found by the trie join; each is verified on the whole texts, and groups follow verified links. Texts that share
+    a fingerprint are each held against one of them. A row with a null id stays only if its whole group has none.
     """
-    placed = simhash_components(docs, id_col, text_col, words, radius)
-    keep = placed.filter(F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep"]), "left_semi")
+    spark = docs.sparkSession
+    prepare(spark)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")).withColumn("node", F.unhex(F.md5("t")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = np.array([fingerprints_of(x, print_words, prints) for x in batch["t"]], np.uint64).reshape(-1, prints)
+            yield pd.DataFrame({"id": batch["id"], "node": batch["node"], "fps": list(found.astype(np.int64))})
+
+    own = materialise(rows.mapInPandas(run, "id long, node binary, fps array<long>"), "fingerprints")
+    nodes = materialise(own.groupBy("node").agg(F.min("id").alias("least"), F.first("fps").alias("fps")), "nodes")
+    pairs = None
+    for k in range(prints):
+        held = nodes.select("node", F.get("fps", F.lit(k)).alias("fp"))
+        reps = materialise(held.groupBy("fp").agg(F.min("node").alias("rep")), "prints")
+        star = held.join(reps, "fp").filter("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+        near = hamming_pairs(reps.select("fp"), radius).join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
+        more = star.unionByName(near.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+        pairs = more if pairs is None else pairs.unionByName(more)
+    pairs = materialise(pairs.distinct(), "pairs")
+    roots = connected_components(_similar(pairs, rows.select("node", "t"), words, similarity))
+    placed = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = placed.groupBy("root").agg(F.min("least").alias("_keep")).select("_keep").distinct()
+    return docs.join(least, docs[id_col].eqNullSafe(least["_keep"]), "left_semi")
