@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark import sources
 from waymark.functions import text as K
-from waymark.operators import evidence, extraction, payload, position, resolve, review, segment, validate
+from waymark.operators import evidence, extraction, payload, position, report, resolve, review, segment, validate
 from waymark.streaming import incremental
 
 BOOK = (
@@ -189,3 +189,20 @@ def test_chapter_rules(spark):
 
 def one_prompt(spark, text):
     return spark.range(1).select(K.render_prompt(F.lit("{{N}}: {{CHAPTER_TEXT}}"), F.lit(1), F.lit(text)).alias("p")).first().p
+
+
+def test_report(spark):
+    rows = [(1, "a[0].evidence", "exact", "q", 1.0, None), (1, "b", "near_miss", "they  went", 0.9, "they\nwent on"), (2, "c", "missing", "gone", 0.2, "x")]
+    checks = spark.createDataFrame(rows, "number int, path string, kind string, quote string, ratio double, closest string")
+    assert [(r.kind, r.n) for r in report.summary(checks).orderBy("ord").collect()] == [("exact", 1), ("normalised", 0), ("case_insensitive", 0), ("ellipsis", 0), ("near_miss", 1), ("missing", 1)]
+    assert {r.number: (r.exact, r.missing) for r in report.per_chapter(checks).collect()} == {1: (1, 0), 2: (0, 1)}
+    assert report.failing_ratios(checks).first().ratios == [0.2, 0.9]
+    assert [report.count_blocking(checks, s).first().blocking for s in (False, True)] == [1, 2]
+    assert {r.item for r in report.markdown_items(checks).collect()} == {"- **chapter 01** `b` near_miss: they went\n  closest (0.90): they went on", "- **chapter 02** `c` missing: gone"}
+    doubts = spark.createDataFrame([("k", "Kholby", ["low confidence (0.30)"], "the\nend", 11)], "key string, name string, reasons array<string>, evidence string, chapter int")
+    candidates = spark.createDataFrame([("k", 1, "A", "Q1"), ("k", 2, "B", "Q2")], "key string, rank int, label string, qid string")
+    assert report.checklist_items(doubts, candidates).first().item == "- [ ] **Kholby**: low confidence (0.30)\n  > the end (chapter 11)\n  - or B (Q2)"
+    legs = segment.parse_itinerary(spark.createDataFrame([(TABLE,)], "text string"))
+    route = json.loads(report.route_document(segment.route_nodes(legs), legs).first().json)
+    assert route["cumulative_days"] == [0, 7, 20, 23] and route["total_days"] == 23 and len(route["legs"]) == 3
+    assert report.sniff_indent(report.render_json({"a": 1}, 4)) == 4
