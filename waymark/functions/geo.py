@@ -33,31 +33,42 @@ def _vector(point: Column) -> list[Column]:
     return [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]
 
 
+def _let(values: dict[str, Column], body) -> Column:
+    """``body`` of values that are made once, however often it names them."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), F.lit(0))
+
+
 def interpolate(start: Column, end: Column, fraction: Column) -> Column:
     """The point at a fraction of the great circle between two points, to 6 decimals.
 
     Ends are exact; equal points give that point; between antipodes the circle goes through a point at right angles.
     """
-    a, b = _vector(start), _vector(end)
-    dot = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), a[0] * b[0] + a[1] * b[1] + a[2] * b[2]))
-    omega = F.acos(dot)
-    sine = F.sin(omega)
-    antipodal = (sine < 1e-9) & (dot < 0)
-    # at right angles to the start and to the x axis if the start leans least on that, else to the start and the z axis
-    least_x = (F.abs(a[0]) <= F.abs(a[1])) & (F.abs(a[0]) <= F.abs(a[2]))
-    raw = [F.when(least_x, 0.0).otherwise(a[1]), F.when(least_x, a[2]).otherwise(-a[0]), F.when(least_x, -a[1]).otherwise(0.0)]
-    size = F.sqrt(raw[0] * raw[0] + raw[1] * raw[1] + raw[2] * raw[2])
-    target = [F.when(antipodal, raw[i] / size).otherwise(b[i]) for i in range(3)]
-    angle = F.when(antipodal, F.lit(math.pi / 2)).otherwise(omega)
-    share = F.when(antipodal, fraction * 2).otherwise(fraction)
-    below = F.when(antipodal, 1.0).otherwise(sine)
-    first, second = F.sin((1 - share) * angle) / below, F.sin(share * angle) / below
-    x, y, z = (first * a[i] + second * target[i] for i in range(3))
-    lat = F.degrees(F.atan2(z, F.sqrt(x * x + y * y)))
-    lon = F.degrees(F.atan2(y, x))
-    between = F.array(F.bround(lon, 6), F.bround(lat, 6))
-    same = (sine < 1e-9) & (dot > 0)
-    return F.when((fraction <= 0) | ((fraction < 1) & same), start).when(fraction >= 1, end).otherwise(between)
+    vectors = {f"a{i}": x for i, x in enumerate(_vector(start))} | {f"b{i}": x for i, x in enumerate(_vector(end))}
+
+    def turn(v: Column) -> Column:
+        dot = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), v["a0"] * v["b0"] + v["a1"] * v["b1"] + v["a2"] * v["b2"]))
+        return _let({"v": v, "omega": F.acos(dot), "fraction": fraction}, between)
+
+    def between(s: Column) -> Column:
+        a, b = [s["v"][f"a{i}"] for i in range(3)], [s["v"][f"b{i}"] for i in range(3)]
+        flat = F.sin(s["omega"]) < 1e-9
+        far = flat & (s["omega"] > 1)
+        # at right angles to the start and to the x axis if the start leans least on that, else to the start and the z axis
+        least_x = (F.abs(a[0]) <= F.abs(a[1])) & (F.abs(a[0]) <= F.abs(a[2]))
+        raw = [F.when(least_x, 0.0).otherwise(a[1]), F.when(least_x, a[2]).otherwise(-a[0]), F.when(least_x, -a[1]).otherwise(0.0)]
+        size = F.when(least_x, F.sqrt(a[1] * a[1] + a[2] * a[2])).otherwise(F.sqrt(a[0] * a[0] + a[1] * a[1]))
+        angle, share = F.when(far, F.lit(math.pi / 2)).otherwise(s["omega"]), F.when(far, s["fraction"] * 2).otherwise(s["fraction"])
+        weights = {"f": F.sin((1 - share) * angle) / F.sin(angle), "g": F.sin(share * angle) / F.sin(angle)}
+        target = {f"t{i}": F.when(far, raw[i] / size).otherwise(b[i]) for i in range(3)}
+        point = _let(weights | target | {f"a{i}": a[i] for i in range(3)}, lambda w: F.struct(*[(w["f"] * w[f"a{i}"] + w["g"] * w[f"t{i}"]).alias(n) for i, n in enumerate("xyz")]))
+        return F.when(flat & ~far, start).otherwise(_let({"p": point}, degrees))
+
+    def degrees(s: Column) -> Column:
+        p = s["p"]
+        lat = F.degrees(F.atan2(p["z"], F.sqrt(p["x"] * p["x"] + p["y"] * p["y"])))
+        return F.array(F.bround(F.degrees(F.atan2(p["y"], p["x"])), 6), F.bround(lat, 6))
+
+    return F.when(fraction <= 0, start).when(fraction >= 1, end).otherwise(_let(vectors, turn))
 
 
 def great_circle(start: Column, end: Column, samples: int = ARC_SAMPLES) -> Column:
