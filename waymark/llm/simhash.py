@@ -26,8 +26,11 @@ from .components import connected_components
 
 SEED = 42
 BITS = 64
-#: Fingerprints of one trie node at the depth where the join is dealt to tasks, on average.
-NODE_ROWS = 4096
+#: Fingerprints of one trie node at the depth where the join is dealt to tasks, on average, as long as that is at most ``MOST_DEPTH``.
+NODE_ROWS = 1 << 14
+MOST_DEPTH = 14
+#: Node pairs that are walked at once.
+MOST_WALKED = 1 << 18
 #: Two nodes are compared outright when they make no more pairs than this.
 LEAF_PAIRS = 64
 CHUNK = 1 << 20
@@ -119,44 +122,81 @@ def _cut(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: int) -> np.nda
 
 
 def trie_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Indices (into sorted uint64 arrays ``a`` and ``b``) of all pairs that differ in at most ``budget`` bits.
+    """All pairs of ``walk_pairs`` at once."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)), *walk_pairs(a, b, budget, depth, same)]
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+
+def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indices (into sorted uint64 arrays ``a`` and ``b``) of all pairs that differ in at most ``budget`` bits, in parts.
 
     ``depth`` leading bits are equal within ``a`` and within ``b``, and not compared here. ``same``: ``a`` is ``b``, and
     each unordered pair of two places is given once. All node pairs of a level are walked at once, in arrays.
     """
     if not len(a) or not len(b):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # a node pair: [al, ah) of a, [bl, bh) of b, and the bits that their paths differ in
-    al, ah, bl, bh, err = (np.array([x], np.int64) for x in (0, len(a), 0, len(b), 0))
+        return
     low_mask = np.uint64((1 << (BITS - depth)) - 1 if depth else (1 << BITS) - 1)
-    out_a, out_b = [], []
-    for bit in range(BITS - 1 - depth, -2, -1):
-        leaf = (ah - al) * (bh - bl) <= LEAF_PAIRS if bit >= 0 else np.ones(len(al), bool)
-        if leaf.any():
-            la, lb, n, width = al[leaf], bl[leaf], (ah - al)[leaf] * (bh - bl)[leaf], (bh - bl)[leaf]
-            for at in _slices(n):
-                k = np.repeat(np.arange(len(n))[at], n[at])
-                off = np.arange(len(k)) - np.repeat(np.cumsum(n[at]) - n[at], n[at])
-                i, j = la[k] + off // width[k], lb[k] + off % width[k]
-                keep = np.bitwise_count((a[i] ^ b[j]) & low_mask) <= budget
-                if same:
-                    keep &= i < j
-                out_a.append(i[keep])
-                out_b.append(j[keep])
-            al, ah, bl, bh, err = (x[~leaf] for x in (al, ah, bl, bh, err))
-        if not len(al):
-            break
-        am, bm = _cut(a, al, ah, bit), _cut(b, bl, bh, bit)
-        child = [(al, am, bl, bm, err), (am, ah, bm, bh, err), (al, am, bm, bh, err + 1), (am, ah, bl, bm, err + 1)]
-        al, ah, bl, bh, err = (np.concatenate(x) for x in zip(*child, strict=True))
-        live = (al < ah) & (bl < bh) & (err <= budget)
-        if same:
-            live &= al <= bl
-        al, ah, bl, bh, err = (x[live] for x in (al, ah, bl, bh, err))
-    return np.concatenate(out_a or [np.zeros(0, np.int64)]), np.concatenate(out_b or [np.zeros(0, np.int64)])
-
-
-def _slices(sizes: np.ndarray, most: int = 1 << 22) -> Iterator[slice]:
+
+    def down(bit: int, al: np.ndarray, ah: np.ndarray, bl: np.ndarray, bh: np.ndarray, err: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        # a node pair: [al, ah) of a, [bl, bh) of b, and the bits that their paths differ in
+        for bit in range(bit, -2, -1):
+            leaf = (ah - al) * (bh - bl) <= LEAF_PAIRS if bit >= 0 else np.ones(len(al), bool)
+            if leaf.any():
+                la, lb, n, width = al[leaf], bl[leaf], (ah - al)[leaf] * (bh - bl)[leaf], (bh - bl)[leaf]
+                for at in _slices(n):
+                    k = np.repeat(np.arange(len(n))[at], n[at])
+                    off = np.arange(len(k)) - np.repeat(np.cumsum(n[at]) - n[at], n[at])
+                    i, j = la[k] + off // width[k], lb[k] + off % width[k]
+                    keep = np.bitwise_count((a[i] ^ b[j]) & low_mask) <= budget
+                    if same:
+                        keep &= i < j
+                    yield i[keep], j[keep]
+                al, ah, bl, bh, err = (x[~leaf] for x in (al, ah, bl, bh, err))
+            if not len(al):
+                return
+            am, bm = _cut(a, al, ah, bit), _cut(b, bl, bh, bit)
+            child = [(al, am, bl, bm, err), (am, ah, bm, bh, err), (al, am, bm, bh, err + 1), (am, ah, bl, bm, err + 1)]
+            al, ah, bl, bh, err = (np.concatenate(x) for x in zip(*child, strict=True))
+            live = (al < ah) & (bl < bh) & (err <= budget)
+            if same:
+                live &= al <= bl
+            al, ah, bl, bh, err = (x[live] for x in (al, ah, bl, bh, err))
+            if len(al) > MOST_WALKED:
+                for at in range(0, len(al), MOST_WALKED // 4):
+                    yield from down(bit - 1, *(x[at : at + MOST_WALKED // 4] for x in (al, ah, bl, bh, err)))
+                return
+
+    yield from down(BITS - 1 - depth, *(np.array([x], np.int64) for x in (0, len(a), 0, len(b), 0)))
+
+
+class Forest:
+    """A spanning forest of links that come in parts: links that join nothing new are left out."""
+
+    def __init__(self, nodes: int) -> None:
+        self.label = np.arange(nodes)
+
+    def _root(self, x: int) -> int:
+        while self.label[x] != x:
+            x = int(self.label[x])
+        return x
+
+    def add(self, i: np.ndarray, j: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """Places of the links that are kept; those of lower ``order`` are taken first."""
+        at = np.flatnonzero(self.label[i] != self.label[j])
+        at = at[np.argsort(order[at], kind="stable")]
+        _, first = np.unique(self.label[i[at]] * len(self.label) + self.label[j[at]], return_index=True)
+        kept = []
+        for k in at[np.sort(first)].tolist():
+            x, y = self._root(int(i[k])), self._root(int(j[k]))
+            if x != y:
+                self.label[max(x, y)] = min(x, y)
+                kept.append(k)
+        while (self.label != (up := self.label[self.label])).any():
+            self.label = up
+        return np.array(kept, np.int64)
+
+
+def _slices(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[slice]:
     """Runs of nodes that make about ``most`` pairs at a time."""
     block = np.cumsum(sizes) // most
     edges = np.flatnonzero(np.diff(block)) + 1
@@ -164,22 +204,26 @@ def _slices(sizes: np.ndarray, most: int = 1 << 22) -> Iterator[slice]:
         yield slice(lo, hi)
 
 
-def hamming_pairs(distinct: DataFrame, radius: int) -> DataFrame:
-    """``(a, b)``: all pairs of different fingerprints (column ``fp``, each once) that differ in at most ``radius`` bits.
+def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True) -> DataFrame:
+    """``(a, b)``: pairs of different fingerprints (column ``fp``, each once) that differ in at most ``radius`` bits.
+
+    All pairs are found; of those that one group of the job finds, a ``spanning`` forest is given, nearest pairs first,
+    which reaches whatever all of them reach. So a large family of near fingerprints gives a link for each, not the
+    square of its size.
 
     The trie's bits are taken in order of balance, so that its upper nodes split evenly. It is cut at depth d, where a
     node has ``NODE_ROWS`` fingerprints on average. A fingerprint goes to its own node and to each node within the
-    radius (1 + d + d(d-1)/2 for radius 2): that grows with the square of the logarithm of the input.
+    radius: 1 + d + d(d-1)/2 for radius 2, at most 106 at the greatest depth, beyond which nodes grow instead.
     """
     ones = distinct.agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(1)).alias(f"b{i}") for i in range(BITS)]).first()
     if not ones.n:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
     order = sorted(range(BITS), key=lambda i: (abs(2 * (ones[f"b{i}"] or 0) - ones.n), -i))
-    depth = min(24, max(0, int(np.ceil(np.log2(ones.n / NODE_ROWS)))))
+    depth = min(MOST_DEPTH, max(0, int(np.ceil(np.log2(ones.n / NODE_ROWS)))))
     node = F.lit(0).cast("long")
     for k, i in enumerate(order[:depth]):
         node = node.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", i).bitwiseAND(1), depth - 1 - k))
-    masks = [m for m in range(1 << depth) if m.bit_count() <= radius] if depth <= 12 else _masks(depth, radius)
+    masks = [m for m in range(1 << depth) if m.bit_count() <= radius]
     dealt = distinct.select("fp", node.alias("node")).withColumn("other", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
     dealt = dealt.select("fp", F.least("node", F.col("node").bitwiseXOR(F.col("other"))).alias("lo"), F.greatest("node", F.col("node").bitwiseXOR(F.col("other"))).alias("hi"), (F.col("node") > F.col("node").bitwiseXOR(F.col("other"))).alias("high"))
 
@@ -195,18 +239,17 @@ def hamming_pairs(distinct: DataFrame, radius: int) -> DataFrame:
             at = np.argsort(turned[own], kind="stable")
             sides.append((turned[own][at], raw[own][at]))
         (a, raw_a), (b, raw_b) = sides[0], sides[0] if lo == hi else sides[1]
-        i, j = trie_pairs(a, b, radius - int(lo ^ hi).bit_count(), depth, lo == hi)
-        return pd.DataFrame({"a": raw_a[i].view(np.int64), "b": raw_b[j].view(np.int64)})
+        forest, out = Forest(len(a) + (len(b) if lo != hi else 0)), []
+        for i, j in walk_pairs(a, b, radius - int(lo ^ hi).bit_count(), depth, lo == hi):
+            if spanning and len(i):
+                kept = forest.add(i, j + (len(a) if lo != hi else 0), np.bitwise_count(a[i] ^ b[j]))
+                i, j = i[kept], j[kept]
+            out.append(pd.DataFrame({"a": raw_a[i].view(np.int64), "b": raw_b[j].view(np.int64)}))
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
 
     return dealt.groupBy("lo", "hi").applyInPandas(walk, "a long, b long")
 
 
-def _masks(depth: int, radius: int) -> list[int]:
-    from itertools import combinations
-
-    return [sum(1 << i for i in x) for r in range(radius + 1) for x in combinations(range(depth), r)]
-
-
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
     """``(id_col, fingerprint, component_id)`` of every row: 16 hex digits, and the smallest id that links reach.
 
@@ -246,13 +289,14 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
             yield batch.loc[keep, ["a", "b"]]
 
     wanted = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
-    own = materialise(marked(texts, wanted, "node").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    # an inner join: a semi-join would be moved below the map, and shuffle every text
+    own = materialise(marked(texts, wanted, "node").join(wanted, "node").dropDuplicates(["node"]), "texts")
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("t").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("t").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInPandas(run, "a binary, b binary")
 
 
 def near_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 3, prints: int = 5, print_words: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 4, prints: int = 5, print_words: int = 3
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that have the smallest id of their group of near copies (all rows of that id).
 
