@@ -71,13 +71,35 @@ def test_trie_pairs_over_many_nodes(spark):
     values = rng.integers(0, 2**63, 3000, dtype=np.int64)
     values = np.unique(np.concatenate([values, values[:300] ^ 5, values[:200] ^ (1 << 40)]))
     old, simhash.NODE_ROWS = simhash.NODE_ROWS, 64
+    want_all = simhash.trie_pairs(np.sort(values.view(np.uint64)), np.sort(values.view(np.uint64)), 4, same=True)
+    few, simhash.MOST_WALKED = simhash.MOST_WALKED, 16
+    again = simhash.trie_pairs(np.sort(values.view(np.uint64)), np.sort(values.view(np.uint64)), 4, same=True)
+    simhash.MOST_WALKED = few
+    assert sorted(zip(*(x.tolist() for x in want_all), strict=True)) == sorted(zip(*(x.tolist() for x in again), strict=True))
     try:
-        got = {tuple(sorted(r)) for r in simhash.hamming_pairs(spark.createDataFrame([(int(v),) for v in values], "fp long"), 2).collect()}
+        got = {tuple(sorted(r)) for r in simhash.hamming_pairs(spark.createDataFrame([(int(v),) for v in values], "fp long"), 2, spanning=False).collect()}
+        links = simhash.hamming_pairs(spark.createDataFrame([(int(v),) for v in values], "fp long"), 2)
+        reached = dict(map(tuple, connected_components(links).collect()))
     finally:
         simhash.NODE_ROWS = old
     bits = values.view(np.uint64)
     want = {tuple(sorted((int(values[i]), int(values[j])))) for i in range(len(bits)) for j in np.flatnonzero(np.bitwise_count(bits[i + 1 :] ^ bits[i]) <= 2) + i + 1}
     assert got == want
+    ids = sorted({x for p in want for x in p})
+    place = {x: k for k, x in enumerate(ids)}
+    near = {(place[x], place[y]) for x, y in want}
+    assert [reached[x] for x in ids] == brute.components(ids, lambda i, j: (j, i) in near)
+
+
+def test_forest_reaches_what_links_reach():
+    rng = np.random.default_rng(4)
+    for n, m in ((30, 20), (200, 2000)):
+        links, forest, kept = rng.integers(0, n, (m, 2)), simhash.Forest(n), []
+        for part in np.array_split(links, 7):
+            kept += part[forest.add(part[:, 0], part[:, 1], rng.integers(0, 3, len(part)))].tolist()
+        both = {(i, j) for i, j in links.tolist()} | {(j, i) for i, j in links.tolist()}
+        own = {(i, j) for i, j in kept} | {(j, i) for i, j in kept}
+        assert len(kept) < n and brute.components(list(range(n)), lambda i, j: (i, j) in both) == brute.components(list(range(n)), lambda i, j: (i, j) in own) == forest.label.tolist()
 
 
 def test_components(spark):
@@ -178,7 +200,10 @@ def test_token_files(odd, none):
     assert [r.doc_id for r in got] == [None, 1, 2, 3, 4, 4, 5, 6]
     assert [r.n_tokens for r in got[1:3]] == [1, 1] and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
     out = io.BytesIO()
-    token_ids.write_file(out, [7, None], [np.arange(20_000, dtype="<u4").tobytes(), b""])
+    file = token_ids.FileBuilder()
+    file.add(7, np.arange(20_000, dtype="<u4").tobytes())
+    file.add(None, b"")
+    assert file.write(out)[0] == 20_000
     out.seek(0)
     assert [(d, s, len(x)) for d, s, x in token_ids.read_file(out)] == [(7, 0, 20_000), (None, 20_000, 0)]
 

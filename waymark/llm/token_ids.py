@@ -43,8 +43,8 @@ MAGIC = b"WMS8"
 END_ID = 2
 #: Bytes of text in one range partition, and so in one file.
 FILE_TEXT = 64 << 20
-#: Words that a tokenizer remembers; when there are more it forgets all.
-MOST_CACHED = 1 << 20
+#: Words and parts of words that a tokenizer remembers; when there are more it forgets all. About 200 bytes each.
+MOST_WORDS, MOST_PARTS = 1 << 20, 1 << 20
 
 
 def encode_block(ids: np.ndarray) -> np.ndarray:
@@ -167,8 +167,9 @@ class WordCache:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian u32."""
-        if len(self.words) > MOST_CACHED or len(self.parts) > MOST_CACHED:
+        if len(self.words) > MOST_WORDS:
             self.words.clear()
+        if len(self.parts) > MOST_PARTS:
             self.parts.clear()
         first, *rest = AFTER_SPACE.split(text) if TWO_SPACES.search(text) else text.split(" ")
         out = [self.piece(first)] if first else []
@@ -184,21 +185,48 @@ class WordCache:
         return b"".join(out)
 
 
-def write_file(stream, doc_ids: list[int | None], parts: list[bytes]) -> tuple[int, int]:
-    """Write documents (ids as little-endian u32 each) in order; gives the number of ids and of words."""
-    lengths = np.array([len(p) // 4 for p in parts], "<i8")
-    ids = np.frombuffer(b"".join(parts), "<u4")
-    blocks = [encode_block(ids[at : at + BLOCK]) for at in range(0, len(ids), BLOCK)]
-    sizes = np.array([len(b) for b in blocks], "<u8")
-    words = np.concatenate(blocks) if blocks else np.zeros(0, np.uint64)
-    stream.write(MAGIC + struct.pack("<IQQQQ", 1, len(doc_ids), len(ids), len(blocks), len(words)))
-    stream.write(np.array([x or 0 for x in doc_ids], "<i8").tobytes())
-    stream.write(np.array([x is None for x in doc_ids], "u1").tobytes())
-    stream.write(lengths.tobytes())
-    stream.write((np.cumsum(sizes) - sizes).astype("<u8").tobytes())
-    stream.write(np.array([min(BLOCK, len(ids) - at) for at in range(0, len(ids), BLOCK)], "<u4").tobytes())
-    stream.write(words.astype("<u8").tobytes())
-    return len(ids), len(words)
+class FileBuilder:
+    """Documents in order, coded block by block as they come, so that ids are held for one block and one document."""
+
+    def __init__(self) -> None:
+        self.doc_ids: list[int | None] = []
+        self.lengths: list[int] = []
+        self.blocks: list[np.ndarray] = []
+        self.counts: list[int] = []
+        self.open = bytearray()
+
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        """A document's ids as little-endian u32."""
+        self.doc_ids.append(doc_id)
+        self.lengths.append(len(ids) // 4)
+        self.open += ids
+        whole = len(self.open) // (4 * BLOCK) * (4 * BLOCK)
+        if whole:
+            self._close(bytes(self.open[:whole]))
+            del self.open[:whole]
+
+    def _close(self, raw: bytes) -> None:
+        ids = np.frombuffer(raw, "<u4")
+        for at in range(0, len(ids), BLOCK):
+            part = ids[at : at + BLOCK]
+            self.blocks.append(encode_block(part))
+            self.counts.append(len(part))
+
+    def write(self, stream) -> tuple[int, int]:
+        """Write the file; gives the number of ids and of words."""
+        if self.open:
+            self._close(bytes(self.open))
+            self.open.clear()
+        sizes, total = np.array([len(b) for b in self.blocks], "<u8"), sum(self.counts)
+        stream.write(MAGIC + struct.pack("<IQQQQ", 1, len(self.doc_ids), total, len(self.blocks), int(sizes.sum())))
+        stream.write(np.array([x or 0 for x in self.doc_ids], "<i8").tobytes())
+        stream.write(np.array([x is None for x in self.doc_ids], "u1").tobytes())
+        stream.write(np.array(self.lengths, "<i8").tobytes())
+        stream.write((np.cumsum(sizes) - sizes).astype("<u8").tobytes())
+        stream.write(np.array(self.counts, "<u4").tobytes())
+        for block in self.blocks:
+            stream.write(block.astype("<u8").tobytes())
+        return total, int(sizes.sum())
 
 
 def read_file(stream) -> Iterator[tuple[int | None, int, np.ndarray]]:
@@ -247,16 +275,16 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col:
         from pyspark import TaskContext
 
         encode, end = _tokenizer(tokenizer).encode, np.array([end_id], "<u4").tobytes()
-        ids, texts = [], []
+        out = FileBuilder()
         for batch in batches:
-            ids += [None if pd.isna(x) else int(x) for x in batch["id"]]
-            texts += [encode(x) + end for x in batch["t"]]
-        if ids:
+            for doc, text in zip(batch["id"], batch["t"], strict=True):
+                out.add(None if pd.isna(doc) else int(doc), encode(text) + end)
+        if out.doc_ids:
             part = TaskContext.get().partitionId()
             file = f"{path}/part-{part:06d}-{uuid.uuid4().hex}.wms8"
             with open_output(file) as stream:
-                n, words = write_file(stream, ids, texts)
-            yield pd.DataFrame({"part": [part], "file": [file], "docs": [len(ids)], "ids": [n], "words": [words]})
+                n, words = out.write(stream)
+            yield pd.DataFrame({"part": [part], "file": [file], "docs": [len(out.doc_ids)], "ids": [n], "words": [words]})
 
     manifest = materialise(dealt.mapInPandas(run, "part int, file string, docs long, ids long, words long"), "manifest")
     start = F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
