@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from tests.llm import brute
 from waymark.llm import line_dedup
 
@@ -35,3 +37,16 @@ def test_lines_of_one_template(spark, monkeypatch):
     first = {}
     got = [first.setdefault(group.get(i, i), i) for i in range(len(lines))]
     assert got == want and 1 < len(set(want)) < len(lines)
+
+
+def test_similar_lines_meet_in_a_band(spark):
+    rng, pairs = random.Random(3), []
+    while len(pairs) < 1500:
+        words = [f"{rng.randrange(36**5):x}{'q' * rng.randint(1, 5)}" for _ in range(rng.choice([12, 14, 16, 20, 23, 32, 45, 60]))]
+        x, y = " ".join(words), varied(rng, words, max(1, len(words) // 16))
+        if 0.8 <= jaccard(characters(x), characters(y)) < 0.87:
+            pairs.append((x, y))
+    keys = lambda c: F.transform(line_dedup.bands(F.col(c)), lambda b: b["key"])
+    meet = spark.createDataFrame(pairs, "x string, y string").select(F.size(F.split("x", " ")).alias("n"), F.arrays_overlap(keys("x"), keys("y")).alias("ok"))
+    lost = meet.filter("not ok").groupBy("n").count().collect()
+    assert sum(r["count"] for r in lost) <= 3, lost
