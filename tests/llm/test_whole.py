@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from waymark.llm import line_dedup
+from waymark.llm import line_dedup, simhash
 
 DOCS = "doc_id long, text string, source string"
 
@@ -50,3 +50,19 @@ def test_similar_lines_meet_in_a_band(spark):
     meet = spark.createDataFrame(pairs, "x string, y string").select(F.size(F.split("x", " ")).alias("n"), F.arrays_overlap(keys("x"), keys("y")).alias("ok"))
     lost = meet.filter("not ok").groupBy("n").count().collect()
     assert sum(r["count"] for r in lost) <= 3, lost
+
+
+def kept_of_copies(texts, radius=64):
+    """The smallest place of every group of texts with a similarity of 0.8 or more, of those that a print has near."""
+    sets, prints = [simhash.shingle_set(x, 5) for x in texts], [simhash.fingerprints_of(x, 3, 5) for x in texts]
+    near = lambda i, j: min((x ^ y).bit_count() for x, y in zip(prints[i], prints[j], strict=True)) <= radius
+    return sorted(set(brute.components(list(range(len(texts))), lambda i, j: near(i, j) and jaccard(sets[i], sets[j]) >= 0.8)))
+
+
+def test_near_copies_verify_all_candidates(spark):
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(3000)}" for _ in range(400)]
+    texts = [varied(rng, words, rng.randint(4, 7)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)], DOCS)
+    want = kept_of_copies(texts, 4)
+    assert sorted(r.doc_id for r in simhash.near_dedup(docs, radius=4).collect()) == want and 1 <= len(want) < 150

@@ -34,6 +34,8 @@ MOST_WALKED = 1 << 18
 #: Two nodes are compared outright when they make no more pairs than this.
 LEAF_PAIRS = 64
 CHUNK = 1 << 20
+#: Bits within which forests of candidates for near copies are verified, before all candidates that are still apart.
+FIRST_RADIUS = 4
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -127,11 +129,12 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same:
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same: bool = False, top: int = 0, near: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Indices (into sorted uint64 arrays ``a`` and ``b``) of all pairs that differ in at most ``budget`` bits, in parts.
 
     ``depth`` leading bits are equal within ``a`` and within ``b``, and not compared here. ``same``: ``a`` is ``b``, and
-    each unordered pair of two places is given once. All node pairs of a level are walked at once, in arrays.
+    each unordered pair of two places is given once. Only pairs that differ in at most ``near`` of the leading ``top``
+    bits need be found. All node pairs of a level are walked at once, in arrays.
     """
     if not len(a) or not len(b):
         return
@@ -157,7 +160,7 @@ def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same:
             am, bm = _cut(a, al, ah, bit), _cut(b, bl, bh, bit)
             child = [(al, am, bl, bm, err), (am, ah, bm, bh, err), (al, am, bm, bh, err + 1), (am, ah, bl, bm, err + 1)]
             al, ah, bl, bh, err = (np.concatenate(x) for x in zip(*child, strict=True))
-            live = (al < ah) & (bl < bh) & (err <= budget)
+            live = (al < ah) & (bl < bh) & (err <= (near if bit >= BITS - top else budget))
             if same:
                 live &= al <= bl
             al, ah, bl, bh, err = (x[live] for x in (al, ah, bl, bh, err))
@@ -204,50 +207,66 @@ def _slices(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[slice]:
         yield slice(lo, hi)
 
 
-def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True) -> DataFrame:
+def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, blocks: int = 1) -> DataFrame:
     """``(a, b)``: pairs of different fingerprints (column ``fp``, each once) that differ in at most ``radius`` bits.
 
     All pairs are found; of those that one group of the job finds, a ``spanning`` forest is given, nearest pairs first,
     which reaches whatever all of them reach. So a large family of near fingerprints gives a link for each, not the
-    square of its size.
+    square of its size. Where ``distinct`` has a ``label``, its rows are fingerprints and labels, no forest is made, and
+    ``(a, x, b, y)`` are all pairs of fingerprints and their labels that have different labels.
 
     The trie's bits are taken in order of balance, so that its upper nodes split evenly. It is cut at depth d, where a
     node has ``NODE_ROWS`` fingerprints on average. A fingerprint goes to its own node and to each node within the
-    radius: 1 + d + d(d-1)/2 for radius 2, at most 106 at the greatest depth, beyond which nodes grow instead.
+    radius: 1 + d + d(d-1)/2 for radius 2, at most 106 at the greatest depth, beyond which nodes grow instead. For a wide
+    radius the bits are dealt to ``blocks``, each of which makes a trie with its own bits on top: pairs within the radius
+    differ in at most ``radius // blocks`` bits of one block, so that each trie stays narrow where it is large.
     """
+    labels = ["label"] if "label" in distinct.columns else []
     ones = distinct.agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(1)).alias(f"b{i}") for i in range(BITS)]).first()
     if not ones.n:
-        return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    order = sorted(range(BITS), key=lambda i: (abs(2 * (ones[f"b{i}"] or 0) - ones.n), -i))
-    depth = min(MOST_DEPTH, max(0, int(np.ceil(np.log2(ones.n / NODE_ROWS)))))
-    node = F.lit(0).cast("long")
-    for k, i in enumerate(order[:depth]):
-        node = node.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", i).bitwiseAND(1), depth - 1 - k))
-    masks = [m for m in range(1 << depth) if m.bit_count() <= radius]
-    dealt = distinct.select("fp", node.alias("node")).withColumn("other", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-    dealt = dealt.select("fp", F.least("node", F.col("node").bitwiseXOR(F.col("other"))).alias("lo"), F.greatest("node", F.col("node").bitwiseXOR(F.col("other"))).alias("hi"), (F.col("node") > F.col("node").bitwiseXOR(F.col("other"))).alias("high"))
+        return distinct.select(F.col("fp").alias("a"), *[F.col(x).alias("x") for x in labels], F.col("fp").alias("b"), *[F.col(x).alias("y") for x in labels])
+    even = sorted(range(BITS), key=lambda i: (abs(2 * (ones[f"b{i}"] or 0) - ones.n), -i))
+    own = [even[k::blocks] for k in range(blocks)]
+    orders = [top + [i for i in even if i not in top] for top in own]
+    depth = min(MOST_DEPTH, BITS // blocks, max(0, int(np.ceil(np.log2(ones.n / NODE_ROWS)))))
+    masks = [m for m in range(1 << depth) if m.bit_count() <= radius // blocks]
+    dealt = None
+    for block, order in enumerate(orders):
+        node = F.lit(0).cast("long")
+        for k, i in enumerate(order[:depth]):
+            node = node.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", i).bitwiseAND(1), depth - 1 - k))
+        part = distinct.select("fp", *labels, F.lit(block).alias("block"), node.alias("node")).withColumn("other", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
+        part = part.select("fp", *labels, "block", F.least("node", F.col("node").bitwiseXOR(F.col("other"))).alias("lo"), F.greatest("node", F.col("node").bitwiseXOR(F.col("other"))).alias("hi"), (F.col("node") > F.col("node").bitwiseXOR(F.col("other"))).alias("high"))
+        dealt = part if dealt is None else dealt.unionByName(part)
 
     def walk(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = key
+        block, lo, hi = key
         raw = group["fp"].to_numpy(np.int64).view(np.uint64)
+        label = group["label"].to_numpy(np.int64) if labels else raw
         turned = np.zeros(len(raw), np.uint64)
-        for k, i in enumerate(order):
+        for k, i in enumerate(orders[block]):
             turned |= (raw >> np.uint64(i) & np.uint64(1)) << np.uint64(BITS - 1 - k)
         side = group["high"].to_numpy(bool)
         sides = []
-        for own in (~side, side):
-            at = np.argsort(turned[own], kind="stable")
-            sides.append((turned[own][at], raw[own][at]))
-        (a, raw_a), (b, raw_b) = sides[0], sides[0] if lo == hi else sides[1]
+        for of in (~side, side):
+            at = np.argsort(turned[of], kind="stable")
+            sides.append((turned[of][at], raw[of][at], label[of][at]))
+        (a, raw_a, label_a), (b, raw_b, label_b) = sides[0], sides[0] if lo == hi else sides[1]
         forest, out = Forest(len(a) + (len(b) if lo != hi else 0)), []
-        for i, j in walk_pairs(a, b, radius - int(lo ^ hi).bit_count(), depth, lo == hi):
-            if spanning and len(i):
+        apart = int(lo ^ hi).bit_count()
+        top = len(own[block]) if blocks > 1 else 0
+        for i, j in walk_pairs(a, b, radius - apart, depth, lo == hi, top, radius // blocks - apart):
+            if labels:
+                keep = label_a[i] != label_b[j]
+                i, j = i[keep], j[keep]
+            elif spanning and len(i):
                 kept = forest.add(i, j + (len(a) if lo != hi else 0), np.bitwise_count(a[i] ^ b[j]))
                 i, j = i[kept], j[kept]
-            out.append(pd.DataFrame({"a": raw_a[i].view(np.int64), "b": raw_b[j].view(np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+            found = {"a": raw_a[i].view(np.int64), "x": label_a[i], "b": raw_b[j].view(np.int64), "y": label_b[j]}
+            out.append(pd.DataFrame(found if labels else {k: found[k] for k in "ab"}))
+        return pd.concat(out) if out else pd.DataFrame({k: [] for k in ("axby" if labels else "ab")}, dtype=np.int64)
 
-    return dealt.groupBy("lo", "hi").applyInPandas(walk, "a long, b long")
+    return dealt.groupBy("block", "lo", "hi").applyInPandas(walk, "a long, x long, b long, y long" if labels else "a long, b long")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
@@ -302,8 +321,10 @@ def near_dedup(
 
     Near copies have a Jaccard similarity of ``similarity`` or more in their sets of runs of ``words`` words. Equal texts
     are one node. Candidates are nodes of which one of ``prints`` independent SimHashes differs in at most ``radius``
-    bits, found by the trie join; each is verified on the whole texts, and groups follow verified links. Texts that share
-    a fingerprint are each held against one of them. A row with a null id stays only if its whole group has none.
+    bits, found by the trie join; each is verified on the whole texts, and groups follow verified links. Spanning forests
+    of the candidates are verified first; then all candidates that those links leave in different groups, whether they
+    share a fingerprint or not, as pairs within a group can change nothing. A row with a null id stays only if its whole
+    group has none.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -321,11 +342,22 @@ def near_dedup(
         held = nodes.select("node", F.get("fps", F.lit(k)).alias("fp"))
         reps = materialise(held.groupBy("fp").agg(F.min("node").alias("rep")), "prints")
         star = held.join(reps, "fp").filter("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
-        near = hamming_pairs(reps.select("fp"), radius).join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
+        near = hamming_pairs(reps.select("fp"), min(radius, FIRST_RADIUS)).join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
         more = star.unionByName(near.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
         pairs = more if pairs is None else pairs.unionByName(more)
     pairs = materialise(pairs.distinct(), "pairs")
-    roots = connected_components(_similar(pairs, rows.select("node", "t"), words, similarity))
+    links = materialise(_similar(pairs, rows.select("node", "t"), words, similarity), "links")
+    roots = connected_components(links)
+    labelled = materialise(nodes.join(roots, "node", "left").select("node", "fps", F.xxhash64(F.coalesce("root", "node")).alias("label")), "labels")
+    rest = None
+    for k in range(prints):
+        held = labelled.select("node", F.get("fps", F.lit(k)).alias("fp"), "label")
+        near = materialise(hamming_pairs(held.select("fp", "label").distinct(), radius, blocks=radius // 2 + 1).distinct(), "across")
+        near = near.join(held.toDF("x_node", "a", "x"), ["a", "x"]).join(held.toDF("y_node", "b", "y"), ["b", "y"])
+        more = near.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b"))
+        rest = more if rest is None else rest.unionByName(more)
+    rest = materialise(rest.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    roots = connected_components(links.unionByName(_similar(rest, rows.select("node", "t"), words, similarity)))
     placed = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("least").alias("_keep")).select("_keep").distinct()
     return docs.join(least, docs[id_col].eqNullSafe(least["_keep"]), "left_semi")
