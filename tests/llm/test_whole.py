@@ -66,3 +66,16 @@ def test_near_copies_verify_all_candidates(spark):
     docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)], DOCS)
     want = kept_of_copies(texts, 4)
     assert sorted(r.doc_id for r in simhash.near_dedup(docs, radius=4).collect()) == want and 1 <= len(want) < 150
+
+
+def test_near_copies_just_similar_enough(spark):
+    rng, texts, pairs = random.Random(11), [], 40
+    for k in range(pairs):
+        words = [f"w{rng.randrange(4000)}" for _ in range((60, 150, 400, 1000)[k % 4])]
+        other, changed = words, list(words)
+        while jaccard(simhash.shingle_set(" ".join(words), 5), simhash.shingle_set(" ".join(changed), 5)) >= 0.8:
+            other, changed = changed, list(changed)
+            changed[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts += [" ".join(words), " ".join(other)]
+    docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)], DOCS)
+    assert sorted(r.doc_id for r in simhash.near_dedup(docs).collect()) == list(range(0, 2 * pairs, 2))
