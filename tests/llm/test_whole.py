@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from waymark.llm import line_dedup, simhash
+from waymark.llm import line_dedup, pii, simhash
 
 DOCS = "doc_id long, text string, source string"
 
@@ -79,3 +79,11 @@ def test_near_copies_just_similar_enough(spark):
         texts += [" ".join(words), " ".join(other)]
     docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)], DOCS)
     assert sorted(r.doc_id for r in simhash.near_dedup(docs).collect()) == list(range(0, 2 * pairs, 2))
+
+
+def test_cues_of_later_rounds(spark):
+    local = [f"(212) 555-01{40 + i}" for i in range(5)]
+    texts = [f"bla phone: +1 ({300 + i}) 555-0{100 + i} bla" for i in range(8)] + [f"bla phone: {x} bla" for x in local[:4]] + [f"bla cell: {x} bla" for x in local]
+    docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)], DOCS)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.found] for r in pii.find_pii(docs).collect()}
+    assert found[16] == [("phone", 10, 24)] and all(len(x) == 1 for x in found.values())

@@ -130,8 +130,8 @@ def bootstrap(docs: DataFrame, found: DataFrame, text_col: str = "text", rounds:
     pairs = materialise(found.filter("cue != ''").groupBy("cue", F.lower("m").alias("instance")).agg(F.count("*").alias("n")), "pairs")
     seeds = found.filter("kind is not null").select(F.lower("m").alias("instance"), "kind").distinct().withColumn("conf", F.lit(1.0))
     known = materialise(seeds, "seeds")
-    cues = pairs.join(known.select("instance").distinct(), "instance", "left_semi").groupBy("cue").agg(F.count("*").alias("instances"))
-    cues = cues.filter(F.col("instances") >= LEAST_SEEDS).select("cue")
+    # words of fewer instances, known or not, can't become patterns in any round
+    cues = pairs.groupBy("cue").agg(F.count("*").alias("instances")).filter(F.col("instances") >= LEAST_SEEDS).select("cue")
     totals = materialise(cue_counts(docs, cues, text_col), "cues")
     open_pairs = pairs.join(totals, "cue", "left_semi")
     patterns = None
