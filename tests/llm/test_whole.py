@@ -2,10 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from waymark.llm import line_dedup, pii, simhash
+from waymark.llm import decontaminate, line_dedup, pii, simhash
 
 DOCS = "doc_id long, text string, source string"
 
@@ -87,3 +88,16 @@ def test_cues_of_later_rounds(spark):
     docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)], DOCS)
     found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.found] for r in pii.find_pii(docs).collect()}
     assert found[16] == [("phone", 10, 24)] and all(len(x) == 1 for x in found.values())
+
+
+def test_reordered_items():
+    rng, filler = random.Random(2), [f"z{i}" for i in range(300)]
+    for size in (30, 100):
+        words = [f"w{i}" for i in range(size)]
+        item = " ".join(words)
+        own = decontaminate.Benchmark(((1, item),))
+        for _ in range(12):
+            a, b = sorted(rng.sample(range(size + 1), 2))
+            for mixed in (words[a:] + words[:a], words[:a] + words[b:] + words[a:b], words[b:] + words[a:b] + words[:a]):
+                doc = " ".join(filler[:150] + mixed + filler[150:])
+                assert [h["similarity"] for h in own.hits(doc)] == pytest.approx([x for x in [brute.contaminated(doc, item)] if x])

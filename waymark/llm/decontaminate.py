@@ -7,8 +7,10 @@ blocks of 16 bits. Two fingerprints within ``RADIUS`` bits differ in at most ``R
 looking up all values that near in every block finds all of them. Candidates are then verified exactly.
 
 Which windows are looked at: those that a shared shingle lines up with an item, and those between two such windows. A
-window that shares no shingle has similarity 0, and moving a window past the last such place only loses shared ones, so
-nothing is left out by that. ``RADIUS`` is wide: at similarity 0.8 about 10 of 64 bits differ, with a deviation of 3.
+window that shares no shingle has similarity 0, and moving a window past the last such place only loses shared ones. Of
+the n shingles of a window between two such places that are ``gap`` apart, at most 2 n - gap are shared; similarity s
+takes 2 n s / (1 + s). So gaps of up to 2 n / (1 + s) are looked at, and nothing is left out by that, also where the parts
+of an item come in another order. ``RADIUS`` is wide: at similarity 0.8 about 10 of 64 bits differ, with a deviation of 3.
 
 Edge cases: null and empty texts and items match nothing; items of fewer words than a shingle have one, the whole
 sequence; a document shorter than an item is one window; repeated items are found each, repeated documents too; an
@@ -149,9 +151,13 @@ class Benchmark:
         start = np.repeat(place[hit], n_hit) - at[post]
         for i in np.unique(item[post]).tolist():
             size = int(self.size[i])
-            line = np.unique(np.clip(start[item[post] == i], 0, max(0, len(ids) - size)))
-            gap = np.diff(line)
-            fill = [np.arange(a + 1, b) for a, b in zip(line[:-1], line[1:], strict=True) if b - a <= size // 4 + 2] if len(gap) and (gap > 1).any() else []
+            of = item[post] == i
+            line = np.unique(np.clip(start[of], 0, max(0, len(ids) - size)))
+            gap, shingles = np.diff(line), size - k + 1
+            widest, least = 2 * shingles / (1 + self.similarity) + 1, 2 * shingles * self.similarity / (1 + self.similarity) - 1e-6
+            # fewer places with a shared shingle than similar windows share: none is similar
+            full = (gap > 1).any() and len(np.unique(start[of] + at[post[of]])) >= least
+            fill = [np.arange(a + 1, b) for a, b in zip(line[:-1], line[1:], strict=True) if b - a <= widest] if full else []
             yield i, np.unique(np.concatenate([line, *fill]))
 
     def hits(self, text: str | None) -> list[dict]:
