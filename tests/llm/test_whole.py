@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from waymark.llm import decontaminate, line_dedup, pii, simhash
+from waymark.llm import decontaminate, line_dedup, mixture, pii, simhash
 
 DOCS = "doc_id long, text string, source string"
 
@@ -101,3 +102,9 @@ def test_reordered_items():
             for mixed in (words[a:] + words[:a], words[:a] + words[b:] + words[a:b], words[b:] + words[a:b] + words[:a]):
                 doc = " ".join(filler[:150] + mixed + filler[150:])
                 assert [h["similarity"] for h in own.hits(doc)] == pytest.approx([x for x in [brute.contaminated(doc, item)] if x])
+
+
+def test_one_more_of_very_long_texts():
+    for scale in (1_000_000, 1_000):
+        assert mixture.fit_counts(np.array([scale]), np.array([3]), 1900 * scale // 1000).tolist() == [2]
+        assert mixture.fit_counts(np.array([scale]), np.array([3]), 1400 * scale // 1000).tolist() == [1]

@@ -62,7 +62,8 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
 
     The same share of every length takes all but four times the longest length; then an exact subset sum fits what is
     missing, over the documents that are left: the sum that comes nearest, of equals the smaller. Where the missing part is
-    more than ``MOST_BUDGET``, the longest documents that fit are taken first.
+    more than ``MOST_BUDGET``, the longest documents that fit are taken first; if then only longer ones are left, one more
+    is taken where that comes nearer.
     """
     taken = np.zeros(len(lengths), np.int64)
     size = int((lengths * counts).sum())
@@ -79,7 +80,9 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         more = min(-(-(rest - MOST_BUDGET) // int(lengths[k])), rest // int(lengths[k]), int(counts[k] - taken[k]))
         taken[k] += more
         rest -= more * int(lengths[k])
-    if rest > MOST_BUDGET:  # only texts longer than the rest are left
+    if rest > MOST_BUDGET:  # only texts longer than the rest are left: the nearest sum is none of them, or one of the shortest
+        k = int(np.flatnonzero(counts > taken)[0])
+        taken[k] += lengths[k] - rest < rest
         return taken
     most = rest + min(rest, int(lengths[-1]))
     full, reach, came = (1 << most + 1) - 1, 1, {}
