@@ -4,6 +4,7 @@ import io
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -184,14 +185,35 @@ def test_runs_of_zeros():
     assert len(token_ids.encode_block(np.zeros(960, np.uint64))) == 4
 
 
+PIECES = st.lists(st.sampled_from([*"abcZ019 .,'!\n\t\r\x1c\x85éß漢😀sdtrelvm", "\u00a0", "\u2009", "\u3000", "<|endoftext|>", "  ", "'ll", " \n "]), max_size=30).map("".join)
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.sampled_from([*"abcZ019 .,'!\n\t\r\x1c\x85éß漢😀sdtrelvm", "\u00a0", "\u2009", "\u3000", "<|endoftext|>", "  ", "'ll", " \n "]), max_size=30).map("".join))
-def test_word_cache_is_the_tokenizer(text):
+@given(st.lists(PIECES, min_size=1, max_size=6))
+def test_piece_table_is_the_tokenizer(texts):
     from tokenizers import Tokenizer
 
-    own = token_ids._tokenizer(Q.tokenizer_path())
-    plain = Tokenizer.from_file(Q.tokenizer_path())
-    assert np.frombuffer(own.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    own, plain = token_ids._tokenizer(Q.tokenizer_path()), Tokenizer.from_file(Q.tokenizer_path())
+    want = [[*plain.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+    ids, lengths = own.encode(pa.array(texts), 2)
+    assert lengths.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_piece_table_forgets_and_falls_back(monkeypatch):
+    from tokenizers import Tokenizer, normalizers
+
+    rng, plain = np.random.default_rng(6), Tokenizer.from_file(Q.tokenizer_path())
+    texts = [" ".join(f"{x}{chr(10) * (x % 3 == 0)}x" for x in rng.integers(0, 10**6, 50).tolist()) for _ in range(40)] + ["", "a" * 10_000]
+    want = [[*plain.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+    own = token_ids.PieceTable(Tokenizer.from_file(Q.tokenizer_path()))
+    monkeypatch.setattr(token_ids, "MOST_PIECES", 100)
+    monkeypatch.setattr(token_ids, "GATHERED", 7)
+    for at in range(0, len(texts), 6):
+        assert own.encode(pa.array(texts[at : at + 6]), 2)[0].tolist() == [i for x in want[at : at + 6] for i in x]
+    assert len(own.known) < 1000
+    plain.normalizer = normalizers.Lowercase()
+    other = token_ids.PieceTable(plain)
+    assert not other.cuts and other.encode(pa.array(["A B c", ""]), 2)[0].tolist() == [*plain.encode("a b c").ids, 2, 2]
 
 
 def test_token_files(odd, none):
@@ -201,8 +223,7 @@ def test_token_files(odd, none):
     assert [r.n_tokens for r in got[1:3]] == [1, 1] and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
     out = io.BytesIO()
     file = token_ids.FileBuilder()
-    file.add(7, np.arange(20_000, dtype="<u4").tobytes())
-    file.add(None, b"")
+    file.add([7, None], np.array([20_000, 0]), np.arange(20_000, dtype=np.uint32))
     assert file.write(out)[0] == 20_000
     out.seek(0)
     assert [(d, s, len(x)) for d, s, x in token_ids.read_file(out)] == [(7, 0, 20_000), (None, 20_000, 0)]
