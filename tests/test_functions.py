@@ -104,3 +104,29 @@ def test_indel(spark, a, b):
             table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
     want = 200 * table[-1][-1] / (len(a) + len(b)) if a or b else 100.0
     assert one(spark, K.indel_ratio(lit(a), lit(b))) == pytest.approx(want)
+
+
+def test_casefold_is_pythons(spark):
+    # the dotted capital I and final sigmas apart, every character alone and in the middle of a word
+    chars = [c for c in map(chr, range(0x20000)) if c.casefold() != c and not 0xD800 <= ord(c) < 0xE000]
+    rows = spark.createDataFrame([(c, f"a{c}b") for c in chars], "c string, w string")
+    got = rows.select("c", K.casefold(F.col("c")).alias("x"), K.casefold(F.col("w")).alias("y")).collect()
+    assert [r.c for r in got if (r.x, r.y) != (r.c.casefold(), f"a{r.c}b".casefold())] == []
+
+
+@quick
+@given(st.lists(st.sampled_from(["é", "é", "Å", "Å", "ΟΔΥΣΣΕΥΣ", "ſ", "µ", "ß", "ẞ", "ﬁ", "a", " ", "“", "—", "가", "̣̇s"]), max_size=12).map("".join))
+def test_keys_are_nfc_and_folded(spark, text):
+    got = spark.createDataFrame([(text,)], "t string").select(K.fold(F.col("t")).alias("f"), K.match_key(F.col("t")).alias("k"), F.get(K.nfc_each(F.array("t")), F.lit(0)).alias("n")).first()
+    want = unicodedata.normalize("NFC", text)
+    assert got.n == want and unicodedata.normalize("NFC", got.f) == got.f
+    plain = " ".join(want.replace("“", '"').replace("—", "-").split())
+    assert got.k == __import__("re").sub("-{2,}", "-", plain).strip().casefold()
+
+
+def test_lines_of_the_normalised_text(spark):
+    text = "\n\n one  --  two\n\n\nthree… \n\tfour—\nfive\n"
+    rows = spark.createDataFrame([(text,)], "t string")
+    for word, line in (("one", 3), ("two", 3), ("three", 6), ("four", 7), ("five", 8)):
+        place = F.call_function("locate", F.lit(word), K.normalize(F.col("t"))) - 1
+        assert rows.select(K.line_at(K.normalize_lines(F.col("t")), place).alias("x")).first().x == line

@@ -206,3 +206,60 @@ def test_report(spark):
     route = json.loads(report.route_document(segment.route_nodes(legs), legs).first().json)
     assert route["cumulative_days"] == [0, 7, 20, 23] and route["total_days"] == 23 and len(route["legs"]) == 3
     assert report.sniff_indent(report.render_json({"a": 1}, 4)) == 4
+
+
+def test_every_rung_has_its_line(spark):
+    text = "\n\nThe “first” line\nof the text, and\nthen a long third line that ends\nwith something else entirely"
+    quotes = {"of the text": ("exact", 4, None), 'The "first" line of': ("normalised", 3, None), "“line of the text,”": ("normalised", 3, None), "AND THEN A LONG": ("case_insensitive", 4, "and then a long"),
+              "first\" line of ... that ends with": ("ellipsis", 3, None), "then a lung third line that ends": ("near_miss", 5, "then a long third line that ends"), "": ("missing", None, None)}
+    rows = spark.createDataFrame([(q, text) for q in quotes], "quote string, text string")
+    got = {r.quote: (r.kind, r.line_no, r.closest) for r in evidence.check_quotes(rows).collect()}
+    assert got == quotes
+
+
+def test_quotes_without_a_text_take_all_rungs(spark):
+    texts = spark.createDataFrame([(1, "He said “no” and went away.\nThe other one stayed"), (2, "nothing of it; The other one stayed. He said \"no\" and went away")], "doc_id long, text string")
+    quotes = spark.createDataFrame([(1, "“said \"no\" and went”"), (2, "HE SAID \"NO\""), (3, "and went away ... other one stayed"), (4, "nothing of it"), (5, ""), (6, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in evidence.find_quotes(texts, quotes).collect()}
+    assert got == {(1, 1): "normalised", (2, 1): "normalised", (1, 2): "case_insensitive", (2, 2): "case_insensitive", (1, 3): "ellipsis", (2, 4): "exact"}
+
+
+def test_chapter_cards(spark):
+    record = '{"chapter": 1, "title": "T", "summary_hover": "h", "summary_detail": "d", "transport": [{"mode": "train", "from": "a", "to": "b", "evidence": "e"}]}'
+    records = extraction.load(spark.createDataFrame([(1, record)], "number int, text string")).filter("error is null")
+    payload_rows = spark.createDataFrame([("suez", "Suez", None), ("aden", "Aden", "none_found")], "key string, name string, reason string")
+    nodes = spark.createDataFrame([("suez",)], "key string")
+    mentions = spark.createDataFrame([(1, 0, "“Suez”", "here"), (1, 1, "the Aden", "past"), (1, 2, "Nowhere", "unknown")], "chapter int, seq int, name string, class string")
+    places = payload.chapter_places(mentions, payload_rows, nodes)
+    series = spark.createDataFrame([("fogg", 1, 0, 0.0), ("fix", 1, None, None)], "track string, chapter int, leg int, along double")
+    legs = spark.createDataFrame([(0, [10.0, 50.0], [30.0, 30.0])], "index int, start array<double>, end array<double>")
+    pins = payload.track_pins(series, legs)
+    people = spark.createDataFrame([(1, True, 0, "fogg", "Fogg", "Mr. Fogg", False), (1, True, 1, "fogg", "Fogg", "Fogg", False), (1, True, 2, "guide", "the guide", "the guide", True), (1, False, 3, "fix", "Fix", "Fix", False)], "chapter int, present boolean, seq int, person string, display string, name string, is_role boolean")
+    (card,) = payload.chapters_payload(records, places, people, pins, "fogg").collect()
+    assert (card.focus.lon, card.focus.lat, card.transport[0].mode) == (10.0, 50.0, "railway")
+    assert [(p.key, p.plotted, p.on_route, p.reason) for p in card.places] == [("suez", True, True, None), ("aden", False, False, "none_found"), ("nowhere", False, False, None)]
+    assert card.place_counts.by_class == {"here": 1, "past": 1, "unknown": 1} and card.place_counts.plotted == 1
+    assert [(p.key, p.name, p.kind, p.also_printed) for p in card.present] == [("fogg", "Mr. Fogg", "person", ["Fogg"]), ("guide", "the guide", "role", [])]
+    assert card.people_counts.asDict() == {"present": 2, "present_named": 1, "present_roles": 1, "named_elsewhere": 1}
+    assert [(t.track, t.lon) for t in card.tracks] == [("fix", None), ("fogg", 10.0)]
+
+
+def test_dropped_keys_leave_the_rest(spark):
+    text = '{"chapter": 18, "colour": 1, "places_mentioned": [{"name_in_text": "Yokohama", "role": "mention", "evidence": "the boat"}, {"name_in_text": 5}], "time": {"x": null}, "money": "no struct"}'
+    (r,) = spark.createDataFrame([(text,)], "t string").select(extraction.drop_unknown(F.col("t")).alias("d")).select("d.*").collect()
+    assert r.dropped == ["places_mentioned[0].role", "time.x", "colour"]
+    assert json.loads(r.json)["places_mentioned"] == [{"name_in_text": "Yokohama", "evidence": "the boat"}, {"name_in_text": 5}]
+
+
+def test_sources_and_anchors(spark, tmp_path):
+    book = sources.TextSource("book", 103, ("https://x/{number}.txt", "https://y/{number}-0.txt"), 1000, 37)
+    assert book.urls() == ("https://x/103.txt", "https://y/103-0.txt") and book.path("/d/") == "/d/103.txt" and not book.is_whole(999)
+    assert sources.LayerSource("land", "https://z/land").path("/d") == "/d/land.geojson"
+    table = spark.createDataFrame([("suez", "node", 30.0, 32.5), ("club", "local", 1.0, 1.0), ("aden", "waypoint", None, 45.0), ("x", "unknown", 2.0, 2.0)], "key string, kind string, lat double, lon double")
+    assert [tuple(r) for r in resolve.anchors(table).collect()] == [(30.0, 32.5)]
+    keys = lambda df: sorted(r.key for r in df.collect())
+    assert keys(resolve.wanted(table)) == ["aden", "suez", "x"] and keys(resolve.wanted(table, nodes_only=True)) == ["suez"] and keys(resolve.wanted(table, ["the Club"])) == ["club"]
+    cache = sources.put_answers(spark.createDataFrame([], "key string, candidates array<string>"), spark.createDataFrame([("Suez", ["Q1"])], "name string, candidates array<string>"), "w")
+    sources.write_cache(cache, str(tmp_path / "cache"))
+    again = spark.read.schema("key string, candidates array<string>").json(str(tmp_path / "cache"))
+    assert sources.with_cache(spark.createDataFrame([("“Suez”",)], "name string"), again, "w").first().candidates == ["Q1"]

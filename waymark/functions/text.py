@@ -1,7 +1,8 @@
 """Text keys and small text functions as Columns: everything that is compared is compared by one of these keys.
 
-White space is what Unicode calls so (``(?U)\\s``). NFC has no built-in function: ``fold`` runs its pandas UDF only on
-texts that hold a character that NFC could change, and ``nfc=False`` leaves it out where texts are known to be NFC.
+White space is what Unicode calls so (``(?U)\\s``). NFC has no built-in function: its pandas UDF gets only the texts that
+hold a character that NFC could change, and nulls for all others. Inside lambda functions, where no UDF can run, keys take
+``nfc=False``, over arrays that ``nfc_each`` has been through. Case folding is built from the built-in lower case.
 """
 
 from __future__ import annotations
@@ -33,36 +34,91 @@ MODE_SYNONYMS = {
 }
 
 
+#: Characters that NFC may change, or that may change with one before them.
+NOT_NFC = "[\\x{300}-\\x{1FFF}\\x{2000}\\x{2001}\\x{20D0}-\\x{20FF}\\x{2100}-\\x{10FFFF}]"
+
+
 @F.pandas_udf(T.StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
-@F.pandas_udf(T.StringType())
-def casefold(texts: pd.Series) -> pd.Series:
-    """Python's full case folding; only texts outside ASCII and Latin-1 need it."""
-    return texts.map(lambda x: None if x is None else x.casefold())
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfc_each(arrays: pd.Series) -> pd.Series:
+    return arrays.map(lambda a: None if a is None else [None if x is None else unicodedata.normalize("NFC", x) for x in a])
+
+
+def nfc(text: Column) -> Column:
+    odd = text.rlike(NOT_NFC)
+    return F.when(odd, _nfc(F.when(odd, text))).otherwise(text)
+
+
+def nfc_each(texts: Column) -> Column:
+    """NFC of an array's texts."""
+    odd = F.exists(texts, lambda x: F.coalesce(x.rlike(NOT_NFC), F.lit(False)))
+    return F.when(odd, _nfc_each(F.when(odd, texts))).otherwise(texts)
+
+
+# What case folding makes of lower-case characters, by Unicode's rule; those of one character, and those of more.
+_FOLDED = {c: c.casefold() for c in map(chr, range(0x20000)) if c.lower() == c != c.casefold()}
+_ONE = {c: f for c, f in _FOLDED.items() if len(f) == 1}
+_MANY = {c: f for c, f in _FOLDED.items() if len(f) > 1}
+
+
+def casefold(text: Column) -> Column:
+    """Full case folding: lower case, and what folding makes of the characters that have several lower-case forms."""
+    lower = F.translate(F.lower(text), "".join(_ONE), "".join(_ONE.values()))
+    table = F.create_map(*[F.lit(x) for pair in _MANY.items() for x in pair])
+    spelled = F.array_join(F.transform(F.split(lower, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(lower.rlike(f"[{''.join(_MANY)}]"), spelled).otherwise(lower)
 
 
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def fold(text: Column, nfc: bool = False) -> Column:
-    """Typography folded to ASCII spellings; line ends stay."""
-    base = F.when(text.rlike("[\\x{300}-\\x{10FFFF}]"), _nfc(text)).otherwise(text) if nfc else text
-    plain = "'" * len(APOSTROPHES) + '"' * len(QUOTES) + "-" * len(DASHES) + " " * len(SPACES)
-    return F.translate(F.replace(base, F.lit("…"), F.lit("...")), APOSTROPHES + QUOTES + DASHES + SPACES + DELETED, plain)
+_FROM = APOSTROPHES + QUOTES + DASHES + SPACES + DELETED
+_TO = "'" * len(APOSTROPHES) + '"' * len(QUOTES) + "-" * len(DASHES) + " " * len(SPACES)
+
 
+def fold(text: Column, nfc: bool = True) -> Column:
+    """Typography folded to ASCII spellings, in NFC; line ends stay."""
+    return F.translate(F.replace(_composed(text) if nfc else text, F.lit("…"), F.lit("...")), _FROM, _TO)
 
-def normalize(text: Column, nfc: bool = False) -> Column:
+
+_composed = nfc
+
+
+def normalize(text: Column, nfc: bool = True) -> Column:
     """Folded, with runs of white space and of hyphens made one, and stripped."""
     return F.trim(F.regexp_replace(F.regexp_replace(fold(text, nfc), r"(?U)\s+", " "), "-{2,}", "-"))
 
 
-def match_key(text: Column, nfc: bool = False) -> Column:
-    """Normalised, without case: lower case, and sharp s as ss."""
-    return F.replace(F.lower(normalize(text, nfc)), F.lit("ß"), F.lit("ss"))
+#: Stands for a line end in ``normalize_lines``; no character, so that texts don't hold it.
+LINE_MARK = "\ufdd0"
+
+
+def normalize_lines(text: Column, nfc: bool = True) -> Column:
+    """``normalize`` with a ``LINE_MARK`` for each line end, behind the space that it became part of."""
+    marked = F.replace(fold(text, nfc), F.lit("\n"), F.lit(" " + LINE_MARK))
+    marked = F.replace(F.regexp_replace(marked, r"(?U)\s+", " "), F.lit(LINE_MARK + " "), F.lit(LINE_MARK))
+    return F.ltrim(F.regexp_replace(marked, "-{2,}", "-"))
+
+
+def line_at(marked: Column, place: Column) -> Column:
+    """The line, from 1, on which a place (from 0) of the normalised text is; ``marked`` is its ``normalize_lines``."""
+    start = F.struct(F.lit(0).alias("end"), F.lit(1).alias("line"), place.alias("place"))
+
+    def step(s: Column, part: Column) -> Column:
+        end = s["end"] + F.length(part)
+        return F.struct(end.alias("end"), F.when(end <= s["place"], s["line"] + 1).otherwise(s["line"]).alias("line"), s["place"].alias("place"))
+
+    return F.aggregate(F.split(marked, LINE_MARK), start, step, lambda s: s["line"])
+
+
+def match_key(text: Column, nfc: bool = True) -> Column:
+    """Normalised and case-folded."""
+    return casefold(normalize(text, nfc))
 
 
 def strip_edge_quotes(text: Column) -> Column:
@@ -75,7 +131,7 @@ def strip_article(key: Column) -> Column:
     return F.regexp_replace(key, r"^(?:the|an|a) (?=.*\S)", "")
 
 
-def place_key(name: Column, nfc: bool = False) -> Column:
+def place_key(name: Column, nfc: bool = True) -> Column:
     return strip_article(strip_edge_quotes(match_key(name, nfc)))
 
 
@@ -259,6 +315,8 @@ def _indel(a: str, b: str) -> float:
 
 
 SPAN = T.StructType([T.StructField("ratio", T.DoubleType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+# Windows on each side of the common block, and characters between them.
+WINDOWS, WINDOW_STEP = 4, 6
 
 
 @F.pandas_udf(SPAN)
@@ -276,8 +334,8 @@ def _best_span(text: str, wanted: str) -> tuple[float, int, int]:
     if not block.size:
         return 0.0, 0, 0
     windows = []
-    for step in range(-4, 5):
-        lo = max(0, min(block.a - block.b + 6 * step, len(text) - 1))
+    for step in range(-WINDOWS, WINDOWS + 1):
+        lo = max(0, min(block.a - block.b + WINDOW_STEP * step, len(text) - 1))
         hi = min(len(text), lo + len(wanted))
         windows.append((SequenceMatcher(None, text[lo:hi], wanted).ratio(), -step, lo, hi))
     ratio, _, lo, hi = max(windows, key=lambda w: (w[0], w[1]))

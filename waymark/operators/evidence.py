@@ -6,6 +6,7 @@ all of them are looked for in every text at once, by one automaton per rung, in
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,29 +44,37 @@ def ellipsis_place(norm: Column, needle: Column) -> Column:
 def check_quotes(pairs: DataFrame, quote: str = "quote", text: str = "text") -> DataFrame:
     """``pairs`` with ``kind, ratio, line_no, closest``: how each quotation is found in its text.
 
-    ``line_no`` is the line of the text where an exact match begins;
-    ``closest`` is the most similar text of a near miss or a missing quotation. An empty quotation is missing.
+    ``line_no`` is the line of the text where what was found begins, whatever the rung; null where nothing was.
+    ``closest`` is the text's own wording where it differs: of a match without case, the most similar text of a near miss
+    or a missing quotation. An empty quotation is missing.
     """
     raw, q = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(quote), F.lit(""))
     keyed = pairs.withColumn("_norm", K.normalize(raw)).withColumn("_needle", K.normalize(q))
     norm, needle = F.col("_norm"), F.col("_needle")
     bare = K.strip_edge_quotes(needle)
-    kind = (
-        F.when((q != "") & raw.contains(q), "exact")
-        .when(needle == "", "missing")
-        .when(norm.contains(needle), "normalised")
-        .when((bare != "") & norm.contains(bare), "normalised")
-        .when(K.match_key(raw).contains(K.match_key(q)), "case_insensitive")
-        .when(ellipsis_place(norm, needle) > 0, "ellipsis")
+    place = lambda part, whole: F.call_function("locate", part, whole)
+    in_key = place(K.casefold(needle), K.casefold(norm))
+    rung = lambda kind, at: F.struct(F.lit(kind).alias("kind"), at.cast("int").alias("at"))
+    found = (
+        F.when((q != "") & raw.contains(q), rung("exact", F.lit(0)))
+        .when(needle == "", rung("missing", F.lit(0)))
+        .when(norm.contains(needle), rung("normalised", place(needle, norm)))
+        .when((bare != "") & norm.contains(bare), rung("normalised", place(bare, norm)))
+        .when(in_key > 0, rung("case_insensitive", in_key))
+        .when(ellipsis_place(norm, needle) > 0, rung("ellipsis", ellipsis_place(norm, needle)))
     )
-    tiered = keyed.withColumn("kind", kind)
-    line = F.when(F.col("kind") == "exact", F.size(F.split(F.split_part(raw, q, F.lit(1)), "\n")))
-    done = tiered.filter("kind is not null").withColumn("ratio", F.when(F.col("kind") == "missing", 0.0).otherwise(1.0)).withColumn("line_no", line).withColumn("closest", F.lit(None).cast("string"))
+    tiered = keyed.withColumn("_found", found).withColumn("kind", F.col("_found.kind"))
+    at = F.least(F.col("_found.at"), F.length(norm)) - 1
+    in_text = F.size(F.split(F.split_part(raw, q, F.lit(1)), "\n"))
+    line = F.when(F.col("kind") == "exact", in_text).when(at >= 0, K.line_at(K.normalize_lines(raw), at))
+    own = F.when(F.col("kind") == "case_insensitive", F.trim(F.substring(norm, F.col("_found.at"), F.length(needle))))
+    done = tiered.filter("kind is not null").withColumn("ratio", F.when(F.col("kind") == "missing", 0.0).otherwise(1.0)).withColumn("line_no", line).withColumn("closest", own)
     left = tiered.filter("kind is null").withColumn("_span", K.best_span("_norm", "_needle"))
     ratio = F.col("_span.ratio")
-    closest = F.when(ratio > 0, F.substring("_norm", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start")))
-    left = left.withColumn("kind", F.when(ratio >= NEAR_MISS, "near_miss").otherwise("missing")).withColumn("ratio", ratio).withColumn("line_no", F.lit(None).cast("int")).withColumn("closest", closest).drop("_span")
-    return done.unionByName(left).drop("_norm", "_needle")
+    closest = F.when(ratio > 0, F.trim(F.substring("_norm", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))))
+    line = F.when(ratio > 0, K.line_at(K.normalize_lines(raw), F.col("_span.start")))
+    left = left.withColumn("kind", F.when(ratio >= NEAR_MISS, "near_miss").otherwise("missing")).withColumn("ratio", ratio).withColumn("line_no", line).withColumn("closest", closest).drop("_span")
+    return done.unionByName(left).drop("_norm", "_needle", "_found")
 
 
 def failing(checks: DataFrame) -> DataFrame:
@@ -75,11 +84,13 @@ def failing(checks: DataFrame) -> DataFrame:
 
 
 def find_quotes(texts: DataFrame, quotes: DataFrame, text_id: str = "doc_id", quote_id: str = "item_id", text: str = "text") -> DataFrame:
-    """``(text_id, quote_id, kind)`` of every quotation found in every text: exact, normalised or case_insensitive.
+    """``(text_id, quote_id, kind)`` of every quotation found in every text: exact, normalised (also without quotation
+    marks at its ends), case_insensitive or ellipsis (its fragments of ``LEAST_FRAGMENT`` characters, in order).
 
     Quotations come to the executors in lists of at most ``AUTOMATON_BYTES``; texts are read once per list.
     """
     keys = quotes.select(F.col(quote_id).alias("id"), F.col("text").alias("raw"), K.normalize(F.col("text")).alias("norm"), K.match_key(F.col("text")).alias("key"))
+    keys = keys.withColumn("bare", K.strip_edge_quotes(F.col("norm")))
     lists: list[list[tuple]] = [[]]
     size = 0
     for row in keys.toLocalIterator():
@@ -95,28 +106,53 @@ def find_quotes(texts: DataFrame, quotes: DataFrame, text_id: str = "doc_id", qu
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             import ahocorasick
 
-            machines = []
-            for column in (1, 2, 3):
-                by: dict[str, list] = {}
-                for row in own:
+            # what is looked for, by the column that it is looked for in, with its rung
+            rungs = (("exact", 1, 1), ("normalised", 2, 2), ("normalised", 4, 2), ("case_insensitive", 3, 3))
+            needles: list[dict[str, list]] = [{}, {}, {}, {}]
+            elided = {}
+            for row in own:
+                for rank, (_, column, place) in enumerate(rungs):
                     if row[column]:
-                        by.setdefault(row[column], []).append(row[0])
+                        needles[place].setdefault(row[column], []).append((row[0], rank, None))
+                parts = [x for x in re.split(r"\s*\.\.\.\s*", row[2] or "") if len(x) >= LEAST_FRAGMENT]
+                if "..." in (row[2] or "") and len(parts) > 1:
+                    elided[row[0]] = parts
+                    for part in dict.fromkeys(parts):
+                        needles[2].setdefault(part, []).append((row[0], len(rungs), part))
+            machines = []
+            for by in needles[1:]:
                 machine = ahocorasick.Automaton()
                 for needle, ids in by.items():
                     machine.add_word(needle, ids)
                 if by:
                     machine.make_automaton()
                 machines.append(machine if by else None)
+
+            def in_order(parts: list[str], ends: dict[str, list[int]]) -> bool:
+                cursor = 0
+                for part in parts:
+                    cursor = next((e for e in ends.get(part, ()) if e - len(part) >= cursor), -1)
+                    if cursor < 0:
+                        return False
+                return True
+
             for batch in batches:
                 out = []
                 for row in batch.itertuples(index=False):
                     found: dict = {}
-                    for name, machine, value in zip(KINDS, machines, row[1:], strict=False):
+                    ends: dict = {}
+                    for machine, value in zip(machines, row[1:], strict=False):
                         if machine is not None and value:
-                            for _, ids in machine.iter(value):
-                                for i in ids:
-                                    found.setdefault(i, name)
-                    out += [(row[0], i, k) for i, k in found.items()]
+                            for end, hits in machine.iter(value):
+                                for i, rank, part in hits:
+                                    if part is None:
+                                        found[i] = min(rank, found.get(i, rank))
+                                    else:
+                                        ends.setdefault(i, {}).setdefault(part, []).append(end + 1)
+                    for i, places in ends.items():
+                        if i not in found and in_order(elided[i], places):
+                            found[i] = len(rungs)
+                    out += [(row[0], i, rungs[k][0] if k < len(rungs) else "ellipsis") for i, k in found.items()]
                 yield pd.DataFrame(out, columns=["id", "quote", "kind"])
 
         return run
@@ -131,7 +167,7 @@ def find_quotes(texts: DataFrame, quotes: DataFrame, text_id: str = "doc_id", qu
 
 def verdict_counts(found: DataFrame, pairs: int) -> DataFrame:
     """``(kind, n)`` for the kinds of ``find_quotes`` and ``missing``, zeros included, of ``pairs`` pairs in all."""
-    kinds = found.sparkSession.createDataFrame([(k,) for k in ("exact", "normalised", "case_insensitive")], "kind string")
+    kinds = found.sparkSession.createDataFrame([(k,) for k in KINDS[:4]], "kind string")
     counts = kinds.join(found.groupBy("kind").agg(F.count("*").alias("n")), "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
     missing = found.agg((F.lit(pairs).cast("long") - F.count("*")).alias("n")).select(F.lit("missing").alias("kind"), "n")
     return counts.unionByName(missing)

@@ -187,3 +187,41 @@ def place_summary(uses: DataFrame, chapter: str = "number") -> DataFrame:
     )
     used = F.array_join(F.array_compact(F.array(*[F.when(F.col(h) > 0, F.concat_ws(":", F.lit(h), h)) for h in ("visited", "mentioned", "on_stage")])), " ")
     return rows.withColumn("used_as", used)
+
+
+def drop_unknown(text: Column, schema: str = SCHEMA) -> Column:
+    """``struct(json, dropped)``: a record's JSON text without the keys that the closed schema doesn't have, at any depth,
+    and their paths. Values of known keys stay as they are, of whatever type; keys that are null or absent are left out.
+    Nested paths come first, in the order of the schema, then the object's own, in the order of the text.
+    """
+    loose = _loose(T._parse_datatype_string(schema))
+    return F.struct(F.to_json(F.from_json(text, loose.simpleString())).alias("json"), _extra_paths(text, loose, F.lit("")).alias("dropped"))
+
+
+def _loose(kind: T.DataType) -> T.DataType:
+    """A schema whose leaves take any JSON value."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in kind.fields])
+    return T.ArrayType(_loose(kind.elementType)) if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) else T.VariantType()
+
+
+def _extra_paths(text: Column, kind: T.StructType, path: Column) -> Column:
+    """The paths of an object's keys, at any depth, that ``kind`` doesn't have."""
+    inside = lambda name: F.when(path == "", F.lit(name)).otherwise(F.concat(path, F.lit(f".{name}")))
+
+    def of_each(value: Column, item: T.StructType, name: str) -> Column:
+        at = lambda i: F.concat(inside(name), F.lit("["), i.cast("string"), F.lit("]"))
+        return F.flatten(F.transform(F.from_json(value, "array<string>"), lambda x, i: _extra_paths(x, item, at(i))))
+
+    found = []
+    for f in kind.fields:
+        value = F.get_json_object(text, f"$.{f.name}")
+        if isinstance(f.dataType, T.StructType):
+            found.append(_extra_paths(value, f.dataType, inside(f.name)))
+        elif isinstance(f.dataType, T.ArrayType):
+            found.append(of_each(value, f.dataType.elementType, f.name))
+    known = F.array(*[F.lit(f.name) for f in kind.fields])
+    extra = F.filter(F.json_object_keys(text), lambda k: ~F.array_contains(known, k))
+    own = F.transform(extra, lambda k: F.when(path == "", k).otherwise(F.concat(path, F.lit("."), k)))
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.coalesce(x, none) for x in (*found, own)])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,3 +126,86 @@ def provenance(files: DataFrame) -> DataFrame:
 def to_json_lines(payload: DataFrame, key: str) -> DataFrame:
     """Rows as compact JSON, in key order, so that rebuilding unchanged data writes equal files."""
     return payload.select(key, F.to_json(F.struct(*payload.columns)).alias("json")).orderBy(key)
+
+
+def journey_nodes(nodes: DataFrame, places: DataFrame) -> DataFrame:
+    """Stops (``index, key, name, day``) joined to their review rows (``key, modern_name, name_changed, lat, lon, qid,
+    confidence, confirmed, first_chapter``). A rejected row keeps no coordinates; a stop without a row stays."""
+    rows = nodes.join(places.select("key", "modern_name", "name_changed", "lat", "lon", "qid", "confidence", "confirmed", "first_chapter"), "key", "left")
+    status = K.review_status(F.coalesce("confirmed", F.lit("")))
+    shown = lambda c: F.when((status != "rejected") & F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col(c))
+    return rows.select(
+        "index", "key", "name", F.coalesce(F.nullif(F.trim("modern_name"), F.lit("")), "name").alias("modern_name"), (F.trim(F.coalesce("name_changed", F.lit(""))) != "").alias("name_changed"),
+        shown("lon").alias("lon"), shown("lat").alias("lat"), F.coalesce("qid", F.lit("")).alias("qid"), "confidence", status.alias("status"), "day", "first_chapter",
+    )
+
+
+def chapter_places(mentions: DataFrame, payload: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``chapter, seq, key, name, class, plotted, on_route, reason`` of every place that a chapter names, drawn or not.
+
+    ``mentions``: ``chapter, seq, name, class``; ``payload``: ``places_payload``; a place that it doesn't have is not
+    drawn, for no stated reason."""
+    keyed = mentions.withColumn("key", K.place_key(F.col("name")))
+    known = payload.select("key", F.col("reason").alias("_reason"), F.lit(True).alias("_known"))
+    route = nodes.select("key").distinct().withColumn("_route", F.lit(True))
+    rows = keyed.join(known, "key", "left").join(F.broadcast(route), "key", "left")
+    return rows.select("chapter", "seq", "key", "name", "class", (F.col("_known").isNotNull() & F.col("_reason").isNull()).alias("plotted"), F.col("_route").isNotNull().alias("on_route"), F.col("_reason").alias("reason"))
+
+
+def place_counts(places: DataFrame, by: str = "chapter", value: str = "class") -> DataFrame:
+    """``by, named, plotted, by_class``: counts of ``chapter_places``; the map's keys are sorted."""
+    return places.groupBy(by).agg(F.count("*").alias("named"), F.count_if("plotted").alias("plotted")).join(tally(places, value, by).withColumnRenamed("tally", "by_class"), by)
+
+
+def places_by_class(places: DataFrame, classes: Sequence[str], by: str = "chapter") -> DataFrame:
+    """``by, ord, class, names``: the names of each class, sorted, classes in the given order."""
+    rank = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("class")).cast("int")
+    return places.groupBy(by, rank.alias("ord"), "class").agg(F.array_sort(F.collect_set("name")).alias("names"))
+
+
+def track_pins(series: DataFrame, legs: DataFrame) -> DataFrame:
+    """The position series with ``lon, lat``: the point along its leg's arc (``index, start, end``), where there is one."""
+    arcs = legs.filter("start is not null and end is not null").select(F.col("index").alias("leg"), "start", "end")
+    point = F.when(F.col("start").isNotNull() & F.col("along").isNotNull(), geo.interpolate(F.col("start"), F.col("end"), F.col("along")))
+    return series.join(arcs, "leg", "left").withColumn("_p", point).select(*series.columns, F.get("_p", F.lit(0)).alias("lon"), F.get("_p", F.lit(1)).alias("lat"))
+
+
+def focus(pins: DataFrame, lead: str) -> DataFrame:
+    """``chapter, focus``: the lead track's own point, or null; never a mean of the chapter's places."""
+    own = F.when((F.col("track") == lead) & F.col("lon").isNotNull(), F.struct("lon", "lat", F.lit(lead).alias("from")))
+    return pins.groupBy("chapter").agg(F.first(own, ignorenulls=True).alias("focus"))
+
+
+def chapters_payload(records: DataFrame, places: DataFrame, people: DataFrame, pins: DataFrame, lead: str) -> DataFrame:
+    """One document per chapter: ``chapter, title, summary, focus, transport, schedule, places, place_counts, present,
+    named_elsewhere, people_counts, tracks``.
+
+    ``records``: ``number, record``; ``places``: ``chapter_places``; ``people``: ``chapter, present, seq, person, display,
+    name, is_role``, one row a printed name; ``pins``: ``track_pins``. Each part is one row a chapter before it is joined.
+    """
+    rows = records.select(
+        F.col("number").alias("chapter"), F.col("record.title").alias("title"), F.struct(F.col("record.summary_hover").alias("hover"), F.col("record.summary_detail").alias("detail")).alias("summary"),
+        F.transform("record.transport", lambda t: F.struct(t["mode"].alias("mode"), t["vessel_or_line_name"].alias("vessel"), t["from"].alias("from"), t["to"].alias("to"))).alias("transport"),
+        F.struct(F.col("record.time.schedule_status").alias("status"), F.col("record.time.schedule_detail").alias("detail")).alias("schedule"),
+    )
+    item = F.struct("seq", "key", "name", "class", "plotted", "on_route", "reason")
+    named = places.groupBy("chapter").agg(F.array_sort(F.collect_list(item)).alias("places")).join(place_counts(places).select("chapter", F.struct("named", "plotted", "by_class").alias("place_counts")), "chapter")
+    cast = people.groupBy("chapter", "present", "person").agg(F.min_by(F.struct("display", "is_role"), "seq").alias("_one"))
+    folded = folded_names(people, ["chapter", "present"]).join(cast, ["chapter", "present", "person"])
+    one = F.struct("seq", F.col("person").alias("key"), F.col("_one.display").alias("display"), F.col("printed").alias("name"), F.when(F.col("_one.is_role"), "role").otherwise("person").alias("kind"), F.col("others").alias("also_printed"))
+    lists = folded.groupBy("chapter").agg(F.array_sort(F.collect_list(F.when(F.col("present"), one))).alias("present"), F.array_sort(F.collect_list(F.when(~F.col("present"), one))).alias("named_elsewhere"))
+    of_kind = lambda k: F.size(F.filter("present", lambda p: p["kind"] == k))
+    lists = lists.withColumn("people_counts", F.struct(F.size("present").alias("present"), of_kind("person").alias("present_named"), of_kind("role").alias("present_roles"), F.size("named_elsewhere").alias("named_elsewhere")))
+    tracks = pins.groupBy("chapter").agg(F.array_sort(F.collect_list(F.struct(*["track", *[c for c in pins.columns if c not in ("chapter", "track")]]))).alias("tracks"))
+    out = rows.join(focus(pins, lead), "chapter", "left").join(named, "chapter", "left").join(lists, "chapter", "left").join(tracks, "chapter", "left")
+    return out.select("chapter", "title", "summary", "focus", "transport", "schedule", "places", "place_counts", "present", "named_elsewhere", "people_counts", "tracks")
+
+
+def chapters_by_place(uses: DataFrame, key: str = "key", chapter: str = "chapter") -> DataFrame:
+    """``key, chapters, first_chapter``: the chapters that name each place, ascending, each once."""
+    return uses.groupBy(key).agg(F.array_sort(F.collect_set(chapter)).alias("chapters"), F.min(chapter).alias("first_chapter"))
+
+
+def earliest(rows: DataFrame, key: str, at: str, value: str) -> DataFrame:
+    """``key, value, first``: each key's first value that isn't empty, and where it is."""
+    return rows.filter(F.coalesce(value, F.lit("")) != "").groupBy(key).agg(F.min_by(value, at).alias(value), F.min(at).alias("first"))

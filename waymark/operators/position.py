@@ -7,6 +7,7 @@ The containment map and the route are small dimensions of one route, captured by
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -178,6 +179,44 @@ def series_rows(series: DataFrame) -> DataFrame:
     """The series as review rows, all strings: key "NN:track", three decimals, evidence cut at 160 characters."""
     return series.select(
         F.format_string("%02d:%s", "chapter", "track").alias("key"), F.col("chapter").cast("string").alias("chapter"), "track", F.coalesce(F.col("leg").cast("string"), F.lit("")).alias("leg"),
-        F.coalesce(F.format_string("%.3f", "along"), F.lit("")).alias("along"), F.coalesce("place", F.lit("")).alias("place_name_in_text"), "source",
+        F.when(F.col("along").isNull(), "").otherwise(F.format_string("%.3f", "along")).alias("along"), F.coalesce("place", F.lit("")).alias("place_name_in_text"), "source",
         F.coalesce(F.col("stated_at").cast("string"), F.lit("")).alias("stated_at_chapter"), F.array_join("flags", ";").alias("flags"), F.substring(F.coalesce("evidence", F.lit("")), 1, 160).alias("evidence"),
     )
+
+
+def node_label(leg: Column, along: Column, names: Column) -> Column:
+    """The name of the stop that a point lies on exactly, else null; ``names``: the stops' names in order."""
+    last = F.size(names) - 2
+    return F.when(along == 0, F.get(names, leg)).when((leg == last) & (along == 1), F.get(names, last + 1))
+
+
+def classify_mentions(mentions: DataFrame, series: DataFrame, lead: str, route: Route) -> DataFrame:
+    """``mentions`` (``chapter, key, ...``) with ``class``: where each place that is named lies, seen from the lead's point.
+
+    A stop that the route has twice has two points, an interior its parent's, a waypoint its own.
+    """
+
+    def points(place: Place) -> list[Point]:
+        if place.kind == "micro" and place.parent in route.places:
+            return points(route.places[place.parent])
+        if place.kind == "waypoint" and place.leg is not None:
+            return [(place.leg, place.along or 0.0)]
+        return [route.node(i) for i in place.nodes] if place.kind == "node" else []
+
+    rows = [(k, [(leg, float(along)) for leg, along in points(p)], p.kind == "local") for k, p in route.places.items()]
+    known = mentions.sparkSession.createDataFrame(rows, "key string, points array<struct<leg:int,along:double>>, local boolean")
+    now = series.filter(F.col("track") == lead).select("chapter", F.when(F.col("leg").isNotNull(), F.struct("leg", "along")).alias("now"))
+    both = mentions.join(F.broadcast(known), "key", "left").join(now, "chapter", "left")
+    place = temporal_class(F.col("points"), F.col("now"), F.col("local").isNotNull(), F.coalesce("local", F.lit(False)))
+    return both.select(*[c for c in mentions.columns], place.alias("class"))
+
+
+def carried(rows: DataFrame, by: str, order: Sequence[str], values: Sequence[str], stated: Column) -> DataFrame:
+    """``rows`` with each value as last stated at or before the row: ``carried_<value>``; for facts that need no fold."""
+    over = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select("*", *[F.last(F.when(stated, F.col(v)), ignorenulls=True).over(over).alias(f"carried_{v}") for v in values])
+
+
+def dense(rows: DataFrame, keys: DataFrame, times: DataFrame) -> DataFrame:
+    """Every key at every time, with the rows there are; ``times`` is one text's chapters or one calendar, and broadcast."""
+    return keys.crossJoin(F.broadcast(times)).join(rows, [*keys.columns, *times.columns], "left")

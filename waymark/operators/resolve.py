@@ -49,7 +49,7 @@ def prominence(sitelinks: Column) -> Column:
 def score_names(pairs: DataFrame, name: str = "name", labels: str = "labels") -> DataFrame:
     """``pairs`` with ``name_score`` of a name against an array of spellings; only inexact ones reach the ratio."""
     key = K.match_key(F.col(name))
-    exact = F.exists(labels, lambda x: K.match_key(x) == key)
+    exact = F.array_contains(F.transform(K.nfc_each(F.col(labels)), lambda x: K.match_key(x, nfc=False)), key)
     rows = pairs.withColumn("_exact", exact).withColumn("_id", F.monotonically_increasing_id())
     each = rows.filter(~F.col("_exact")).select("*", F.explode(labels).alias("_label"))
     ratio = each.withColumn("_r", K.indel_ratio(key, K.match_key(F.col("_label")))).groupBy("_id").agg(F.max("_r").alias("_ratio"))
@@ -123,3 +123,59 @@ def held_back(status: Column, kind: Column, located: Column, queried: Column, st
         .when(~located, "not_queried")
         .when((leg_km > 0) & (strayed_km / leg_km > ratio), "contradicts_its_leg")
     )
+
+
+# The curated lists in the order in which they decide, and the kind that each gives.
+CURATED = ("local", "micro", "waypoints", "via", "blocked", "invented", "aliases")
+CURATED_KINDS = {"local": "local", "micro": "micro", "waypoints": "waypoint", "via": "waypoint", "blocked": "off_route", "invented": "unknown", "aliases": "unknown"}
+
+
+def propose(uses: DataFrame, nodes: DataFrame, curated: DataFrame, legs: DataFrame) -> DataFrame:
+    """``uses`` (``key, ...``) with ``kind, node_indices, parent_key, leg, along, candidates, modern_hint, why``.
+
+    A key is what the first of these says: a stop of the route (``nodes``: ``index, key``), the curated lists (``list,
+    seq, name, parent, leg, along, modern, why``) in the order of ``CURATED``, in which the legs' own via clauses
+    (``index, via``) stand, or nothing: unknown, for the gazetteer. All of them are small dimensions of one route: they
+    are one row a key before they are joined.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    named = nodes.groupBy("key").agg(F.array_sort(F.collect_list("index")).alias("_at"))
+    several = F.format_string("names route nodes %s, the route is a cycle", F.array_join("_at", " and "))
+    stops = named.select(
+        "key", F.lit(-1).alias("rank"), F.lit(0).alias("seq"), F.lit("node").alias("kind"), F.array_join("_at", ";").alias("node_indices"), F.lit("").alias("parent_key"), F.lit("").alias("leg"), F.lit("").alias("along"),
+        F.size("_at").alias("candidates"), F.lit("").alias("modern_hint"), F.when(F.size("_at") == 1, F.format_string("names route node %s", F.get("_at", F.lit(0)).cast("string"))).otherwise(several).alias("why"),
+    )
+    share = F.round((F.col("pos") + 1) / (F.col("n") + 1), 3)
+    via = legs.select("index", F.size("via").alias("n"), F.posexplode("via").alias("pos", "name"))
+    via = via.select(F.lit("via").alias("list"), (F.col("index") * 1000 + F.col("pos")).alias("seq"), "name", F.lit(None).cast("string").alias("parent"), F.col("index").cast("int").alias("leg"), share.cast("double").alias("along"), F.lit(None).cast("string").alias("modern"), F.format_string("named by the via clause of leg %d", F.col("index").cast("int")).alias("why"))
+    own = curated.select("list", "seq", "name", "parent", F.col("leg").cast("int").alias("leg"), F.col("along").cast("double").alias("along"), "modern", "why").unionByName(via)
+    rank = F.array_position(F.array(*[F.lit(x) for x in CURATED]), F.col("list"))
+    kinds = F.create_map(*[F.lit(x) for pair in CURATED_KINDS.items() for x in pair])
+    at_leg = F.col("list").isin("waypoints", "via")
+    why = F.when(F.col("list") == "invented", F.concat(F.lit("no modern referent: "), text("why"))).when(F.col("list") == "aliases", F.concat(F.lit("1872 spelling of "), text("modern"), F.lit(": "), text("why"))).otherwise(text("why"))
+    listed = own.select(
+        K.place_key(F.col("name")).alias("key"), rank.cast("int").alias("rank"), F.col("seq").cast("int").alias("seq"), F.element_at(kinds, F.col("list")).alias("kind"), F.lit("").alias("node_indices"),
+        F.when(F.col("list") == "micro", K.place_key(F.col("parent"))).otherwise("").alias("parent_key"), F.when(at_leg, text("leg")).otherwise("").alias("leg"), F.when(at_leg, F.coalesce("along", F.lit(0.5)).cast("string")).otherwise("").alias("along"),
+        F.lit(0).alias("candidates"), F.when(F.col("list") == "aliases", text("modern")).otherwise("").alias("modern_hint"), why.alias("why"),
+    )
+    out = ["kind", "node_indices", "parent_key", "leg", "along", "candidates", "modern_hint", "why"]
+    first = stops.unionByName(listed).groupBy("key").agg(F.min_by(F.struct(*out), F.struct("rank", "seq")).alias("_p"))
+    empty = {"kind": "unknown", "candidates": 0, "why": "not on the route and on no list, for the gazetteer"}
+    return uses.join(first, "key", "left").select(*uses.columns, *[F.coalesce(F.col(f"_p.{c}"), F.lit(empty.get(c, ""))).alias(c) for c in out])
+
+
+def is_positional(used_as: Column) -> Column:
+    """Whether somebody is placed by a name: it is used on stage or visited."""
+    return used_as.contains("on_stage") | used_as.contains("visited")
+
+
+def wanted(table: DataFrame, only: Sequence[str] = (), nodes_only: bool = False) -> DataFrame:
+    """The review rows (``key, kind``) to resolve: those named, the stops only, or all that may have a place."""
+    if only:
+        return table.join(F.broadcast(table.sparkSession.createDataFrame([(x,) for x in only], "_n string").select(K.place_key(F.col("_n")).alias("key"))), "key", "left_semi")
+    return table.filter(F.col("kind") == "node") if nodes_only else table.filter(~F.col("kind").isin("local", "off_route"))
+
+
+def anchors(table: DataFrame) -> DataFrame:
+    """``lat, lon`` of the located stops and waypoints."""
+    return table.filter(F.col("kind").isin("node", "waypoint") & F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("lat", "lon")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import text as K
@@ -50,10 +52,10 @@ def split_chapters(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def contents_titles(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(CONTENTS), F.lit(2)), lambda t: K.normalize(t))
+    return F.transform(F.regexp_extract_all(K.nfc(text), F.lit(CONTENTS), F.lit(2)), lambda t: K.normalize(t, nfc=False))
 
 
-def itinerary_block(text: Column) -> Column:
+def itinerary_block(text: Column, most: int = BLOCK_CHARS) -> Column:
     """The printed table, folded, with its wrapped lines joined; null if there is none or it is too long."""
     begin = F.regexp_instr(text, F.lit(BLOCK_START))
     rest = F.substring(text, begin, F.length(text))
@@ -61,12 +63,12 @@ def itinerary_block(text: Column) -> Column:
     end = F.call_function("locate", last, rest)
     block = F.substring(rest, F.lit(1), end + F.length(last) - 1)
     folded = F.regexp_replace(K.fold(block), r"\n(?=[a-z])", " ")
-    return F.when((begin > 0) & (last != "") & (F.length(block) <= BLOCK_CHARS), folded)
+    return F.when((begin > 0) & (last != "") & (F.length(block) <= most), folded)
 
 
-def parse_itinerary(docs: DataFrame, text: str = "text") -> DataFrame:
+def parse_itinerary(docs: DataFrame, text: str = "text", most: int = BLOCK_CHARS) -> DataFrame:
     """One row per leg: ``index, origin, destination, via, modes, mode_as_written, days`` besides the input's columns."""
-    block = itinerary_block(F.col(text))
+    block = itinerary_block(F.col(text), most)
     groups = [F.regexp_extract_all(block, F.lit(LEG), F.lit(i)).alias(n) for i, n in enumerate(("origin", "destination", "mode", "days"), 1)]
     rows = docs.select(*[c for c in docs.columns if c != text], F.posexplode(F.arrays_zip(*groups)).alias("index", "_leg"))
     via = K.split_via(F.col("_leg.destination"))
@@ -84,8 +86,6 @@ def route_nodes(legs: DataFrame) -> DataFrame:
     forms = names.unionByName(legs.select(F.col("index") + 1, F.col("destination")).toDF("index", "name"))
     printed = forms.groupBy("index").agg(F.array_sort(F.collect_set("name")).alias("printed_forms"))
     days = legs.select((F.col("index") + 1).alias("index"), "days")
-    from pyspark.sql import Window
-
     day = F.sum(F.coalesce("days", F.lit(0))).over(Window.orderBy("index"))
     return names.join(printed, "index").join(days, "index", "left").select("index", "name", K.node_key(F.col("name")).alias("key"), "printed_forms", day.alias("day"))
 
@@ -99,3 +99,28 @@ def chapter_selection(spec: Column) -> Column:
 
 def segment_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     return docs.select(id_col, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+
+
+def check_contents(chapters: DataFrame, contents: DataFrame, by: str = "book") -> DataFrame:
+    """``by, number, problem``: chapters (``by, number, title``) whose title isn't the one in the book's own contents
+    (``by, titles``), by their order. Where the two differ in number, one row with a null number says so."""
+    ranked = chapters.withColumn("pos", F.row_number().over(Window.partitionBy(by).orderBy("number")) - 1)
+    split = ranked.groupBy(by).agg(F.count("*").alias("split"))
+    both = contents.select(by, F.size("titles").alias("listed"), "titles").join(split, by, "left").withColumn("split", F.coalesce("split", F.lit(0)))
+    counted = both.filter("listed != split").select(by, F.lit(None).cast("int").alias("number"), F.format_string("the contents list %d titles, %d chapters were split", "listed", "split").alias("problem"))
+    printed = both.filter("listed = split").select(by, F.posexplode("titles").alias("pos", "printed"))
+    odd = ranked.join(printed, [by, "pos"]).filter(K.match_key(F.col("title")) != K.match_key(F.col("printed")))
+    cut = lambda c: F.substring(c, 1, 50)
+    return counted.unionByName(odd.select(by, F.col("number").cast("int").alias("number"), F.format_string("title is '%s', the contents have '%s'", cut("title"), cut("printed")).alias("problem")))
+
+
+def cumulative_days(legs: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("index",), days: str = "days") -> DataFrame:
+    """``legs`` with ``day``: the running total of days at each leg's end."""
+    return legs.withColumn("day", F.sum(days).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def median_guard(rows: DataFrame, words: str = "words", bounds: tuple[float, float] = (0.25, 4.0), limits: tuple[int, int] = (50, 6000)) -> DataFrame:
+    """``rows`` with ``ratio`` to the exact median, and whether ``words`` is ``within`` limits and ``near`` the median."""
+    ratio = F.col(words) / F.col("_median")
+    both = rows.join(F.broadcast(rows.agg(F.median(words).alias("_median"))))
+    return both.withColumn("ratio", F.round(ratio, 6)).withColumn("within", F.col(words).between(*limits)).withColumn("near", ratio.between(*bounds)).drop("_median")

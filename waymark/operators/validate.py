@@ -21,8 +21,10 @@ def problems(*rules: tuple[Column, str | Column]) -> Column:
     return F.array_compact(F.array(*[F.when(c, m if isinstance(m, Column) else F.lit(m)) for c, m in rules]))
 
 
-def duplicates(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+def duplicates(rows: DataFrame, *keys: str, first: str | None = None) -> DataFrame:
+    """``(*keys, n)`` of keys that occur more than once, and the smallest of column ``first`` among them."""
+    more = [F.min(first).alias("first")] if first else []
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), *more).filter("n > 1")
 
 
 def sentences(text: Column) -> Column:
@@ -57,7 +59,7 @@ def check_spine(legs: DataFrame, printed_total: int = DAYS, expected: int = LEGS
 
 def check_records(records: DataFrame, titles: DataFrame | None = None, vessels: Sequence[str] = ()) -> DataFrame:
     """``number, problems`` of extraction records (``number, record``); ``titles``: ``number, title``."""
-    keys = lambda path, name="name_in_text": F.transform(f"record.{path}", lambda x: K.place_key(x[name]))
+    keys = lambda path, name="name_in_text": F.transform(K.nfc_each(F.transform(f"record.{path}", lambda x: x[name])), lambda x: K.place_key(x, nfc=False))
     stage, absent, people, visited, mentioned = keys("narrative.on_stage"), keys("narrative.named_but_not_present"), keys("people"), keys("places_visited"), keys("places_mentioned")
     at = F.filter(keys("narrative.on_stage", "at_name_in_text"), lambda x: x.isNotNull())
     known = F.array_union(F.array_union(visited, mentioned), F.array(*[K.place_key(F.lit(v)) for v in vessels]) if vessels else F.array().cast(NONE))
@@ -73,7 +75,7 @@ def check_records(records: DataFrame, titles: DataFrame | None = None, vessels:
         ((F.coalesce("record.money.fogg_remaining_stated", F.lit("")) != "") & (F.size("record.money.amounts") == 0), "a remaining sum without amounts"),
         (K.match_key(F.col("_title")) != K.match_key(F.coalesce("record.title", F.lit(""))), "title is another"),
         (F.size(F.array_intersect(stage, absent)) > 0, "on stage and not present"),
-        (F.exists("record.narrative.on_stage", lambda x: K.place_key(x["between_from"]) == K.place_key(x["between_to"])), "travels from a place to itself"),
+        (F.exists(F.zip_with(keys("narrative.on_stage", "between_from"), keys("narrative.on_stage", "between_to"), lambda a, b: a == b), lambda same: same), "travels from a place to itself"),
         (F.size(F.array_except(stage, people)) > 0, "on stage but not among the people"),
         (F.size(F.array_except(at, known)) > 0, "at a place that is not listed"),
         ((F.size(people) > 0) & (F.size(stage) == 0) & (F.size(absent) == 0), "no narrative"),
@@ -92,7 +94,7 @@ def check_files(loaded: DataFrame, expected: int = CHAPTERS) -> DataFrame:
 def check_cast(people: DataFrame, roles: DataFrame) -> DataFrame:
     """``name, problem`` of ``people`` (``person, display, aliases``) and ``roles`` (``name``)."""
     each = people.select("person", "display", F.explode("aliases").alias("alias")).withColumn("key", K.match_key(F.col("alias")))
-    shown = people.filter(~F.exists("aliases", lambda a: K.match_key(a) == K.match_key(F.col("display")))).select(F.col("person").alias("name"), F.lit("display is no alias").alias("problem"))
+    shown = people.filter(~F.array_contains(F.transform(K.nfc_each(F.col("aliases")), lambda a: K.match_key(a, nfc=False)), K.match_key(F.col("display")))).select(F.col("person").alias("name"), F.lit("display is no alias").alias("problem"))
     shared = each.groupBy("key").agg(F.count_distinct("person").alias("n")).filter("n > 1").select(F.col("key").alias("name"), F.lit("alias of several").alias("problem"))
     both = each.join(roles.select(K.match_key(F.col("name")).alias("key")), "key", "left_semi").select(F.col("alias").alias("name"), F.lit("alias is a role").alias("problem"))
     return shown.unionByName(shared).unionByName(both)

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import geo_queries, table_queries, text_queries
+from . import book_queries, geo_queries, table_queries, text_queries
 from ._declare import Declared
 
 
 def _all() -> dict[str, Declared]:
-    return {**text_queries.QUERIES, **table_queries.QUERIES, **geo_queries.QUERIES}
+    return {**text_queries.QUERIES, **table_queries.QUERIES, **geo_queries.QUERIES, **book_queries.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo
-from waymark.operators import payload, position, resolve, review, validate
+from waymark.operators import payload, position, resolve, review, segment, validate
 
 from ._declare import Declared, declare
 
@@ -39,31 +39,31 @@ def distributions(documents: DataFrame) -> DataFrame:
 
 @declare(QUERIES, "select o_custkey, o_orderkey, sum(o_shippriority_like) over (partition by o_custkey order by o_orderdate, o_orderkey)::bigint as days from (select *, 1 + o_orderkey % 9 o_shippriority_like from orders)")
 def running_days(orders: DataFrame) -> DataFrame:
-    order = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return orders.select("o_custkey", "o_orderkey", F.sum(1 + F.col("o_orderkey") % 9).over(order).alias("days"))
+    legs = orders.select("o_custkey", "o_orderkey", "o_orderdate", (1 + F.col("o_orderkey") % 9).alias("days"))
+    return segment.cumulative_days(legs, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", F.col("day").alias("days"))
 
 
 @declare(QUERIES, "select event_id, case when v < p then 'moves_backwards' else 'jumps_legs' end as rule from (select event_id, floor(value)::bigint v, lag(floor(value)::bigint) over (partition by user_id order by ts, event_id) p from events where event_type = 'view') where v < p or v - p > 1")
 def step_checks(events: DataFrame) -> DataFrame:
+    """The series rules over event streams: users as tracks, whole values as legs, places in the stream as chapters."""
     order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    rows = events.filter("event_type = 'view'").withColumn("v", F.floor("value")).withColumn("p", F.lag("v").over(order))
-    rule = F.when(F.col("v") < F.col("p"), "moves_backwards").when(F.col("v") - F.col("p") > 1, "jumps_legs")
-    return rows.select("event_id", rule.alias("rule")).filter("rule is not null")
+    seen = events.filter("event_type = 'view'").withColumn("chapter", F.row_number().over(order))
+    series = seen.select(F.col("user_id").cast("string").alias("track"), "chapter", F.floor("value").cast("int").alias("leg"), F.lit(0.0).alias("along"), F.lit("stated").alias("source"), F.array().cast("array<string>").alias("flags"))
+    moved = position.step_checks(series, "nobody", 8, 0).filter(F.col("rule").isin("moves_backwards", "jumps_legs"))
+    return moved.join(seen.select(F.col("user_id").cast("string").alias("track"), "chapter", "event_id"), ["track", "chapter"]).select("event_id", "rule")
 
 
 @declare(QUERIES, "select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over w as carried, last_value(case when event_type = 'purchase' then event_id end ignore nulls) over w as stated_at from events window w as (partition by user_id order by ts, event_id rows unbounded preceding)")
 def carry_forward(events: DataFrame) -> DataFrame:
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    last = lambda c: F.last(F.when(F.col("event_type") == "purchase", F.col(c)), ignorenulls=True).over(order)
-    return events.select("event_id", last("value").alias("carried"), last("event_id").alias("stated_at"))
+    rows = position.carried(events, "user_id", ["ts", "event_id"], ["value", "event_id"], F.col("event_type") == "purchase")
+    return rows.select("event_id", F.col("carried_value").alias("carried"), F.col("carried_event_id").alias("stated_at"))
 
 
 @declare(QUERIES, "with g as (select user_id, day from (select distinct user_id from events), (select distinct ts::date as day from events)) select g.user_id, g.day::varchar as day, count(event_id)::bigint n from g left join events e on e.user_id = g.user_id and e.ts::date = g.day group by all")
 def dense_grid(events: DataFrame) -> DataFrame:
-    days = events.select(F.to_date("ts").alias("day")).distinct()
-    grid = events.select("user_id").distinct().crossJoin(F.broadcast(days))
     counts = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    return grid.join(counts, ["user_id", "day"], "left").select("user_id", F.col("day").cast("string").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
+    grid = position.dense(counts, events.select("user_id").distinct(), events.select(F.to_date("ts").alias("day")).distinct())
+    return grid.select("user_id", F.col("day").cast("string").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 SCORED_SQL = """
@@ -176,8 +176,8 @@ def ordered_aliases_per_entity(lineitem: DataFrame) -> DataFrame:
 
 @declare(QUERIES, "select l_partkey, string_agg(k, ',' order by k) chapters, min(k)::bigint first_chapter from (select distinct l_partkey, l_orderkey % 37 k from lineitem) group by 1")
 def chapters_by_place(lineitem: DataFrame) -> DataFrame:
-    rows = lineitem.select("l_partkey", (F.col("l_orderkey") % 37).alias("k"))
-    return rows.groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_set("k")), ",").alias("chapters"), F.min("k").alias("first_chapter"))
+    uses = lineitem.select("l_partkey", (F.col("l_orderkey") % 37).alias("chapter"))
+    return payload.chapters_by_place(uses, "l_partkey").withColumn("chapters", F.array_join("chapters", ","))
 
 
 @declare(QUERIES, "with p as (select c_custkey, c_nationkey, list_distinct([c_custkey % 9, (c_custkey * 7) % 9]) l, c_custkey % 9 a, (c_custkey * 7) % 9 b from customer) select c_custkey, case when c_nationkey = 0 then 'unknown' when c_nationkey = 1 then 'here' when a = c_nationkey % 9 or b = c_nationkey % 9 then 'here' when a < c_nationkey % 9 and b < c_nationkey % 9 then 'past' when a > c_nationkey % 9 and b > c_nationkey % 9 then 'future' else 'cyclic' end as class from p")
@@ -210,7 +210,21 @@ def stateful_carry(events: DataFrame) -> DataFrame:
     return lists.select("track", F.explode(F.aggregate("rows", empty, step)).alias("r")).select("track", "r.*")
 
 
-@declare(QUERIES)
+SERIES_SQL = """
+with recursive e as (select user_id::varchar track, extract(day from ts)::int chapter, event_id, event_id % 11 k, props from events),
+g as (select track, chapter, row_number() over (partition by track order by chapter) rn from (select distinct track from e), (select distinct chapter from e)),
+d as (select g.track, g.chapter, g.rn, count(e.event_id) n, max(e.event_id) filter (k < 8 or k = 9) real_at, max(e.event_id) filter (k = 8) inner_at from g left join e on e.track = g.track and e.chapter = g.chapter group by all),
+x as (select d.*, r.k rk, r.props rp, i.props ip from d left join e r on r.event_id = d.real_at left join e i on i.event_id = d.inner_at),
+w as (select track, 0 chapter, 0::bigint rn, null::int leg, null::double along, ''::varchar source, ''::varchar place, null::int since, ''::varchar flags, ''::varchar evidence from d where rn = 1
+ union all select x.track, x.chapter, x.rn, case when x.real_at is null then w.leg when x.rk = 9 then 3 when x.rk = 0 and (w.leg + w.along) > 0 then 7 else x.rk end::int, case when x.real_at is null then w.along when x.rk = 9 then 0.5 when x.rk = 0 and (w.leg + w.along) > 0 then 1.0 else 0.0 end,
+ case when x.real_at is not null then 'stated' when w.leg is not null then 'carried' else 'unknown' end, case when x.real_at is not null then x.rk::varchar when x.inner_at is not null and w.leg is not null then '8' else '' end, case when x.real_at is not null then x.chapter when w.leg is not null then w.since end,
+ case when x.real_at is not null then 'unconfirmed_place' when x.inner_at is not null and w.leg is not null then 'unconfirmed_place;local_interior' when x.n > 0 and w.leg is not null then 'on_stage_unplaced' else '' end, case when x.real_at is not null then left(x.rp, 160) when x.inner_at is not null and w.leg is not null then left(x.ip, 160) else '' end
+ from w join x on x.track = w.track and x.rn = w.rn + 1)
+select format('{:02d}:{}', chapter, track) as key, chapter::varchar chapter, track, coalesce(leg::varchar, '') leg, coalesce(format('{:.3f}', along), '') along, place place_name_in_text, source, coalesce(since::varchar, '') stated_at_chapter, flags, evidence from w where rn > 0
+"""
+
+
+@declare(QUERIES, SERIES_SQL)
 def position_series(events: DataFrame) -> DataFrame:
     """The position resolver over event streams: users as tracks, days as chapters, event numbers as places."""
     places = {str(k): position.Place("node", (k,) if k else (0, 8)) for k in range(8)} | {"8": position.Place("local"), "9": position.Place("waypoint", leg=3, along=0.5)}
@@ -249,7 +263,7 @@ def merge_repeats(part: DataFrame) -> DataFrame:
 
 @declare(QUERIES, "select user_id, min_by(props, event_id) evidence, min(event_id) first_event from events where props <> '' group by 1")
 def earliest_evidence(events: DataFrame) -> DataFrame:
-    return events.filter("props != ''").groupBy("user_id").agg(F.min_by("props", "event_id").alias("evidence"), F.min("event_id").alias("first_event"))
+    return payload.earliest(events, "user_id", "event_id", "props").select("user_id", F.col("props").alias("evidence"), F.col("first").alias("first_event"))
 
 
 @declare(QUERIES, "select user_id, count_if(event_type = 'purchase')::bigint stated, count(*)::bigint total from events group by 1")

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import text as K
-from waymark.operators import evidence, extraction, segment
+from waymark.operators import evidence, extraction, segment, validate
 
 from ._declare import Declared, declare
 
 QUERIES: dict[str, Declared] = {}
 
 # Typography that the test texts don't have is put into them, alike on both sides.
-VARIANT = "replace(replace(replace({0}, ' the ', ' “the” '), ' of ', '—of'), ' and ', ' _and_ ’t ')"
+VARIANT = "replace(replace(replace({0}, ' the ', ' “the” '), ' of ', '—of'), ' and ', ' _and_ ’t cafe\u0301 ΟΔΥΣΣΕΥΣ Straße ſo µ ﬁn \u212b ')"
 SQL_NORM = (
-    "trim(regexp_replace(regexp_replace(translate(replace({0}, '…', '...'), '‘’‚‛ʼ´`“”„‟«»″‐‑‒–—―−' || chr(160) || chr(8194) || chr(8195) || chr(8199) || chr(8201) || chr(8202) || chr(8239) || chr(173) || chr(8203) || chr(65279) || '_', "
+    "trim(regexp_replace(regexp_replace(translate(replace(nfc_normalize({0}), '…', '...'), '‘’‚‛ʼ´`“”„‟«»″‐‑‒–—―−' || chr(160) || chr(8194) || chr(8195) || chr(8199) || chr(8201) || chr(8202) || chr(8239) || chr(173) || chr(8203) || chr(65279) || '_', "
     "'''''''''''''''\"\"\"\"\"\"\"------- ' || '      '), '\\s+', ' ', 'g'), '-{{2,}}', '-', 'g'))"
 )
 
@@ -25,14 +25,16 @@ def norm_sql(x: str) -> str:
 
 
 def key_sql(x: str) -> str:
-    return f"replace(lower({norm_sql(x)}), 'ß', 'ss')"
+    # full case folding, of the characters that the texts and their variants have
+    return f"replace(replace(translate(lower({norm_sql(x)}), 'ςſµ', 'σsμ'), 'ß', 'ss'), 'ﬁ', 'fi')"
 
 
 EDGE_SQL = "trim(regexp_replace(trim({0}), '^[\"''‘’“”‚‛„‟]+|[\"''‘’“”‚‛„‟]+$', '', 'g'))"
 
+ELIDED_SQL = "contains(nq, '...') and len(fq) >= 2 and list_reduce(list_prepend(nt, fq), lambda rest, f: case when contains(rest, f) then substr(rest, instr(rest, f) + length(f)) end) is not null"
 PAIRS_SQL = f"""
-with b as (select item_id, text q, {norm_sql('text')} nq, {key_sql('text')} kq from benchmark), d as (select doc_id, source, text, {norm_sql('text')} nt, {key_sql('text')} kt from documents),
-v as (select doc_id, source, item_id, case when contains(text, q) then 'exact' when contains(nt, nq) then 'normalised' when contains(kt, kq) then 'case_insensitive' else 'missing' end kind from d, b)
+with b as (select *, {EDGE_SQL.format('nq')} bq, list_filter(regexp_split_to_array(nq, '\\s*\\.\\.\\.\\s*'), lambda f: length(f) >= 8) fq from (select item_id, text q, {norm_sql('text')} nq, {key_sql('text')} kq from benchmark)), d as (select doc_id, source, text, {norm_sql('text')} nt, {key_sql('text')} kt from documents),
+v as (select doc_id, source, item_id, case when contains(text, q) then 'exact' when contains(nt, nq) or (bq <> '' and contains(nt, bq)) then 'normalised' when contains(kt, kq) then 'case_insensitive' when {ELIDED_SQL} then 'ellipsis' else 'missing' end kind from d, b)
 """
 
 
@@ -41,7 +43,7 @@ def quote_verdicts(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return evidence.find_quotes(documents, benchmark)
 
 
-@declare(QUERIES, f"{PAIRS_SQL}, k as (select unnest(['exact', 'normalised', 'case_insensitive', 'missing']) kind) select k.kind, count(v.kind)::bigint n from k left join v on v.kind = k.kind group by 1")
+@declare(QUERIES, f"{PAIRS_SQL}, k as (select unnest(['exact', 'normalised', 'case_insensitive', 'ellipsis', 'missing']) kind) select k.kind, count(v.kind)::bigint n from k left join v on v.kind = k.kind group by 1")
 def quote_verdict_counts(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return evidence.verdict_counts(evidence.find_quotes(documents, benchmark), documents.count() * benchmark.count())
 
@@ -79,10 +81,18 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", K.word_count(F.col("text")).alias("words"), K.first_line(F.col("text")).alias("first_line"))
 
 
-@declare(QUERIES, "select p_partkey, 1 + p_partkey % 3999 n, 1 + p_partkey % 3999 back from part")
+ROMAN_SQL = " || ".join(
+    f"['', '{a}', '{a}{a}', '{a}{a}{a}', '{a}{b}', '{b}', '{b}{a}', '{b}{a}{a}', '{b}{a}{a}{a}', '{a}{c}'][n // {ten} % 10 + 1]" for a, b, c, ten in (("C", "D", "M", 100), ("X", "L", "C", 10), ("I", "V", "X", 1))
+)
+
+
+@declare(QUERIES, f"select p_partkey, n, repeat('M', (n // 1000)::int) || {ROMAN_SQL} numeral, n back, case when n % 10 < 4 then null else n end odd from (select p_partkey, 1 + p_partkey % 3999 n from part)")
 def roman_numerals(part: DataFrame) -> DataFrame:
+    """Numbers as numerals and back; four marks in a row are no numeral."""
     n = 1 + F.col("p_partkey") % 3999
-    return part.select("p_partkey", n.alias("n"), K.roman_to_int(K.int_to_roman(n)).cast("long").alias("back"))
+    numeral = K.int_to_roman(n)
+    odd = F.when(n % 10 < 4, F.concat(numeral, F.lit("IIII"))).otherwise(F.lower(numeral))
+    return part.select("p_partkey", n.alias("n"), numeral.alias("numeral"), K.roman_to_int(numeral).cast("long").alias("back"), K.roman_to_int(odd).cast("long").alias("odd"))
 
 
 @declare(QUERIES, "select distinct l_shipmode_like mode, case l_shipmode_like when 'train' then 'railway' when 'ship' then 'steamer' when 'rail' then 'railway' when 'foot' then 'on_foot' when 'steamer' then 'steamer' else 'other' end known from (select unnest(['train', 'ship', 'rail', 'foot', 'steamer', 'hovercraft']) l_shipmode_like) where exists (select 1 from region)")
@@ -132,13 +142,13 @@ def sentence_count_policy(documents: DataFrame) -> DataFrame:
 @declare(QUERIES, "with w as (select doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) n from documents), m as (select median(n) m from w) select doc_id, n::int words, round(n / m, 6) ratio, n between 50 and 6000 as \"within\", n / m between 0.25 and 4 near from w, m")
 def median_ratio_guard(documents: DataFrame) -> DataFrame:
     counted = documents.select("doc_id", K.word_count(F.col("text")).alias("words"))
-    ratio = F.col("words") / F.col("m")
-    return counted.join(F.broadcast(counted.agg(F.median("words").alias("m")))).select("doc_id", "words", F.round(ratio, 6).alias("ratio"), F.col("words").between(50, 6000).alias("within"), ratio.between(0.25, 4).alias("near"))
+    return segment.median_guard(counted).select("doc_id", "words", "ratio", "within", "near")
 
 
 @declare(QUERIES, "select md5(text) text_key, count(*)::bigint n, min(doc_id) first_doc from documents group by text having count(*) > 1")
 def duplicate_texts(documents: DataFrame) -> DataFrame:
-    return documents.groupBy(F.md5("text").alias("text_key")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
+    keyed = documents.select(F.md5("text").alias("text_key"), "doc_id")
+    return validate.duplicates(keyed, "text_key", first="doc_id").withColumnRenamed("first", "first_doc")
 
 
 @declare(QUERIES, "select doc_id, sha256(text) sha, length(text)::int chars from documents")
@@ -173,25 +183,66 @@ def evidence_explode(conversations: DataFrame) -> DataFrame:
     return each.select("conv_id", F.format_string("turns[%d].evidence", "i").alias("path"), F.col("t.text").alias("quote")).filter(F.trim("quote") != "")
 
 
-@declare(QUERIES, "with q as (select conv_id, turn, text, case when turn % 4 = 0 then left(text, 40) when turn % 4 = 1 then upper(left(text, 40)) when turn % 4 = 2 then left(text, 20) || ' ... ' || right(text, 20) else 'zzzz qqqq' end quote from conversations where length(text) >= 60 and text not like '%...%' and regexp_matches(text, '^[ -~]*$') and lower(text) not like '%zzzz qqqq%') select conv_id, turn, case when turn % 4 = 0 then 'exact' when turn % 4 = 3 then 'missing' when contains(text, quote) then 'exact' when turn % 4 = 1 then 'case_insensitive' else 'ellipsis' end kind from q where turn % 4 <> 2 or (left(text, 20) = trim(left(text, 20)) and right(text, 20) = trim(right(text, 20)))")
+# Capitals of ASCII only: engines differ in the others.
+UPPER = "translate({0}, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+LADDER_SQL = f"""
+with q as (select conv_id, turn, coalesce(text, '') t, case when turn % 4 = 0 then left(t, 40) when turn % 4 = 1 then {UPPER.format('left(t, 40)')} when turn % 4 = 2 then left(t, 20) || ' ... ' || right(t, 20) else '“' || right(t, 30) || '”' end q from conversations),
+n as (select *, string_split(t, chr(10)) ls, {norm_sql('t')} nt, {norm_sql('q')} nq, {key_sql('t')} kt, {key_sql('q')} kq from q),
+m as (select *, {EDGE_SQL.format('nq')} bq, list_filter(regexp_split_to_array(nq, '\\s*\\.\\.\\.\\s*'), lambda f: length(f) >= 8) fq from n),
+k as (select *, case when q <> '' and contains(t, q) then 'exact' when nq = '' then 'missing' when contains(nt, nq) or (bq <> '' and contains(nt, bq)) then 'normalised' when contains(kt, kq) then 'case_insensitive' when {ELIDED_SQL} then 'ellipsis' else 'unlike' end kind,
+ case when contains(nt, nq) then instr(nt, nq) when bq <> '' and contains(nt, bq) then instr(nt, bq) when contains(kt, kq) then least(instr(kt, kq), length(nt)) else instr(nt, fq[1]) end spot from m)
+select conv_id, turn, kind, case when kind = 'exact' then len(string_split(left(t, (instr(t, q) - 1)::int), chr(10))) when kind in ('normalised', 'case_insensitive', 'ellipsis') then list_filter(range(1, len(ls) + 1), lambda i: length({norm_sql('array_to_string(ls[1:i], chr(10))')}) >= spot)[1] end::int line_no,
+ case when kind = 'case_insensitive' then trim(substr(nt, spot, length(nq))) end closest from k
+"""
+
+
+@declare(QUERIES, LADDER_SQL)
 def quote_ladder(conversations: DataFrame) -> DataFrame:
-    plain = conversations.filter("length(text) >= 60 and text not like '%...%' and text rlike '^[ -~]*$' and lower(text) not like '%zzzz qqqq%'")
-    plain = plain.filter("turn % 4 != 2 or (left(text, 20) = trim(left(text, 20)) and right(text, 20) = trim(right(text, 20)))")
-    quote = F.expr("case when turn % 4 = 0 then left(text, 40) when turn % 4 = 1 then upper(left(text, 40)) when turn % 4 = 2 then left(text, 20) || ' ... ' || right(text, 20) else 'zzzz qqqq' end")
-    return evidence.check_quotes(plain.withColumn("quote", quote)).select("conv_id", "turn", "kind")
+    """Quotations from every turn, changed so that each needs another rung, with the line and wording that was found.
+
+    ``unlike`` are those that only difflib can rank (near misses or missing).
+    """
+    text = conversations.withColumn("text", F.coalesce("text", F.lit("")))
+    quote = F.expr(f"case when turn % 4 = 0 then left(text, 40) when turn % 4 = 1 then {UPPER.format('left(text, 40)')} when turn % 4 = 2 then left(text, 20) || ' ... ' || right(text, 20) else '“' || right(text, 30) || '”' end")
+    checks = evidence.check_quotes(text.withColumn("quote", quote))
+    ranked = F.col("kind").isin("exact", "normalised", "case_insensitive", "ellipsis") | (K.normalize(F.col("quote")) == "")
+    return checks.select("conv_id", "turn", F.when(ranked, F.col("kind")).otherwise("unlike").alias("kind"), F.when(ranked, F.col("line_no")).alias("line_no"), F.when(ranked, F.col("closest")).alias("closest"))
 
 
 @declare(QUERIES)
 def fuzzy_best_span(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Whole items with a changed word, against the documents that have them."""
     pairs = evidence.find_quotes(documents, benchmark).join(documents, "doc_id").join(benchmark.select("item_id", F.col("text").alias("item")), "item_id")
-    quote = F.regexp_replace(F.substring("item", 1, 120), " the ", " one ")
-    return evidence.check_quotes(pairs.drop("kind").withColumn("quote", quote)).select("doc_id", "item_id", "kind", F.round("ratio", 6).alias("ratio"), "closest")
+    quote = F.regexp_replace("item", " the ", " one ")
+    return evidence.check_quotes(pairs.drop("kind").withColumn("quote", quote)).select("doc_id", "item_id", "kind", F.round("ratio", 6).alias("ratio"), "line_no", "closest")
 
 
-@declare(QUERIES)
-def indel_ratios(part: DataFrame) -> DataFrame:
+# The longest common subsequence by the bit-parallel recurrence, on 128-bit integers: part names have fewer characters.
+INDEL_SQL = """
+with x as (select p_partkey, p_name a, lag(p_name) over (partition by p_brand order by p_partkey) b from part),
+m as (select *, (2::hugeint ** length(a))::hugeint - 1 f, list_transform(string_split(b, ''), lambda c: coalesce(list_sum(list_transform(range(length(a)), lambda i: case when substr(a, i::int + 1, 1) = c then (2::hugeint ** i)::hugeint else 0::hugeint end)), 0)::hugeint) ms from x where b is not null),
+v as (select *, list_reduce(list_prepend(f, ms), lambda v, u: ((v + (v & u)) | (v - (v & u))) & f) v from m)
+select p_partkey, round(200.0::double * (length(a) - bit_count(v)) / (length(a) + length(b)), 6) ratio from v
+"""
+
+
+def _neighbours(part: DataFrame) -> DataFrame:
     order = Window.partitionBy("p_brand").orderBy("p_partkey")
-    return part.withColumn("other", F.lag("p_name").over(order)).filter("other is not null").select("p_partkey", F.round(K.indel_ratio("p_name", "other"), 6).alias("ratio"), K.inline_diff("other", "p_name").alias("diff"))
+    return part.withColumn("other", F.lag("p_name").over(order)).filter("other is not null")
+
+
+@declare(QUERIES, INDEL_SQL)
+def indel_ratios(part: DataFrame) -> DataFrame:
+    return _neighbours(part).select("p_partkey", F.round(K.indel_ratio("p_name", "other"), 6).alias("ratio"))
+
+
+@declare(QUERIES, "select p_partkey, b before, p_name as after from (select *, lag(p_name) over (partition by p_brand order by p_partkey) b from part) where b is not null")
+def inline_diffs(part: DataFrame) -> DataFrame:
+    """The diff of neighbours' names, and what both sides are when it is read without its insertions or deletions."""
+    diff = K.inline_diff("other", "p_name")
+    before = F.regexp_replace(F.regexp_replace(diff, r"\{\+.*?\+\}", ""), r"\[-(.*?)-\]", "$1")
+    after = F.regexp_replace(F.regexp_replace(diff, r"\[-.*?-\]", ""), r"\{\+(.*?)\+\}", "$1")
+    return _neighbours(part).select("p_partkey", before.alias("before"), after.alias("after"))
 
 
 @declare(QUERIES, "select event_id, 1 + event_id % 5 lo, 5 + event_id % 7 hi, list_sort(list_distinct(list_concat(range(1 + event_id % 5, 6 + event_id % 7), [12])))::varchar picked from events")
@@ -200,18 +251,20 @@ def chapter_selections(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.expr("1 + event_id % 5").alias("lo"), F.expr("5 + event_id % 7").alias("hi"), F.concat(F.lit("["), F.array_join(segment.chapter_selection(spec), ", "), F.lit("]")).alias("picked"))
 
 
-@declare(QUERIES, "select conv_id, row_number() over (partition by conv_id order by turn)::int number, upper(role) title, trim(text, ' ' || chr(10)) body from conversations where text not like '%' || chr(10) || chr(10) || '%' and conv_id not in (select conv_id from conversations where trim(text) = '')")
+STRIPPED_SQL = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
+
+
+@declare(QUERIES, f"select conv_id, row_number() over (partition by conv_id order by turn)::int number, upper(role) title, {STRIPPED_SQL.format(f"array_to_string(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {STRIPPED_SQL.format('x')}), chr(10))")} body from conversations")
 def book_chapters(conversations: DataFrame) -> DataFrame:
-    """Each conversation printed as a book, and cut into its chapters again."""
+    """Each conversation printed as a book, and cut into its chapters again; lines are stripped, blank ones inside stay."""
     order = Window.partitionBy("conv_id").orderBy("turn")
-    good = conversations.join(conversations.filter("trim(text) = ''").select("conv_id"), "conv_id", "left_anti").withColumn("n", F.row_number().over(order))
-    page = F.concat(F.lit("CHAPTER "), K.int_to_roman(F.col("n")), F.lit(".\n"), F.upper("role"), F.lit("\n\n"), "text", F.lit("\n\n"))
-    books = good.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", page.alias("p")))), lambda x: x["p"]), "").alias("text"))
-    odd = good.filter(F.col("text").contains("\n\n")).select("conv_id", F.col("n").alias("number"))
-    return segment.split_chapters(books).select("conv_id", "number", "title", "body").join(odd, ["conv_id", "number"], "left_anti")
+    rows = conversations.withColumn("n", F.row_number().over(order))
+    page = F.concat(F.lit("CHAPTER "), K.int_to_roman(F.col("n")), F.lit(".\n"), F.upper("role"), F.lit("\n\n"), F.coalesce("text", F.lit("")), F.lit("\n\n"))
+    books = rows.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", page.alias("p")))), lambda x: x["p"]), "").alias("text"))
+    return segment.split_chapters(books).select("conv_id", "number", "title", "body")
 
 
-@declare(QUERIES, "select conv_id::int conv_id, format('places_visited[{}].evidence', rn - 1) path, trim(text, ' ' || chr(10)) quote from (select *, row_number() over (partition by conv_id order by turn) rn from conversations) where conv_id > 0 and trim(text, ' ' || chr(10)) <> ''")
+@declare(QUERIES, "select conv_id::int conv_id, format('places_visited[{}].evidence', rn - 1) path, trim(text, ' ' || chr(10)) quote from (select *, row_number() over (partition by conv_id order by turn) rn from conversations) where trim(text, ' ' || chr(10)) <> ''")
 def extraction_evidence(conversations: DataFrame) -> DataFrame:
     """Each conversation as an extraction record in JSON, some within code fences; parsed, coerced, and its evidence exploded."""
     visit = F.struct(F.col("role").alias("name_in_text"), F.lit("arrival").alias("role"), F.col("text").alias("evidence"))
@@ -219,7 +272,7 @@ def extraction_evidence(conversations: DataFrame) -> DataFrame:
     number = F.col("conv_id").cast("int")
     plain = F.to_json(F.struct(number.alias("chapter"), "places_visited"))
     text = F.when(number % 2 == 0, F.concat(F.lit("```json\n"), plain, F.lit("\n```"))).otherwise(plain)
-    loaded = extraction.load(lists.filter("conv_id > 0").select(number.alias("number"), text.alias("text")))
+    loaded = extraction.load(lists.select(number.alias("number"), text.alias("text")))
     return extraction.evidence_rows(loaded.filter("error is null")).select(F.col("number").alias("conv_id"), "path", "quote")
 
 

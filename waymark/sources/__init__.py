@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.functions.text import place_key, sparql_string
+
 
 def decode(content: Column) -> Column:
     """Bytes as text: UTF-8 with or without a mark, else Latin-1; line ends as line feeds."""
@@ -53,8 +57,6 @@ def write_table(table: DataFrame, path: str, key: str) -> None:
 
 
 def cache_key(source: str, name: Column, operation: str = "search", version: int = 1) -> Column:
-    from waymark.functions.text import place_key
-
     return F.concat(F.lit(f"{source}:{operation}:v{version}:"), place_key(name))
 
 
@@ -88,3 +90,73 @@ def write_json(payload: DataFrame, path: str, key: str) -> None:
     from waymark.operators.payload import to_json_lines
 
     to_json_lines(payload, key).coalesce(1).select("json").write.mode("overwrite").text(path)
+
+
+@dataclass(frozen=True)
+class TextSource:
+    """One text and where it may be had: addresses in the order to try them, and what a good copy has at least."""
+
+    name: str
+    number: int
+    addresses: tuple[str, ...]
+    least_bytes: int = 100_000
+    chapters: int | None = None
+
+    def urls(self) -> tuple[str, ...]:
+        return tuple(a.format(number=self.number) for a in self.addresses)
+
+    def path(self, folder: str) -> str:
+        return f"{folder.rstrip('/')}/{self.number}.txt"
+
+    def is_whole(self, size: int) -> bool:
+        """Whether a copy of that many bytes can be the text: error pages are small."""
+        return size >= self.least_bytes
+
+
+@dataclass(frozen=True)
+class LayerSource:
+    """One layer of a map: its address and file."""
+
+    name: str
+    address: str
+
+    def urls(self) -> tuple[str, ...]:
+        return (self.address,)
+
+    def path(self, folder: str) -> str:
+        return f"{folder.rstrip('/')}/{self.name}.geojson"
+
+
+def prompt_name(number: Column) -> Column:
+    return F.format_string("prompt_%02d.md", number)
+
+
+def put_answers(cache: DataFrame, answers: DataFrame, source: str, name: str = "name") -> DataFrame:
+    """The cache (``key, candidates``) with the answers to names (``name, candidates``) in place of older ones."""
+    new = answers.select(cache_key(source, F.col(name)).alias("key"), "candidates").dropDuplicates(["key"])
+    return cache.select("key", "candidates").join(new.select("key"), "key", "left_anti").unionByName(new)
+
+
+def write_cache(cache: DataFrame, path: str) -> None:
+    """The cache as JSON lines in order of key."""
+    cache.orderBy("key").coalesce(1).write.mode("overwrite").json(path)
+
+
+def place_query(name: Column, limit: int = 10, language: str = "en") -> Column:
+    """A SPARQL query that searches an entity by label or alias and fetches what ``parse_binding`` reads, in one.
+
+    Only entities with a coordinate are asked for, and labels of one language; names are escaped.
+    """
+    wanted = {"enLabel": "rdfs:label", "alias": "skos:altLabel", "description": "schema:description"}
+    facts = {"type": "wdt:P31", "country": "wdt:P17", "population": "wdt:P1082", "sitelinks": "wikibase:sitelinks"}
+    texts = [f'?item {p} ?{v} FILTER(LANG(?{v}) = "{language}")' for v, p in wanted.items()]
+    found = [texts[0], *[f"OPTIONAL {{ {t} }}" for t in texts[1:]], *[f"OPTIONAL {{ ?item {p} ?{v} }}" for v, p in facts.items()]]
+    search = {"wikibase:api": '"EntitySearch"', "wikibase:endpoint": '"www.wikidata.org"', "mwapi:language": f'"{language}"', "mwapi:limit": f'"{limit}"'}
+    params = " ".join(f"bd:serviceParam {k} {v} ." for k, v in search.items())
+    head = "SELECT ?item ?lat ?lon ?typeLabel ?countryLabel " + " ".join(f"?{v}" for v in (*wanted, *facts))
+    begin = f"{head} WHERE {{ SERVICE wikibase:mwapi {{ {params} ?item wikibase:apiOutputItem mwapi:item . bd:serviceParam mwapi:search "
+    end = (
+        " . } ?item wdt:P625 ?at . BIND(geof:latitude(?at) AS ?lat) BIND(geof:longitude(?at) AS ?lon) " + " . ".join(found)
+        + f' SERVICE wikibase:label {{ bd:serviceParam wikibase:language "{language}" }} }} LIMIT 200'
+    )
+    return F.concat(F.lit(begin), sparql_string(name), F.lit(end))
