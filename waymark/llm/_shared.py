@@ -8,6 +8,7 @@ through ``pyarrow.fs`` (``open_output``/``open_input``), so that ``file:``, ``hd
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -29,10 +30,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset (tests), a temporary one."""
+    """The folder in ``spark.checkpoint.dir``; only where that is unset, and only on one machine (tests), a temporary one."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all of its machines share")
         root = f"file://{(own := tempfile.mkdtemp(prefix='waymark-'))}"
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         sc.setCheckpointDir(root)
@@ -40,15 +43,28 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name in the shared folder."""
-    return f"{shared_root(spark)}/waymark/{label}-{uuid.uuid4().hex}"
+    """A new folder name in this session's part of the shared folder, which goes when the driver ends."""
+    run = f"{shared_root(spark)}/waymark/{spark.sparkContext.applicationId}"
+    if run not in _RUNS:
+        _RUNS.add(run)
+        atexit.register(_remove, run)
+    return f"{run}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+_RUNS: set[str] = set()
+
+
+def _remove(uri: str) -> None:
+    system, path = _filesystem(uri)
+    with contextlib.suppress(OSError):  # there may be nothing, or the store may be gone
+        system.delete_dir(path)
+
+
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a DataFrame to the shared folder and read it back: computed once, and safe when executors are lost."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -97,15 +113,20 @@ def text_or_empty(name: str) -> Column:
 MAP_BITS, ROW_BITS = 1 << 26, 1 << 15
 
 
-def marked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose key has its bit in a map of the keys ``wanted``: all of those, and few others.
+def flagged(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``_may``: whether the key has its bit in a map of the keys ``wanted``, as all of those have, and few others.
 
     The map has ``MAP_BITS`` bits whatever the input, in rows of ``ROW_BITS``, and is broadcast. When very many keys are
     wanted it lets more pass, and nothing else changes: what follows is a join on the key itself.
     """
     bit = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
     bits = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / ROW_BITS).alias("_map_row")).agg(F.bitmap_construct_agg(F.col("bit") % ROW_BITS).alias("_map"))
-    at = rows.withColumn("_bit", bit).withColumn("_map_row", F.floor(F.col("_bit") / ROW_BITS)).join(F.broadcast(bits), "_map_row")
+    at = rows.withColumn("_bit", bit).withColumn("_map_row", F.floor(F.col("_bit") / ROW_BITS)).join(F.broadcast(bits), "_map_row", "left")
     place = (F.col("_bit") % ROW_BITS).cast("int")
     byte = F.conv(F.hex(F.substring("_map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return at.filter(F.getbit(byte, place % 8) == 1).select(*rows.columns)
+    return at.select(*rows.columns, F.coalesce(F.getbit(byte, place % 8) == 1, F.lit(False)).alias("_may"))
+
+
+def marked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` that are ``flagged``."""
+    return flagged(rows, wanted, key).filter("_may").drop("_may")
