@@ -3,12 +3,13 @@
 An ARC file begins with a version block. Its second line is "<version> <reserved> <origin>", its third names the fields
 of each record's header line; version 1 has five fields, version 2 ten. A header line ends with the declared length of
 the record's body in bytes, which is followed by a line end. From a header line and its body the converter makes a WARC
-record: an identifier (a UUID from URL, date and digest, so that repeated runs agree), the timestamp in ISO form, the
+record: an identifier (a UUID from URL, date, digest, page and type, so that repeated runs agree), the timestamp in ISO form, the
 type - ``response``, or ``revisit`` without payload when an equal payload is kept elsewhere -, the content type, and a
 base32 SHA-1 of the payload. Records are members of a gzip file each, so that one can be read by itself.
 
 Edge cases: a null or empty body is a payload of 0 bytes; white space in a URL is percent-encoded, a null URL is "-";
-null page ids come after all others in choosing the response; of repeated rows of the chosen id all are responses; one
+null page ids come after all others in choosing the response; of repeated rows of the chosen id all are responses; rows
+that agree in page, URL and payload are the same record, under one identifier; one
 digest may be that of any share of all rows; a body of any length is one record; an empty table gives no files; extra
 columns are not looked at.
 """
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import HOT_KEYS, materialise, open_input, open_output, prepare, shared_dir
+from ._shared import HOT_KEYS, flagged, materialise, open_input, open_output, prepare, shared_dir
 
 # The fields of a header line, by version.
 FIELDS = {
@@ -99,8 +100,8 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_uuid(uri: str, date: str, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri} {date} {digest}')}>"
+def record_uuid(uri: str, date: str, digest: str, kind: str = "response", page: str = "") -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri} {date} {digest} {kind} {page}')}>"
 
 
 def iso_date(arc_date: str) -> str:
@@ -115,9 +116,9 @@ def warc_record(record: ArcRecord, revisit: Revisit | None = None, extra: dict[s
     uri, date, digest = header["URL"], iso_date(header["Archive-date"]), base32_sha1(body)
     code, kind = header.get("Result-code", "200"), header["Content-type"]
     http = f"HTTP/1.0 {code if code.isdigit() else 200} OK\r\nContent-Type: {kind}\r\nContent-Length: {len(body)}\r\n\r\n".encode("utf-8", "surrogateescape")
-    block = http if revisit else http + body
+    block, own = http if revisit else http + body, "revisit" if revisit else "response"
     lines = {
-        "WARC-Type": "revisit" if revisit else "response", "WARC-Record-ID": record_uuid(uri, date, digest), "WARC-Date": date, "WARC-Target-URI": uri, "WARC-IP-Address": header["IP-address"],
+        "WARC-Type": own, "WARC-Record-ID": record_uuid(uri, date, digest, own, (extra or {}).get("X-Page", "")), "WARC-Date": date, "WARC-Target-URI": uri, "WARC-IP-Address": header["IP-address"],
         "WARC-Payload-Digest": f"sha1:{digest}", "WARC-Block-Digest": f"sha1:{base32_sha1(block)}",
     }
     if revisit:
@@ -162,7 +163,8 @@ def with_responses(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
 
     The response among equal payloads (by SHA-1 and length) of ``least`` bytes or more is the one of the largest id.
     Ids and digests are grouped first, without bodies. Digests with over a thousandth of all pages - fewer than a
-    thousand of them - are broadcast, so their bodies don't move; other bodies are shuffled once, by digest.
+    thousand of them - are broadcast, so their bodies don't move; nor do bodies that a map of fixed size shows to be single.
+    Only the others are shuffled, by digest.
     """
     same = F.concat_ws("-", F.sha1("html"), F.octet_length("html"))
     marks = materialise(pages.select("id", "url", "date", same.alias("same"), F.octet_length("html").alias("bytes")), "digests")
@@ -172,16 +174,17 @@ def with_responses(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     hot, rare = kept.filter(F.col("n") > hot_over).drop("n"), kept.filter(F.col("n") <= hot_over).drop("n")
     named = pages.withColumn("same", same).join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "same", "left")
     warm = named.filter("_hot").drop("_hot")
-    cold = named.filter("_hot is null").select("same", *pages.columns).join(rare, "same", "left")
-    out = warm.unionByName(cold)
+    cold = flagged(named.filter("_hot is null").select("same", *pages.columns), rare, "same")
+    single = cold.filter("not _may").drop("_may").select("*", *[F.lit(None).cast(t).alias(c) for c, t in rare.dtypes if c != "same"])
+    out = warm.unionByName(cold.filter("_may").drop("_may").join(rare, "same", "left")).unionByName(single)
     return out.withColumn("revisit", F.col("keep_url").isNotNull() & ~F.col("id").eqNullSafe(F.col("keep"))).drop("same")
 
 
 def convert(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_REVISIT, path: str | None = None) -> DataFrame:
     """Pages through an ARC stream of both versions into WARC files; gives the manifest ``(file, records, bytes)``.
 
-    Every partition is one ARC stream per version, held in memory a record at a time, whose records the converter turns
-    into members of ``.warc.gz`` files in the shared folder. Files are new ones; a lost task's are named by no manifest.
+    Each page is an ARC stream of one record, versions by turns, which the converter parses and turns into a member of a
+    ``.warc.gz`` file; memory holds a record at a time. Files are new ones; a lost task's are named by no manifest.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -209,7 +212,8 @@ def convert(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     revisit = None
                     if row.revisit:
                         date, digest = iso_date(row.keep_date), base32_sha1(record.body)
-                        revisit = Revisit(record_uuid(row.keep_url, date, digest), row.keep_url, date)
+                        keep = "" if pd.isna(row.keep) else str(int(row.keep))
+                        revisit = Revisit(record_uuid(row.keep_url, date, digest, "response", keep), row.keep_url, date)
                     extra = {"X-Page": "" if pd.isna(row.id) else str(int(row.id)), "X-Payload-Length": str(len(record.body))} | ({"X-Refers-To-Page": "" if pd.isna(row.keep) else str(int(row.keep))} if revisit else {})
                     unit = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                     member = unit.compress(warc_record(record, revisit, extra)) + unit.flush()
