@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import prepare, text_or_empty
@@ -158,7 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id
     """Fit on at most ``sample`` labelled documents for which ``usable`` (a Column over the labels) holds.
 
     The ids of the sample are broadcast (a bound of ``sample`` rows); statistics are counted by the executors, and the
-    driver gets ``sample`` rows of ``len(FEATURES)`` numbers.
+    driver gets at most ``sample`` rows of ``len(FEATURES)`` numbers, those with the smallest hashes of id and statistics,
+    however many documents repeat a labelled id.
     """
     prepare(docs.sparkSession)
     some = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -170,19 +171,25 @@ def train(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id
         for batch in batches:
             yield pd.DataFrame({"id": batch["_id"], "y": batch["_y"], "x": list(_matrix(batch["_t"]))})
 
-    got = rows.select("_id", "_t", "_y").mapInPandas(run, "id long, y double, x array<double>").toPandas()
+    found = rows.select("_id", "_t", "_y").mapInPandas(run, "id long, y double, x array<double>")
+    got = found.orderBy(F.xxhash64("id"), F.xxhash64("x"), "y").limit(sample).toPandas()
     order = np.lexsort((got["y"].to_numpy(), got["id"].to_numpy())) if len(got) else []
     x = np.array([list(v) for v in got["x"]], np.float64).reshape(-1, len(FEATURES))
     return fit(x[order], got["y"].to_numpy(np.float64)[order])
 
 
-def score(docs: DataFrame, forest: Forest, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs``, all columns, with the probability of label 1. Only the text is given to the model."""
+def probability(docs: DataFrame, forest: Forest, text_col: str = "text") -> Column:
+    """The probability of label 1, of which only the text is known."""
     prepare(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def probability(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of_texts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series(forest.score(_matrix(batch)))
 
-    return docs.withColumn(score_col, probability(text_or_empty(text_col)))
+    return of_texts(text_or_empty(text_col))
+
+
+def score(docs: DataFrame, forest: Forest, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs``, all columns, with the ``probability`` of label 1."""
+    return docs.withColumn(score_col, probability(docs, forest, text_col))
