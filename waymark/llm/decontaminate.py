@@ -3,14 +3,15 @@
 A document is contaminated by a benchmark item if some run of as many words as the item has is similar to it: the
 weighted Jaccard similarity of the two multisets of word shingles is ``similarity`` or more, each shingle weighing as
 often as it occurs. Windows of an item's size are fingerprinted by SimHash; the items' fingerprints are indexed by four
-blocks of 16 bits. Two fingerprints within ``RADIUS`` bits differ in at most ``RADIUS // 4`` bits in some block, so
-looking up all values that near in every block finds all of them. Candidates are then verified exactly.
+blocks of 16 bits. Two fingerprints within r bits differ in at most r // 4 bits in some block, so looking up all values
+that near in every block finds all of them. Candidates are then verified exactly.
 
 Which windows are looked at: those that a shared shingle lines up with an item, and those between two such windows. A
 window that shares no shingle has similarity 0, and moving a window past the last such place only loses shared ones. Of
 the n shingles of a window between two such places that are ``gap`` apart, at most 2 n - gap are shared; similarity s
 takes 2 n s / (1 + s). So gaps of up to 2 n / (1 + s) are looked at, and nothing is left out by that, also where the parts
-of an item come in another order. ``RADIUS`` is wide: at similarity 0.8 about 10 of 64 bits differ, with a deviation of 3.
+of an item come in another order. The radius is
+wide (``radius_for``): at similarity 0.8 about 10 of 64 bits differ, with a deviation of 3, and 23 may.
 
 Edge cases: null and empty texts and items match nothing; items of fewer words than a shingle have one, the whole
 sequence; a document shorter than an item is one window; repeated items are found each, repeated documents too; an
@@ -21,7 +22,7 @@ space, A-Z in lower case. A word that no item has equals none, wherever it is.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -29,15 +30,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import prepare, text_or_empty
+from ._shared import materialise, prepare, text_or_empty
 from .simhash import _words
 
 WORDS = 5
 SIMILARITY = 0.8
-RADIUS = 23
 BLOCKS, BLOCK_BITS = 4, 16
-#: Bytes of benchmark text that one index holds; a larger benchmark makes more indexes, each with its own look at the texts.
-INDEX_BYTES = 16 << 20
+#: Bytes of benchmark text that one index holds, and indexes that are held at once. A larger benchmark comes to the driver
+#: and to the workers by so many, each with its own look at the texts.
+INDEX_BYTES, INDEXES = 16 << 20, 4
 UNKNOWN = 1 << 32
 HIT = "array<struct<item_id:long,start:int,words:int,similarity:double>>"
 
@@ -63,10 +64,16 @@ def _simhash(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)).view(">u8").astype(np.uint64)[0]
 
 
+def radius_for(similarity: float) -> int:
+    """The bits that fingerprints may differ in: the mean at that weighted similarity, and 4.6 standard deviations."""
+    share = np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi
+    return min(64, int(np.ceil(64 * share + 4.6 * np.sqrt(64 * share * (1 - share)))))
+
+
 class HammingIndex:
     """All stored fingerprints within ``radius`` bits of a query, by the pigeonhole over blocks."""
 
-    def __init__(self, prints: np.ndarray, radius: int = RADIUS) -> None:
+    def __init__(self, prints: np.ndarray, radius: int) -> None:
         self.prints, self.radius = prints, radius
         near = radius // BLOCKS
         self.masks = np.array([sum(1 << i for i in x) for r in range(near + 1) for x in combinations(range(BLOCK_BITS), r)], np.int64)
@@ -94,7 +101,7 @@ class HammingIndex:
 class Benchmark:
     """The items of one index, ready to look for in texts."""
 
-    def __init__(self, items: tuple[tuple[int, str], ...], words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS) -> None:
+    def __init__(self, items: tuple[tuple[int, str], ...], words: int = WORDS, similarity: float = SIMILARITY, radius: int | None = None) -> None:
         self.similarity = similarity
         self.vocabulary: dict[bytes, int] = {}
         self.ids, self.k, self.shingles = [], [], []
@@ -109,7 +116,7 @@ class Benchmark:
                 self.shingles.append(_keys(ids, self.k[-1]))
         self.item_ids = item_ids
         self.size = np.array([len(x) for x in self.ids], np.int64)
-        self.index = HammingIndex(np.array([_simhash(x) for x in self.shingles], np.uint64), radius)
+        self.index = HammingIndex(np.array([_simhash(x) for x in self.shingles], np.uint64), radius_for(similarity) if radius is None else radius)
         self.counts = [dict(zip(*(a.tolist() for a in np.unique(x, return_counts=True)), strict=True)) for x in self.shingles]
         self.postings = {}
         for k in set(self.k):
@@ -186,27 +193,30 @@ class Benchmark:
         return [{"item_id": self.item_ids[i], "start": s, "words": n, "similarity": v} for i, (v, s, n) in sorted(best.items())]
 
 
-@lru_cache(maxsize=8)
-def _benchmark(items: tuple[tuple[int, str], ...], words: int, similarity: float, radius: int) -> Benchmark:
+@lru_cache(maxsize=2 * INDEXES)
+def _benchmark(items: tuple[tuple[int, str], ...], words: int, similarity: float, radius: int | None) -> Benchmark:
     return Benchmark(items, words, similarity, radius)
 
 
-def _indexes(benchmark: DataFrame, id_col: str, text_col: str) -> list[tuple[tuple[int, str], ...]]:
-    """The items, in lists of at most ``INDEX_BYTES`` of text (or of one item)."""
+def _indexes(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[tuple[int, str], ...]]]:
+    """The items, by lists of at most ``INDEX_BYTES`` of text (or of one item), ``INDEXES`` lists at a time."""
     rows = benchmark.select(F.col(id_col).cast("long"), text_or_empty(text_col)).orderBy(F.col(id_col), F.col(text_col))
     out, size = [[]], 0
     for item_id, text in rows.toLocalIterator():
-        if out[-1] and size + len(text) > INDEX_BYTES:
+        own = len(text.encode("utf-8", "replace"))
+        if out[-1] and size + own > INDEX_BYTES:
+            if len(out) == INDEXES:
+                yield [tuple(x) for x in out]
+                out = []
             out.append([])
             size = 0
         out[-1].append((item_id, text))
-        size += len(text)
-    return [tuple(x) for x in out]
+        size += own
+    yield [tuple(x) for x in out]
 
 
-def hits_column(benchmark: DataFrame, text: Column, words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS, item_col: str = "item_id", text_col: str = "text") -> Column:
+def _hits(lists: list[tuple[tuple[int, str], ...]], text: Column, words: int, similarity: float, radius: int | None) -> Column:
     """A column of the items found in ``text``: an array of ``item_id, start, words, similarity``."""
-    prepare(benchmark.sparkSession)
 
     def finder(items: tuple[tuple[int, str], ...]):
         @F.pandas_udf(HIT)
@@ -216,16 +226,28 @@ def hits_column(benchmark: DataFrame, text: Column, words: int = WORDS, similari
 
         return find
 
-    return F.concat(*[finder(items)(text) for items in _indexes(benchmark, item_col, text_col)])
+    return F.concat(*[finder(items)(text) for items in lists])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, radius: int | None = None, item_col: str = "item_id", item_text_col: str = "text"
+) -> DataFrame:
     """``(id_col, item_id, start, words, similarity)``: every document and item that is found in it."""
-    hits = hits_column(benchmark, text_or_empty(text_col), **options)
-    return docs.select(F.col(id_col), F.explode(hits).alias("_hit")).select(id_col, "_hit.*")
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no item is found."""
-    hits = hits_column(benchmark, text_or_empty(text_col), **options)
-    return docs.withColumn("_hits", hits).filter(F.size("_hits") == 0).drop("_hits")
+    prepare(docs.sparkSession)
+    parts = []
+    for lists in _indexes(benchmark, item_col, item_text_col):
+        hits = _hits(lists, text_or_empty(text_col), words, similarity, radius)
+        found = docs.select(F.col(id_col).alias("id"), F.explode(hits).alias("hit")).select(F.col("id").alias(id_col), "hit.*")
+        parts.append(materialise(found, "hits") if len(lists) == INDEXES else found)  # there may be more: one group at a time
+    return reduce(DataFrame.unionByName, parts)
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, radius: int | None = None, item_col: str = "item_id", item_text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no item is found; columns of any name pass through."""
+    prepare(docs.sparkSession)
+    for lists in _indexes(benchmark, item_col, item_text_col):
+        docs = docs.filter(F.size(_hits(lists, text_or_empty(text_col), words, similarity, radius)) == 0)
+        docs = materialise(docs, "clean") if len(lists) == INDEXES else docs
+    return docs
