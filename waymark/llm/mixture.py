@@ -1,25 +1,29 @@
 """Mixing sources to target weights: whole passes first, then a subset-sum fit of what is left.
 
 Per source, the documents are counted by exact token length. Targets share a budget by weight, no source above ``cap``
-times its size. A source's target is whole passes over all its documents plus a rest; the rest takes the same share of
-every length's documents, and the few tokens still missing are fitted by bounded-knapsack dynamic programming over the
-lengths that have documents left. So the work follows the number of different lengths, not of documents. Which
-documents of a length are taken is decided by a seeded hash.
-
-Edge cases: a null or empty text has length 0 and is never taken; a null source is a source, last in order; equal rows
-are told apart by nothing, but as many of them are taken as the plan says; a budget of nothing takes nothing; an empty
-table gives an empty result; extra columns are not looked at. One length of one source may hold any share of all rows:
-ranks are counted in two steps, over hash ranges.
+times its size. A source's target is whole passes over all its documents plus a rest; of the rest, all but a few times the
+longest length is the same share of the documents of every length, rounded by a seeded systematic draw along the lengths,
+so that long and short texts are taken alike. What is still missing is fitted by bounded-knapsack dynamic programming
+over the lengths that have documents left, in a seeded order. So the work follows the number of different lengths, not of
+documents. Which documents of a length are taken is decided by a seeded hash of id and text.
+
+Edge cases: a null or empty text has length 0 and is never taken; a null source is a source, last in order; rows that
+are equal in id and text are told apart by nothing, but as many of them are taken as the plan says, and rows of one id
+with other texts are rows of their own; a budget of nothing takes nothing; an empty table gives an empty result; extra
+columns are not looked at. One length of one source may hold any share of all rows: ranks are counted in two steps, over
+hash ranges; rows of one hash that are more than a thousandth of all are dealt by their number.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialise, text_or_empty
+from ._shared import HOT_KEYS, materialise, text_or_empty
 
 # Weights by the order of the sources, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -27,8 +31,8 @@ CAP = 3.0
 SEED = 42
 #: Hash ranges that the documents of a length are counted by.
 RANGES = 1024
-#: The dynamic programme covers at most this many tokens.
-MOST_BUDGET = 1 << 18
+#: Sums that the dynamic programme tells apart; where there are more, lengths are counted in larger units first.
+MOST_SUMS = 1 << 24
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -57,13 +61,12 @@ def targets(sizes: DataFrame, share: float = 1.0, weights: tuple[float, ...] = W
     return rows.withColumn("target", F.when(capped, limit).otherwise(F.lit(level) * F.col("weight")))
 
 
-def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """How many documents of each length (positive, ascending) to take so that the tokens come near ``budget``.
 
-    The same share of every length takes all but four times the longest length; then an exact subset sum fits what is
-    missing, over the documents that are left: the sum that comes nearest, of equals the smaller. Where the missing part is
-    more than ``MOST_BUDGET``, the longest documents that fit are taken first; if then only longer ones are left, one more
-    is taken where that comes nearer.
+    All but four times the longest length is the same share of every length: of the first n documents along the lengths,
+    the share times n are taken, give or take one, so that the tokens are within two longest lengths of the share. Then a
+    subset sum fits what is missing, over the documents that are left: the sum that comes nearest, of equals the smaller.
     """
     taken = np.zeros(len(lengths), np.int64)
     size = int((lengths * counts).sum())
@@ -71,88 +74,111 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         return taken
     if budget >= size:
         return counts.astype(np.int64)
-    shared = max(0, budget - min(MOST_BUDGET, 4 * int(lengths[-1])))
-    taken = np.array([int(c) * shared // size for c in counts], np.int64)
-    rest = budget - int((lengths * taken).sum())
-    for k in range(len(lengths) - 1, -1, -1):
-        if rest <= MOST_BUDGET:
+    rng = np.random.default_rng(seed)
+    share = max(0, budget - 4 * int(lengths[-1])) / size
+    if share:
+        upto = np.floor(np.cumsum(counts) * share + rng.random())
+        taken = np.minimum(np.diff(upto, prepend=0).astype(np.int64), counts)
+    rest, order = budget - int((lengths * taken).sum()), rng.permutation(len(lengths))
+    while rest > 0:
+        more = _subset(lengths, counts - taken, rest, order)
+        gain = int((more * lengths).sum())
+        if abs(rest - gain) >= rest:
             break
-        more = min(-(-(rest - MOST_BUDGET) // int(lengths[k])), rest // int(lengths[k]), int(counts[k] - taken[k]))
-        taken[k] += more
-        rest -= more * int(lengths[k])
-    if rest > MOST_BUDGET:  # only texts longer than the rest are left: the nearest sum is none of them, or one of the shortest
-        k = int(np.flatnonzero(counts > taken)[0])
-        taken[k] += lengths[k] - rest < rest
-        return taken
+        taken, rest = taken + more, rest - gain
+    return taken
+
+
+def _subset(lengths: np.ndarray, left: np.ndarray, rest: int, order: np.ndarray) -> np.ndarray:
+    """Of the documents left, some whose lengths' sum comes nearest to ``rest``: exactly, where there are at most
+    ``MOST_SUMS`` sums, else of the lengths in units of as many tokens as are needed for that."""
     most = rest + min(rest, int(lengths[-1]))
-    full, reach, came = (1 << most + 1) - 1, 1, {}
-    for k, (length, left) in enumerate(zip(lengths.tolist(), (counts - taken).tolist(), strict=True)):
-        if length > most or reach >> rest & 1:
+    unit = -(-most // MOST_SUMS)
+    if unit > 1:
+        lengths = np.maximum(1, (lengths + unit // 2) // unit)
+        rest, most = rest // unit, most // unit
+    full, reach = (1 << most + 1) - 1, 1
+    came, step = np.zeros(most + 1, np.int32), np.zeros(most + 1, np.int64)
+    for k in order.tolist():
+        length = int(lengths[k])
+        if reach >> rest & 1:
             break
-        left, step = min(left, most // length), 1
-        while left > 0:  # binary splitting of the count
-            n = min(step, left)
+        n_left, n = min(int(left[k]), most // length), 1
+        while n_left > 0:  # binary splitting of the count
+            n = min(n, n_left)
             new = (reach << n * length) & full & ~reach
             if new:
-                for s in _set_bits(new):
-                    came[s] = (k, n)
+                at = _set_bits(new)
+                came[at], step[at] = k, n
                 reach |= new
-            left, step = left - n, step * 2
-    at = min(_set_bits(reach), key=lambda s: (abs(s - rest), s))
+            n_left, n = n_left - n, n * 2
+    sums = _set_bits(reach)
+    at = int(sums[np.lexsort((sums, np.abs(sums - rest)))[0]])
+    out = np.zeros(len(lengths), np.int64)
     while at:
-        k, n = came[at]
-        taken[k] += n
-        at -= n * int(lengths[k])
-    return taken
+        out[came[at]] += step[at]
+        at -= int(step[at] * lengths[came[at]])
+    return out
 
 
-def _set_bits(x: int) -> list[int]:
+def _set_bits(x: int) -> np.ndarray:
     raw = np.frombuffer(x.to_bytes((x.bit_length() + 7) // 8, "little"), np.uint8)
-    return np.flatnonzero(np.unpackbits(raw, bitorder="little")).tolist()
+    return np.flatnonzero(np.unpackbits(raw, bitorder="little"))
 
 
-def _plan(lengths: pd.DataFrame) -> pd.DataFrame:
+def _plan(lengths: pd.DataFrame, seed: int) -> pd.DataFrame:
     """For one source's lengths: whole passes, and the documents of each length to take besides."""
     rows = lengths.sort_values("size")
-    target, size = float(rows["target"].iloc[0]), int(rows["source_size"].iloc[0])
+    target, size, name = float(rows["target"].iloc[0]), int(rows["source_size"].iloc[0]), rows["source"].iloc[0]
     passes = min(int(target // size), int(1e9)) if size else 0
     plan = rows[["source", "size"]].assign(passes=passes, extra=0)
     own = rows["size"].to_numpy(np.int64) > 0
-    plan.loc[own, "extra"] = fit_counts(rows["size"].to_numpy(np.int64)[own], rows["n"].to_numpy(np.int64)[own], int(round(target - passes * size)))
+    seed = zlib.crc32(repr(name).encode("utf-8", "replace"), seed & 0xFFFFFFFF)
+    plan.loc[own, "extra"] = fit_counts(rows["size"].to_numpy(np.int64)[own], rows["n"].to_numpy(np.int64)[own], int(round(target - passes * size)), seed)
     return plan
 
 
-def mix(docs: DataFrame, share: float = 1.0, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``(id_col, size, source_size, target, copies, taken)`` of every row: ``copies`` times the text, ``taken`` tokens.
-
-    Tokens are words here. No document is taken more than ``ceil(cap)`` times.
-    """
-    text_size = F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
-    draw = F.xxhash64(F.lit(seed), F.col(id_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_size.alias("size"), draw.alias("draw"))
+def _mixed(docs: DataFrame, share: float, weights: tuple[float, ...], cap: float, seed: int, id_col: str, text_col: str, source_col: str, row: Column) -> DataFrame:
+    """``(id, row, size, source_size, target, copies)`` of every row."""
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), row.alias("row"), F.col(source_col).alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("draw"))
     rows = rows.withColumn("range", F.shiftrightunsigned("draw", 64 - (RANGES.bit_length() - 1)).cast("int"))
     rows = materialise(rows, "sizes")
-    ranges = rows.groupBy("source", "size", "range").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("source", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    # rows of one hash are alike; where they are many, their numbers deal them to parts, in the order of the hash
+    same_draw = rows.groupBy("draw").agg(F.count("*").alias("n")).filter(F.col("n") > max(HOT_KEYS, rows.count() // HOT_KEYS)).select("draw", F.lit(True).alias("hot"))
+    rows = rows.join(F.broadcast(same_draw), "draw", "left").withColumn("part", F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("row"), F.lit(RANGES))).otherwise(0).cast("int"))
+    cells = ["range", "at", "part"]
+    rows = rows.withColumn("at", F.when(F.col("hot"), F.col("draw")).otherwise(F.lit(-(1 << 63)))).drop("hot")
+    ranges = rows.groupBy("source", "size", *cells).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("source", "size").orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1))
     ranges = materialise(ranges.withColumn("before", F.coalesce(before, F.lit(0))), "ranges")
     lengths = ranges.groupBy("source", "size").agg(F.sum("n").alias("n"))
     sizes = targets(lengths.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), share, weights, cap).drop("weight")
     named = lengths.join(sizes, lengths["source"].eqNullSafe(sizes["source"])).drop(sizes["source"])
-    plan = named.groupBy("source").applyInPandas(_plan, "source string, size long, passes long, extra long")
+    plan = named.groupBy("source").applyInPandas(lambda own: _plan(own, seed), "source string, size long, passes long, extra long")
     same = lambda a, b, keys: [a[k].eqNullSafe(b[k]) for k in keys]
     whole = named.drop("n").join(plan, same(named, plan, ["source", "size"])).drop(plan["source"]).drop(plan["size"])
     parts = ranges.join(whole, same(ranges, whole, ["source", "size"])).drop(whole["source"]).drop(whole["size"])
-    parts = parts.select("source", "size", "range", "before", "source_size", "target", "passes", "extra")
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", "range").orderBy("draw", F.col("id"))))
-    out = ranked.join(parts, same(ranked, parts, ["source", "size", "range"]))
+    parts = parts.select("source", "size", *cells, "before", "source_size", "target", "passes", "extra")
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", *cells).orderBy("draw", "row")))
+    out = ranked.join(parts, same(ranked, parts, ["source", "size", *cells]))
     copies = F.col("passes") + (F.col("before") + F.col("rank") <= F.col("extra")).cast("long")
-    return out.select(F.col("id").alias(id_col), ranked["size"], "source_size", "target", copies.alias("copies"), (copies * ranked["size"]).alias("taken"))
+    return out.select("id", "row", ranked["size"], "source_size", "target", copies.alias("copies"))
+
+
+def mix(docs: DataFrame, share: float = 1.0, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``(id_col, size, source_size, target, copies, taken)`` of every row: ``copies`` times the text, ``taken`` tokens.
+
+    Tokens are words here. No document is taken more than ``ceil(cap)`` times.
+    """
+    out = _mixed(docs, share, weights, cap, seed, id_col, text_col, source_col, F.monotonically_increasing_id())
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: the rows of ``docs``, all columns, each as often as the mix takes it."""
-    id_col = options.get("id_col", "doc_id")
-    taken = mix(docs, **options).filter("copies > 0").groupBy(F.col(id_col).alias("_id")).agg(F.max("copies").alias("_copies"))
-    joined = docs.join(taken, docs[id_col].eqNullSafe(taken["_id"]))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+def mixed(docs: DataFrame, share: float = 1.0, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mixed documents: the rows of ``docs``, all columns, each as often as the mix takes it. Rows have a number for that."""
+    numbered = materialise(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered", "zstd")
+    plain = numbered.select(*[F.col("doc")[c].alias(n) for n, c in (("id", id_col), ("text", text_col), ("source", source_col))], "row")
+    taken = _mixed(plain, share, weights, cap, seed, "id", "text", "source", F.col("row")).filter("copies > 0").select("row", "copies")
+    repeated = numbered.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select("doc.*")
