@@ -1,4 +1,12 @@
-"""A training corpus from raw documents: five stages, each of which works on all that the one before it kept."""
+"""A training corpus from raw documents: five stages, each of which works on all that the one before it kept.
+
+Edge cases, in every stage: a null or empty text is an empty document (the classifier scores it like any other, empty ones
+are near copies of each other, hold no benchmark item, and have only the end id); a row with a null id is a row, is never
+the one that a group of copies keeps while another row of it has an id, and comes first in the token files; rows that
+repeat an id and a text stay or go together, but for the mix, which takes each as often as the plan says; a null source is
+a source of its own; an empty table gives an empty result; further columns, of whatever name, pass through all stages but
+the last.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +22,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality classifier (trained on the labels of all folds but the held-out one) accepts."""
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     forest = quality.train(docs, table(spark, sf_dir, "labels"), usable=~held)
-    return quality.score(docs, forest, score_col="_score").filter(F.col("_score") >= quality.THRESHOLD).drop("_score")
+    return docs.filter(quality.probability(docs, forest) >= quality.THRESHOLD)
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
