@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from waymark.llm import decontaminate, line_dedup, mixture, pii, simhash
+from waymark.llm import decontaminate, families, line_dedup, mixture, pii, simhash
 
 DOCS = "doc_id long, text string, source string"
 
@@ -34,7 +34,7 @@ def test_lines_of_one_template(spark, monkeypatch):
     sets = [characters(x) for x in lines]
     want = brute.components(list(range(len(lines))), lambda i, j: jaccard(sets[i], sets[j]) >= 0.8)
     docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(lines)], DOCS)
-    monkeypatch.setattr(line_dedup, "CELL", 16, raising=False)
+    monkeypatch.setattr(families, "CELL", 16)
     group = {r.doc_id: r.component for r in line_dedup.line_groups(docs).collect()}
     first = {}
     got = [first.setdefault(group.get(i, i), i) for i in range(len(lines))]
@@ -48,26 +48,29 @@ def test_similar_lines_meet_in_a_band(spark):
         x, y = " ".join(words), varied(rng, words, max(1, len(words) // 16))
         if 0.8 <= jaccard(characters(x), characters(y)) < 0.87:
             pairs.append((x, y))
-    keys = lambda c: F.transform(line_dedup.bands(F.col(c)), lambda b: b["key"])
+    keys = lambda c: line_dedup.bands(F.col(c))
     meet = spark.createDataFrame(pairs, "x string, y string").select(F.size(F.split("x", " ")).alias("n"), F.arrays_overlap(keys("x"), keys("y")).alias("ok"))
     lost = meet.filter("not ok").groupBy("n").count().collect()
     assert sum(r["count"] for r in lost) <= 3, lost
 
 
-def kept_of_copies(texts, radius=64):
-    """The smallest place of every group of texts with a similarity of 0.8 or more, of those that a print has near."""
-    sets, prints = [simhash.shingle_set(x, 5) for x in texts], [simhash.fingerprints_of(x, 3, 5) for x in texts]
-    near = lambda i, j: min((x ^ y).bit_count() for x, y in zip(prints[i], prints[j], strict=True)) <= radius
-    return sorted(set(brute.components(list(range(len(texts))), lambda i, j: near(i, j) and jaccard(sets[i], sets[j]) >= 0.8)))
+def kept_of_copies(texts, radius, print_words, prints):
+    """The smallest place of every group of texts with a similarity of 0.8 or more, within families that a print has near."""
+    sets, fps = [simhash.shingle_set(x, 5) for x in texts], [simhash.fingerprints_of(x, print_words, prints) for x in texts]
+    far = lambda i, j, k: (fps[i][k % prints] ^ fps[j][k % prints]).bit_count()
+    near = lambda i, j: any(far(i, j, k) <= radius and far(i, j, k + 1) <= 23 and far(i, j, k + 2) <= 23 for k in range(prints))
+    family = brute.components(list(range(len(texts))), near)
+    return sorted(set(brute.components(list(range(len(texts))), lambda i, j: family[i] == family[j] and jaccard(sets[i], sets[j]) >= 0.8)))
 
 
-def test_near_copies_verify_all_candidates(spark):
+def test_near_copies_verify_all_candidates(spark, monkeypatch):
+    monkeypatch.setattr(families, "CELL", 64)
     rng = random.Random(5)
     words = [f"w{rng.randrange(3000)}" for _ in range(400)]
     texts = [varied(rng, words, rng.randint(4, 7)) for _ in range(200)]
     docs = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)], DOCS)
-    want = kept_of_copies(texts, 4)
-    assert sorted(r.doc_id for r in simhash.near_dedup(docs, radius=4).collect()) == want and 1 <= len(want) < 150
+    want = kept_of_copies(texts, 4, 3, 5)
+    assert sorted(r.doc_id for r in simhash.near_dedup(docs, radius=4, prints=5, print_words=3).collect()) == want and 1 <= len(want) < 150
 
 
 def test_near_copies_just_similar_enough(spark):

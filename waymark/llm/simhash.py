@@ -13,7 +13,7 @@ table gives an empty result; extra columns of the input are not looked at.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,21 +21,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import attach, marked, materialise, prepare, text_or_empty
+from ._shared import attach, flagged, materialise, prepare, text_or_empty
 from .components import connected_components
+from .families import Forest, verified_links
 
 SEED = 42
 BITS = 64
 #: Fingerprints of one trie node at the depth where the join is dealt to tasks, on average, as long as that is at most ``MOST_DEPTH``.
-NODE_ROWS = 1 << 14
+NODE_ROWS = 1 << 16
 MOST_DEPTH = 14
 #: Node pairs that are walked at once.
 MOST_WALKED = 1 << 18
 #: Two nodes are compared outright when they make no more pairs than this.
 LEAF_PAIRS = 64
 CHUNK = 1 << 20
-#: Bits within which forests of candidates for near copies are verified, before all candidates that are still apart.
-FIRST_RADIUS = 4
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -129,15 +128,24 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same:
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same: bool = False, top: int = 0, near: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def walk_pairs(
+    a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same: bool = False, top: int = 0, near: int = 0, labels: Callable[[], tuple[np.ndarray, np.ndarray]] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Indices (into sorted uint64 arrays ``a`` and ``b``) of all pairs that differ in at most ``budget`` bits, in parts.
 
     ``depth`` leading bits are equal within ``a`` and within ``b``, and not compared here. ``same``: ``a`` is ``b``, and
     each unordered pair of two places is given once. Only pairs that differ in at most ``near`` of the leading ``top``
-    bits need be found. All node pairs of a level are walked at once, in arrays.
+    bits need be found. ``labels`` gives the present labels of ``a`` and ``b``: pairs of one label need not be found, and
+    a node pair of only one label is dropped. All node pairs of a level are walked at once, in arrays.
     """
     if not len(a) or not len(b):
         return
+
+    def mixed(al: np.ndarray, ah: np.ndarray, bl: np.ndarray, bh: np.ndarray) -> np.ndarray:
+        of_a, of_b = labels()
+        turn_a, turn_b = (np.concatenate(([0], np.cumsum(x[1:] != x[:-1]))) for x in (of_a, of_b))
+        return (turn_a[al] != turn_a[ah - 1]) | (turn_b[bl] != turn_b[bh - 1]) | (of_a[al] != of_b[bl])
+
     low_mask = np.uint64((1 << (BITS - depth)) - 1 if depth else (1 << BITS) - 1)
 
     def down(bit: int, al: np.ndarray, ah: np.ndarray, bl: np.ndarray, bh: np.ndarray, err: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -147,6 +155,9 @@ def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same:
             if leaf.any():
                 la, lb, n, width = al[leaf], bl[leaf], (ah - al)[leaf] * (bh - bl)[leaf], (bh - bl)[leaf]
                 for at in _slices(n):
+                    if labels:
+                        of = (x[at] for x in (al[leaf], ah[leaf], bl[leaf], bh[leaf]))
+                        at = np.flatnonzero(mixed(*of)) + at.start
                     k = np.repeat(np.arange(len(n))[at], n[at])
                     off = np.arange(len(k)) - np.repeat(np.cumsum(n[at]) - n[at], n[at])
                     i, j = la[k] + off // width[k], lb[k] + off % width[k]
@@ -163,6 +174,9 @@ def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same:
             live = (al < ah) & (bl < bh) & (err <= (near if bit >= BITS - top else budget))
             if same:
                 live &= al <= bl
+            if labels and live.any():
+                at = np.flatnonzero(live)
+                live[at] = mixed(al[at], ah[at], bl[at], bh[at])
             al, ah, bl, bh, err = (x[live] for x in (al, ah, bl, bh, err))
             if len(al) > MOST_WALKED:
                 for at in range(0, len(al), MOST_WALKED // 4):
@@ -172,33 +186,6 @@ def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, depth: int = 0, same:
     yield from down(BITS - 1 - depth, *(np.array([x], np.int64) for x in (0, len(a), 0, len(b), 0)))
 
 
-class Forest:
-    """A spanning forest of links that come in parts: links that join nothing new are left out."""
-
-    def __init__(self, nodes: int) -> None:
-        self.label = np.arange(nodes)
-
-    def _root(self, x: int) -> int:
-        while self.label[x] != x:
-            x = int(self.label[x])
-        return x
-
-    def add(self, i: np.ndarray, j: np.ndarray, order: np.ndarray) -> np.ndarray:
-        """Places of the links that are kept; those of lower ``order`` are taken first."""
-        at = np.flatnonzero(self.label[i] != self.label[j])
-        at = at[np.argsort(order[at], kind="stable")]
-        _, first = np.unique(self.label[i[at]] * len(self.label) + self.label[j[at]], return_index=True)
-        kept = []
-        for k in at[np.sort(first)].tolist():
-            x, y = self._root(int(i[k])), self._root(int(j[k]))
-            if x != y:
-                self.label[max(x, y)] = min(x, y)
-                kept.append(k)
-        while (self.label != (up := self.label[self.label])).any():
-            self.label = up
-        return np.array(kept, np.int64)
-
-
 def _slices(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[slice]:
     """Runs of nodes that make about ``most`` pairs at a time."""
     block = np.cumsum(sizes) // most
@@ -207,13 +194,14 @@ def _slices(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[slice]:
         yield slice(lo, hi)
 
 
-def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, blocks: int = 1) -> DataFrame:
+def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, blocks: int = 1, most: int = BITS) -> DataFrame:
     """``(a, b)``: pairs of different fingerprints (column ``fp``, each once) that differ in at most ``radius`` bits.
 
     All pairs are found; of those that one group of the job finds, a ``spanning`` forest is given, nearest pairs first,
     which reaches whatever all of them reach. So a large family of near fingerprints gives a link for each, not the
-    square of its size. Where ``distinct`` has a ``label``, its rows are fingerprints and labels, no forest is made, and
-    ``(a, x, b, y)`` are all pairs of fingerprints and their labels that have different labels.
+    square of its size. Where ``distinct`` has ``print, fp, check, other, node``, its rows are nodes by several prints,
+    each apart, all in one job: pairs must also differ in at most ``most`` bits of ``check`` and of ``other``, and ``(a,
+    b)`` are pairs of ``node``.
 
     The trie's bits are taken in order of balance, so that its upper nodes split evenly. It is cut at depth d, where a
     node has ``NODE_ROWS`` fingerprints on average. A fingerprint goes to its own node and to each node within the
@@ -221,52 +209,67 @@ def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, block
     radius the bits are dealt to ``blocks``, each of which makes a trie with its own bits on top: pairs within the radius
     differ in at most ``radius // blocks`` bits of one block, so that each trie stays narrow where it is large.
     """
-    labels = ["label"] if "label" in distinct.columns else []
-    ones = distinct.agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(1)).alias(f"b{i}") for i in range(BITS)]).first()
-    if not ones.n:
-        return distinct.select(F.col("fp").alias("a"), *[F.col(x).alias("x") for x in labels], F.col("fp").alias("b"), *[F.col(x).alias("y") for x in labels])
-    even = sorted(range(BITS), key=lambda i: (abs(2 * (ones[f"b{i}"] or 0) - ones.n), -i))
-    own = [even[k::blocks] for k in range(blocks)]
-    orders = [top + [i for i in even if i not in top] for top in own]
-    depth = min(MOST_DEPTH, BITS // blocks, max(0, int(np.ceil(np.log2(ones.n / NODE_ROWS)))))
+    named = "print" in distinct.columns
+    more = ["check", "other", "node"] if named else []
+    rows = distinct.select(F.col("print") if named else F.lit(0).alias("print"), "fp", *more)
+    ones = rows.groupBy("print").agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(1)).alias(f"b{i}") for i in range(BITS)]).collect()
+    orders, own, largest = {}, {}, 1
+    for one in ones:
+        even = sorted(range(BITS), key=lambda i: (abs(2 * one[f"b{i}"] - one.n), -i))
+        own[one["print"]] = tops = [even[k::blocks] for k in range(blocks)]
+        orders[one["print"]] = [top + [i for i in even if i not in top] for top in tops]
+        largest = max(largest, one.n)
+    depth = min(MOST_DEPTH, BITS // blocks, max(0, int(np.ceil(np.log2(largest / NODE_ROWS)))))
     masks = [m for m in range(1 << depth) if m.bit_count() <= radius // blocks]
-    dealt = None
-    for block, order in enumerate(orders):
-        node = F.lit(0).cast("long")
-        for k, i in enumerate(order[:depth]):
-            node = node.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", i).bitwiseAND(1), depth - 1 - k))
-        part = distinct.select("fp", *labels, F.lit(block).alias("block"), node.alias("node")).withColumn("other", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-        part = part.select("fp", *labels, "block", F.least("node", F.col("node").bitwiseXOR(F.col("other"))).alias("lo"), F.greatest("node", F.col("node").bitwiseXOR(F.col("other"))).alias("hi"), (F.col("node") > F.col("node").bitwiseXOR(F.col("other"))).alias("high"))
-        dealt = part if dealt is None else dealt.unionByName(part)
+    places = []
+    for block in range(blocks):
+        at = F.lit(0).cast("long")
+        for of, order in orders.items():
+            value = F.lit(0).cast("long")
+            for k, i in enumerate(order[block][:depth]):
+                value = value.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", i).bitwiseAND(1), depth - 1 - k))
+            at = F.when(F.col("print") == of, value).otherwise(at)
+        places.append(F.struct(F.lit(block).alias("block"), at.alias("at")))
+    dealt = rows.select("print", "fp", *more, F.explode(F.array(*places)).alias("p")).select("print", "fp", *more, "p.*")
+    dealt = dealt.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
+    across = F.col("at").bitwiseXOR(F.col("mask"))
+    # print, block and the two nodes in one number: rows are many and short
+    cell = F.col("print") * blocks + F.col("block")
+    cell = F.shiftleft(F.shiftleft(cell.cast("long"), depth).bitwiseOR(F.least("at", across)), depth).bitwiseOR(F.greatest("at", across))
+    dealt = dealt.select(cell.alias("cell"), "fp", *more, (F.col("at") > across).alias("high"))
 
     def walk(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        block, lo, hi = key
+        cell, low = int(key[0]), (1 << depth) - 1
+        lo, hi, (of, block) = cell >> depth & low, cell & low, divmod(cell >> 2 * depth, blocks)
         raw = group["fp"].to_numpy(np.int64).view(np.uint64)
-        label = group["label"].to_numpy(np.int64) if labels else raw
         turned = np.zeros(len(raw), np.uint64)
-        for k, i in enumerate(orders[block]):
+        for k, i in enumerate(orders[of][block]):
             turned |= (raw >> np.uint64(i) & np.uint64(1)) << np.uint64(BITS - 1 - k)
         side = group["high"].to_numpy(bool)
         sides = []
-        for of in (~side, side):
-            at = np.argsort(turned[of], kind="stable")
-            sides.append((turned[of][at], raw[of][at], label[of][at]))
-        (a, raw_a, label_a), (b, raw_b, label_b) = sides[0], sides[0] if lo == hi else sides[1]
+        for half in (~side, side):
+            at = np.flatnonzero(half)
+            sides.append(at[np.argsort(turned[at], kind="stable")])
+        left, right = sides[0], sides[0] if lo == hi else sides[1]
+        a, b = turned[left], turned[right]
         forest, out = Forest(len(a) + (len(b) if lo != hi else 0)), []
         apart = int(lo ^ hi).bit_count()
-        top = len(own[block]) if blocks > 1 else 0
-        for i, j in walk_pairs(a, b, radius - apart, depth, lo == hi, top, radius // blocks - apart):
-            if labels:
-                keep = label_a[i] != label_b[j]
+        top = len(own[of][block]) if blocks > 1 else 0
+        checks = [group[c].to_numpy(np.int64).view(np.uint64) for c in more[:2]]
+        name = group["node"].to_numpy() if named else raw.view(np.int64)
+        joined = (lambda: (forest.label[: len(a)], forest.label[-len(b) :])) if spanning else None
+        for i, j in walk_pairs(a, b, radius - apart, depth, lo == hi, top, radius // blocks - apart, joined):
+            for check in checks:
+                keep = np.bitwise_count(check[left[i]] ^ check[right[j]]) <= most
                 i, j = i[keep], j[keep]
-            elif spanning and len(i):
+            if spanning and len(i):
                 kept = forest.add(i, j + (len(a) if lo != hi else 0), np.bitwise_count(a[i] ^ b[j]))
                 i, j = i[kept], j[kept]
-            found = {"a": raw_a[i].view(np.int64), "x": label_a[i], "b": raw_b[j].view(np.int64), "y": label_b[j]}
-            out.append(pd.DataFrame(found if labels else {k: found[k] for k in "ab"}))
-        return pd.concat(out) if out else pd.DataFrame({k: [] for k in ("axby" if labels else "ab")}, dtype=np.int64)
+            out.append(pd.DataFrame({"a": name[left[i]], "b": name[right[j]]}))
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
 
-    return dealt.groupBy("block", "lo", "hi").applyInPandas(walk, "a long, x long, b long, y long" if labels else "a long, b long")
+    kind = "binary" if named else "long"
+    return dealt.groupBy("cell").applyInPandas(walk, f"a {kind}, b {kind}")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
@@ -295,37 +298,40 @@ def shingle_set(text: str | None, words: int) -> set[bytes]:
     return out or ({b" ".join(tail)} if seen else out)
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose texts (``node, t``) have a Jaccard similarity of word shingles that high."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """The different XXH64 hashes of the shingles of ``shingle_set``, ascending; 64 bits stand for a shingle."""
+    digest, out, tail, seen = xxhash.xxh64_digest, [], [], 0
+    for more in _words((text or "").encode("utf-8", "surrogatepass").lower()):
+        seen += len(more)
+        part = tail + more
+        out += [digest(b" ".join(part[i : i + words]), SEED) for i in range(len(part) - words + 1)]
+        tail = part[1 - words :] if words > 1 else []
+    if not out and seen:
+        out = [digest(b" ".join(tail), SEED)]
+    return np.unique(np.frombuffer(b"".join(out), ">u8").astype(np.uint64))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                p, q = shingle_set(x, words), shingle_set(y, words)
-                both = len(p & q)
-                keep.append(both >= similarity * (len(p) + len(q) - both))
-            yield batch.loc[keep, ["a", "b"]]
 
-    wanted = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
-    # an inner join: a semi-join would be moved below the map, and shuffle every text
-    own = materialise(marked(texts, wanted, "node").join(wanted, "node").dropDuplicates(["node"]), "texts")
-    both = pairs.join(own.select(F.col("node").alias("a"), F.col("t").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("t").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInPandas(run, "a binary, b binary")
+def widest(similarity: float) -> int:
+    """The bits that two prints differ in at a similarity, at most: the mean for a block of edits and 4.6 deviations."""
+    share = np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi
+    return min(BITS, int(np.ceil(BITS * share + 4.6 * np.sqrt(BITS * share * (1 - share)))))
 
 
 def near_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 9, prints: int = 5, print_words: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 9, prints: int = 5, print_words: int = 2, blocks: int = 5
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the smallest id of their group of near copies (all rows of that id).
+    """The rows of ``docs``, all columns, that have the smallest id of their group of near copies, and its text.
 
     Near copies have a Jaccard similarity of ``similarity`` or more in their sets of runs of ``words`` words. Equal texts
-    are one node. Candidates are nodes of which one of ``prints`` independent SimHashes differs in at most ``radius``
-    bits, found by the trie join; each is verified on the whole texts, and groups follow verified links. Spanning forests
-    of the candidates are verified first; then all candidates that those links leave in different groups, whether they
-    share a fingerprint or not, as pairs within a group can change nothing. At similarity 0.8 with scattered edits, about
-    7.5 bits of a print differ. A row with a null id stays only if its whole
-    group has none.
+    are one node. Candidates are nodes of which one of ``prints`` independent SimHashes (of runs of ``print_words`` words)
+    differs in at most ``radius`` bits, and the next two in no more than can be at that similarity; the trie join gives a
+    forest that spans all of them. Its components are families, of which every pair is verified on the whole texts,
+    and groups follow verified links. At similarity 0.8, about 6 bits of a print of two-word runs differ where the
+    edits are scattered, 9 or 10 where they are one block.
+
+    Rows that repeat both the id and the text of the one that stays are the same document, and stay with it; a row with
+    the id but another text belongs to that text's group. A row with a null id stays only if its whole group has none.
+    Null and empty texts are one node. Columns of any name pass through.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -338,27 +344,22 @@ def near_dedup(
 
     own = materialise(rows.mapInPandas(run, "id long, node binary, fps array<long>"), "fingerprints")
     nodes = materialise(own.groupBy("node").agg(F.min("id").alias("least"), F.first("fps").alias("fps")), "nodes")
-    pairs = None
-    for k in range(prints):
-        held = nodes.select("node", F.get("fps", F.lit(k)).alias("fp"))
-        reps = materialise(held.groupBy("fp").agg(F.min("node").alias("rep")), "prints")
-        star = held.join(reps, "fp").filter("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
-        near = hamming_pairs(reps.select("fp"), min(radius, FIRST_RADIUS)).join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
-        more = star.unionByName(near.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
-        pairs = more if pairs is None else pairs.unionByName(more)
-    pairs = materialise(pairs.distinct(), "pairs")
-    links = materialise(_similar(pairs, rows.select("node", "t"), words, similarity), "links")
-    roots = connected_components(links)
-    labelled = materialise(nodes.join(roots, "node", "left").select("node", "fps", F.xxhash64(F.coalesce("root", "node")).alias("label")), "labels")
-    rest = None
-    for k in range(prints):
-        held = labelled.select("node", F.get("fps", F.lit(k)).alias("fp"), "label")
-        near = materialise(hamming_pairs(held.select("fp", "label").distinct(), radius, blocks=radius // 2 + 1).distinct(), "across")
-        near = near.join(held.toDF("x_node", "a", "x"), ["a", "x"]).join(held.toDF("y_node", "b", "y"), ["b", "y"])
-        more = near.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b"))
-        rest = more if rest is None else rest.unionByName(more)
-    rest = materialise(rest.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    roots = connected_components(links.unionByName(_similar(rest, rows.select("node", "t"), words, similarity)))
-    placed = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = placed.groupBy("root").agg(F.min("least").alias("_keep")).select("_keep").distinct()
-    return docs.join(least, docs[id_col].eqNullSafe(least["_keep"]), "left_semi")
+    turn = lambda k: F.transform("fps", lambda x, i: F.get("fps", (i + k) % prints))
+    held = nodes.select("node", F.posexplode(F.arrays_zip(F.col("fps").alias("fp"), turn(1).alias("check"), turn(2).alias("other"))).alias("print", "p")).select("node", "print", "p.*")
+    same = ["print", "fp", "check", "other"]
+    reps = materialise(held.groupBy(*same).agg(F.min("node").alias("rep"), F.count("*").alias("n")), "prints")
+    star = held.join(reps.filter("n > 1").drop("n"), same).filter("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    near = hamming_pairs(reps.select(*same, F.col("rep").alias("node")), radius, blocks=blocks, most=widest(similarity))
+    families = connected_components(star.unionByName(near))
+    families = materialise(families.withColumnRenamed("root", "family"), "families")
+    roots = connected_components(verified_links(families, rows.select("node", "t"), lambda t: shingle_hashes(t, words), similarity))
+    placed = materialise(nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "groups")
+    least = placed.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "node")).alias("first")).select("root", F.col("first.least").alias("keep"), F.col("first.node").alias("kept"))
+    # rows that go: of a node that isn't its group's, or with another id than the node's
+    whole = own.select("id", "node").distinct().join(placed.select("node", "root"), "node").join(least, "root")
+    gone = materialise(whole.filter((F.col("node") != F.col("kept")) | ~F.col("id").eqNullSafe(F.col("keep"))).select(F.xxhash64("id", "node").alias("row_key"), "id", "node"), "gone")
+    key = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text_or_empty(text_col))).alias("node"))
+    key = flagged(key.withColumn("row_key", F.xxhash64("id", "node")), gone, "row_key")
+    doubtful = key.filter("_may")
+    same = doubtful["row_key"].eqNullSafe(gone["row_key"]) & doubtful["id"].eqNullSafe(gone["id"]) & (doubtful["node"] == gone["node"])
+    return key.filter("not _may").select("row.*").unionByName(doubtful.join(gone, same, "left_anti").select("row.*"))
