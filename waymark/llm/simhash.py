@@ -28,7 +28,9 @@ from .families import Forest, verified_links
 SEED = 42
 BITS = 64
 #: Fingerprints of one trie node at the depth where the join is dealt to tasks, on average, as long as that is at most ``MOST_DEPTH``.
-NODE_ROWS = 1 << 16
+NODE_ROWS = 1 << 14
+#: The same for near copies, of which a row goes to many nodes, by prints and blocks: fewer nodes, fewer rows.
+WIDE_ROWS = 1 << 18
 MOST_DEPTH = 14
 #: Node pairs that are walked at once.
 MOST_WALKED = 1 << 18
@@ -194,7 +196,7 @@ def _slices(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[slice]:
         yield slice(lo, hi)
 
 
-def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, blocks: int = 1, most: int = BITS) -> DataFrame:
+def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, blocks: int = 1, most: int = BITS, node_rows: int | None = None) -> DataFrame:
     """``(a, b)``: pairs of different fingerprints (column ``fp``, each once) that differ in at most ``radius`` bits.
 
     All pairs are found; of those that one group of the job finds, a ``spanning`` forest is given, nearest pairs first,
@@ -204,7 +206,7 @@ def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, block
     b)`` are pairs of ``node``.
 
     The trie's bits are taken in order of balance, so that its upper nodes split evenly. It is cut at depth d, where a
-    node has ``NODE_ROWS`` fingerprints on average. A fingerprint goes to its own node and to each node within the
+    node has ``node_rows`` (``NODE_ROWS``) fingerprints on average. A fingerprint goes to its own node and to each node within the
     radius: 1 + d + d(d-1)/2 for radius 2, at most 106 at the greatest depth, beyond which nodes grow instead. For a wide
     radius the bits are dealt to ``blocks``, each of which makes a trie with its own bits on top: pairs within the radius
     differ in at most ``radius // blocks`` bits of one block, so that each trie stays narrow where it is large.
@@ -219,7 +221,7 @@ def hamming_pairs(distinct: DataFrame, radius: int, spanning: bool = True, block
         own[one["print"]] = tops = [even[k::blocks] for k in range(blocks)]
         orders[one["print"]] = [top + [i for i in even if i not in top] for top in tops]
         largest = max(largest, one.n)
-    depth = min(MOST_DEPTH, BITS // blocks, max(0, int(np.ceil(np.log2(largest / NODE_ROWS)))))
+    depth = min(MOST_DEPTH, BITS // blocks, max(0, int(np.ceil(np.log2(largest / (node_rows or NODE_ROWS))))))
     masks = [m for m in range(1 << depth) if m.bit_count() <= radius // blocks]
     places = []
     for block in range(blocks):
@@ -349,7 +351,7 @@ def near_dedup(
     same = ["print", "fp", "check", "other"]
     reps = materialise(held.groupBy(*same).agg(F.min("node").alias("rep"), F.count("*").alias("n")), "prints")
     star = held.join(reps.filter("n > 1").drop("n"), same).filter("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
-    near = hamming_pairs(reps.select(*same, F.col("rep").alias("node")), radius, blocks=blocks, most=widest(similarity))
+    near = hamming_pairs(reps.select(*same, F.col("rep").alias("node")), radius, blocks=blocks, most=widest(similarity), node_rows=WIDE_ROWS)
     families = connected_components(star.unionByName(near))
     families = materialise(families.withColumnRenamed("root", "family"), "families")
     roots = connected_components(verified_links(families, rows.select("node", "t"), lambda t: shingle_hashes(t, words), similarity))
