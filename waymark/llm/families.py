@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ._shared import marked, materialise
 
-#: Texts and shingles on a side of the cells that a family's pairs are dealt by, and shingles that are counted at once.
-CELL, CELL_SHINGLES = 512, 1 << 22
+#: Texts and their bytes on a side of the cells that a family's pairs are dealt by, and shingles that are counted at once.
+CELL, CELL_BYTES = 512, 1 << 22
 COLUMNS = 4096
 
 
@@ -82,16 +82,12 @@ def verified_links(families: DataFrame, texts: DataFrame, shingles: Callable[[st
     """``(a, b)``: links between similar texts (``node, t``) of one family (``node, family``) that reach whatever all of
     them reach. ``shingles`` gives a text's different shingle hashes, ascending.
 
-    Every pair of a family is compared, in cells of at most ``CELL`` texts and about ``CELL_SHINGLES`` shingles a side;
-    families that fit into one cell go through several at a time. What leaves a cell is a forest.
+    Every pair of a family is compared, in cells of about ``CELL`` texts and ``CELL_BYTES`` a side; families that fit into
+    one cell go through several at a time. Texts move, not their hashes, which are longer. What leaves a cell is a forest.
     """
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"node": batch["node"], "family": batch["family"], "s": [shingles(x).view(np.int64) for x in batch["t"]]})
-
     def sets(group: pd.DataFrame) -> list[np.ndarray]:
-        return [np.asarray(x, np.int64).view(np.uint64) for x in group["s"]]
+        return [shingles(t) for t in group["t"]]
 
     def within(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -108,13 +104,13 @@ def verified_links(families: DataFrame, texts: DataFrame, shingles: Callable[[st
 
     # an inner join: a semi-join would be moved below the map, and shuffle every text
     own = marked(texts, families, "node").join(families, "node").dropDuplicates(["node"]).select("node", "family", "t")
-    own = materialise(own.mapInPandas(hashed, "node binary, family binary, s array<long>"), "shingles")
-    weight = F.greatest(F.count("*") / CELL, F.sum(F.size("s")) / CELL_SHINGLES)
+    own = materialise(own, "members", "zstd")
+    weight = F.greatest(F.count("*") / CELL, F.sum(F.octet_length("t")) / CELL_BYTES)
     parts = own.groupBy("family").agg(weight.alias("weight"))
     parts = materialise(parts.select("family", "weight", F.ceil("weight").cast("int").alias("parts")), "families")
     small = own.join(parts.filter("parts = 1").select("family"), "family")
     buckets = max(1, int(np.ceil(parts.filter("parts = 1").agg(F.sum("weight")).first()[0] or 0)))
     found = small.withColumn("bucket", F.pmod(F.xxhash64("family"), F.lit(buckets))).groupBy("bucket").applyInPandas(lambda g: within(g), "a binary, b binary")
     large = own.join(parts.filter("parts > 1").select("family", "parts"), "family").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "s")
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "t")
     return found.unionByName(large.groupBy("family", "i", "j").applyInPandas(across, "a binary, b binary"))
