@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, pii, quality, secrets, simhash, token_ids, topk, warc
+from . import decontaminate, divergence, line_dedup, pii, quality, secrets, simhash, token_ids, topk, vector_codes, warc
 from . import mixture as mixing
 from ._shared import table
 
@@ -80,8 +80,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.withColumn("codebooks_sha256", F.lit(vector_codes.codebooks_sha256(books)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_pii, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op8_line_dedup, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_warc, op2_pii, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op8_line_dedup, op9_simhash, op10_quality, op11_divergence, op13_vector_codes)}
 
 
 OP1_SQL = """
@@ -110,7 +119,40 @@ a as (select doc_id, count_if(kind = 'assign') n_assign, count_if(kind = 'access
 select doc_id, coalesce(n_assign, 0)::bigint n_assign, coalesce(n_access, 0)::bigint n_access, coalesce(n_hex, 0)::bigint n_hex, sha256(coalesce(spans, '')) base_sha256, coalesce(spans, '') spans, sha256(t) blob from d left join a using (doc_id)
 """
 
+OP11_SQL = f"""
+with d as (select coalesce(lang, '') lang, coalesce(source, '') source, regexp_extract_all(translate(coalesce(text, ''), '{divergence._UPPER}', '{divergence._LOWER}'), '{divergence.TERM}') ts from documents),
+g as (select distinct lang, source from d), o as (select lang, source, unnest(ts) term from d), f as (select lang, unnest(list_distinct(ts)) term from d),
+k as (select lang, term from f group by all having count(*) >= {divergence.LEAST}), v as (select g.lang, g.source, count(k.term) v from g left join k using (lang) group by all),
+c as (select lang, source, term, count(*) n from o join k using (lang, term) group by all), t as (select lang, source, v, coalesce((select sum(n) from c where c.lang = v.lang and c.source = v.source), 0) total from v),
+lc as (select lang, term, sum(n) n from c group by all), lt as (select lang, sum(n) total from lc group by all),
+p as (select lang, source, k.term, coalesce(c.n, 0) n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (t.total + 5 * v) p, 1 + (1000000000::hugeint * (lc.n + 5)) // (lt.total + 5 * v) q
+ from t join k using (lang) left join c using (lang, source, term) join lc using (lang, term) join lt using (lang)),
+r as (select a.lang, a.source, 'pair' part, b.source item, coalesce((select sum(abs(x.p - y.p)) from p x join p y using (lang, term) where x.lang = a.lang and x.source = a.source and y.source = b.source), 0)::bigint as value from g a join g b on a.lang = b.lang and a.source <> b.source
+ union all select lang, source, 'term', term, (p - q)::bigint from p where n > 0 and p > q)
+select lang, source, part, item, value, row_number() over (partition by lang, source, part order by value desc, encode(item))::int as rank from r qualify part = 'pair' or rank <= {divergence.TOP}
+"""
+
+_CODED = """
+{n} as (select * from (select vec_id, label, part, x, entry, c, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint d, row_number() over (partition by r, part order by d, entry) nth from v join {books} using (part)) where nth = 1),
+"""
+_MOVED = """
+{n} as (select b.part, b.entry, coalesce(m.c, b.c) c from {books} b left join (select part, entry, list(m order by i) c from (select part, entry, i, ((sum(x[i]) - (sum(x[i]) % count(*) + count(*)) % count(*)) // count(*))::bigint m from {coded}, unnest(range(1, len(x) + 1)) u(i) group by all) group by all) m using (part, entry)),
+"""
+OP13_SQL = (
+    """
+with k as (select *, row_number() over (order by vec_id) r from (select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) v from embeddings where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)),
+v as (select r, vec_id, label, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] x from k, range(16) u(part)),
+b0 as (select part, r - 1 entry, x c from v where r <= 64),
+"""
+    + _CODED.format(n="c0", books="b0") + _MOVED.format(n="b1", books="b0", coded="c0") + _CODED.format(n="c1", books="b1") + _MOVED.format(n="b2", books="b1", coded="c1") + _CODED.format(n="c2", books="b2")
+    + """
+h as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) codebooks_sha256 from b2),
+e as (select vec_id, label, string_agg(format('{:02x}', entry), '' order by part) code, sum(d)::bigint error from c2 group by all)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, codebooks_sha256 from e, h
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL where DuckDB can express the contract; the other queries are held against plain versions in the tests."""
-    return {"op1_warc": OP1_SQL, "op3_topk": OP3_SQL, "op5_secrets": OP5_SQL}
+    return {"op1_warc": OP1_SQL, "op3_topk": OP3_SQL, "op5_secrets": OP5_SQL, "op11_divergence": OP11_SQL, "op13_vector_codes": OP13_SQL}
