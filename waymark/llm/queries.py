@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, divergence, line_dedup, pii, quality, secrets, simhash, token_ids, topk, vector_codes, warc
+from . import decontaminate, divergence, line_dedup, packing, pii, quality, secrets, simhash, token_ids, topk, vector_codes, warc
 from . import mixture as mixing
 from ._shared import table
 
@@ -84,13 +84,19 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
     return coded.withColumn("codebooks_sha256", F.lit(vector_codes.codebooks_sha256(books)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_pii, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op8_line_dedup, op9_simhash, op10_quality, op11_divergence, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_warc, op2_pii, op3_topk, op4_token_ids, op5_secrets, op6_decontaminate, op7_mixture, op8_line_dedup, op9_simhash, op10_quality, op11_divergence, op12_packing, op13_vector_codes)}
 
 
 OP1_SQL = """

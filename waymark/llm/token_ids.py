@@ -28,7 +28,6 @@ from functools import cache
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -253,13 +252,18 @@ class PieceTable:
         entry[~is_head] = body.indices.to_numpy()
         entry[is_head] = len(different) + np.arange(len(heads))
         entry = np.insert(entry, edges[1:], len(different) + len(heads))
+        ids, stops = self._gathered(entry, at, n)
+        return ids, np.diff(stops[edges + np.arange(len(edges))])
+
+    def _gathered(self, entry: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries in a row, ``n`` of each from place ``at`` of the pool on, and where each entry's begin."""
         stops = np.concatenate(([0], np.cumsum(n[entry])))
         ids = np.empty(int(stops[-1]), np.uint32)
         for lo in range(0, len(entry), GATHERED):
             some = entry[lo : lo + GATHERED]
             first, last = int(stops[lo]), int(stops[lo + len(some)])
             ids[first:last] = self.pool[np.repeat(at[some] - stops[lo : lo + len(some)], n[some]) + np.arange(first, last)]
-        return ids, np.diff(stops[edges + np.arange(len(edges))])
+        return ids, stops
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -379,14 +383,15 @@ def read_tokens(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(id_col, start, n_tokens, ids_crc32)`` of every document in a manifest's files."""
     spark = manifest.sparkSession
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, start in zip(batch["file"], batch["start"], strict=True):
+            for file, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 with open_input(file) as stream:
-                    rows = [(doc, int(start) + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc, at, ids in read_file(stream)]
-                out = pd.DataFrame(rows, columns=["id", "start", "n", "crc"])
-                yield out.assign(id=out["id"].astype("Int64"))
+                    rows = [(doc, start + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc, at, ids in read_file(stream)]
+                # a null id is a null of a column of longs: ids never become doubles
+                columns = [pa.array(x, pa.int64()) for x in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 4
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "n", "crc"])
 
     files = manifest.select("file", "start").coalesce(1).repartition(max(1, spark.sparkContext.defaultParallelism))
-    out = files.mapInPandas(run, "id long, start long, n long, crc long")
+    out = files.mapInArrow(run, "id long, start long, n long, crc long")
     return out.select(F.col("id").alias(id_col), "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
