@@ -17,6 +17,7 @@ hash ranges; rows of one hash that are more than a thousandth of all are dealt b
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ CAP = 3.0
 SEED = 42
 #: Hash ranges that the documents of a length are counted by.
 RANGES = 1024
-#: Sums that the dynamic programme tells apart; where there are more, lengths are counted in larger units first.
+#: Sums that keep what they came from; where there are more, that is found again by halves.
 MOST_SUMS = 1 << 24
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -90,37 +91,77 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
 
 
 def _subset(lengths: np.ndarray, left: np.ndarray, rest: int, order: np.ndarray) -> np.ndarray:
-    """Of the documents left, some whose lengths' sum comes nearest to ``rest``: exactly, where there are at most
-    ``MOST_SUMS`` sums, else of the lengths in units of as many tokens as are needed for that."""
+    """Of the documents left, some whose lengths' sum comes nearest to ``rest``, of equally near ones the smaller.
+
+    Up to ``MOST_SUMS`` sums, each keeps what it came from; where there are more, what makes up the nearest sum is found
+    again by halves of the lengths, with a bit for each sum. Both are exact.
+    """
     most = rest + min(rest, int(lengths[-1]))
-    unit = -(-most // MOST_SUMS)
-    if unit > 1:
-        lengths = np.maximum(1, (lengths + unit // 2) // unit)
-        rest, most = rest // unit, most // unit
-    full, reach = (1 << most + 1) - 1, 1
-    came, step = np.zeros(most + 1, np.int32), np.zeros(most + 1, np.int64)
+    reach, traced = 1, most < MOST_SUMS
+    came, step = np.zeros(most + 1 if traced else 0, np.int32), np.zeros(most + 1 if traced else 0, np.int64)
+    used = []
     for k in order.tolist():
-        length = int(lengths[k])
         if reach >> rest & 1:
             break
-        n_left, n = min(int(left[k]), most // length), 1
-        while n_left > 0:  # binary splitting of the count
-            n = min(n, n_left)
-            new = (reach << n * length) & full & ~reach
-            if new:
-                at = _set_bits(new)
+        used.append(k)
+        for n, wider in _added(reach, int(lengths[k]), int(left[k]), most):
+            if traced:
+                at = _set_bits(wider & ~reach)
                 came[at], step[at] = k, n
-                reach |= new
-            n_left, n = n_left - n, n * 2
-    sums = _set_bits(reach)
-    at = int(sums[np.lexsort((sums, np.abs(sums - rest)))[0]])
+            reach = wider
+    below, above = (reach & ((1 << rest + 1) - 1)).bit_length() - 1, reach >> rest
+    at = below
+    if above and (gap := (above & -above).bit_length() - 1) < rest - below:
+        at = rest + gap
     out = np.zeros(len(lengths), np.int64)
-    while at:
-        out[came[at]] += step[at]
-        at -= int(step[at] * lengths[came[at]])
+    if traced:
+        while at:
+            out[came[at]] += step[at]
+            at -= int(step[at] * lengths[came[at]])
+        return out
+    parts = [(used, at)]
+    while parts:
+        some, total = parts.pop()
+        if len(some) == 1:
+            out[some[0]] = total // int(lengths[some[0]])
+        elif total:
+            halves = some[: len(some) // 2], some[len(some) // 2 :]
+            one, other = (_sums(lengths, left, half, total) for half in halves)
+            both = one & _mirrored(other, total)
+            own = (both & -both).bit_length() - 1
+            parts += [(halves[0], own), (halves[1], total - own)]
     return out
 
 
+def _added(reach: int, length: int, count: int, most: int) -> Iterator[tuple[int, int]]:
+    """``(n, sums)`` when n more documents of a length may be taken, ``count`` in all; a bit for each sum up to ``most``."""
+    full, count, n = (1 << most + 1) - 1, min(count, most // length), 1
+    while count > 0:  # binary splitting of the count
+        n = min(n, count)
+        reach |= (reach << n * length) & full
+        yield n, reach
+        count, n = count - n, n * 2
+
+
+def _sums(lengths: np.ndarray, left: np.ndarray, some: list[int], most: int) -> int:
+    reach = 1
+    for k in some:
+        for _, reach in _added(reach, int(lengths[k]), int(left[k]), most):  # noqa: B007
+            pass
+    return reach
+
+
+#: Each byte with its bits in the other order.
+_TURNED = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"), axis=1).reshape(-1)
+
+
+def _mirrored(x: int, most: int) -> int:
+    """Bit ``most - i`` for each bit i of x."""
+    size = most // 8 + 1
+    raw = np.frombuffer(x.to_bytes(size, "little"), np.uint8)
+    return int.from_bytes(_TURNED[raw[::-1]].tobytes(), "little") >> (8 * size - 1 - most)
+
+
 def _set_bits(x: int) -> np.ndarray:
     raw = np.frombuffer(x.to_bytes((x.bit_length() + 7) // 8, "little"), np.uint8)
     return np.flatnonzero(np.unpackbits(raw, bitorder="little"))

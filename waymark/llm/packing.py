@@ -1,12 +1,13 @@
 """Best-fit packing of tokenised documents into sequences of one length, by partitions and then by a tree.
 
-A document's ids, with the end id, are cut into pieces of ``capacity`` ids only if there are more. Every partition packs its
-own pieces best-fit, longest first, and emits the bins that are nearly full. The bins that aren't are items, as long
-as what they hold, of the next level: they are dealt to nodes of some ``NODE`` items each, best-fit again, and so on until
-one node has all that is left, or a level joins hardly any. Places of pieces in their sequences are the sums of the
-places on the way up. Only pieces of bins that weren't full at once are shuffled, and without their ids.
+A document's ids, with the end id, are cut into pieces of ``capacity`` ids only if there are more. Pieces, without their
+ids, are dealt by hash to partitions of some ``NODE`` of them, so that long and short ones meet whatever the table's order.
+Each partition packs its own best-fit, longest first, and emits the bins that are nearly full. The bins that aren't are
+items, as long as what they hold, of the next level: again dealt to nodes of some ``NODE`` items, best-fit again, and so on
+until one node has all that is left, or a level joins hardly any. Places of pieces in their sequences are the sums of the
+places on the way up; only pieces of bins that weren't full at once are joined with them.
 
-A node's memory is bounded by ``NODE``, a partition's by ``LEAF`` pieces at a time; the driver only counts.
+A node's memory is bounded by ``NODE`` items, a tokenising task's by one run of texts; the driver only counts.
 
 Edge cases: a null or empty text is the end id alone; rows with a null id are documents; repeated ids and rows are packed
 each; a text of any length is cut as often as needed; an empty table gives an empty result; extra columns are not looked at.
@@ -31,8 +32,8 @@ from .token_ids import MOST_IDS, MOST_PIECES, PieceTable, _slices
 CAPACITY, END_ID = 2048, 0
 #: A bin with at most this share of its room left is nearly full.
 SLACK = 1 / 512
-#: Pieces that a partition packs at once, and items of a node.
-LEAF, NODE = 1 << 17, 1 << 17
+#: Items of a node, on average.
+NODE = 1 << 15
 #: Levels end when one joins less than this share of its items.
 LEAST_JOINED = 0.01
 
@@ -146,31 +147,15 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, places, np.array(content, np.int64)
 
 
-def _pack(first: int, sizes: np.ndarray, capacity: int, slack: int) -> dict[str, pa.Array]:
-    """The columns of packed items; bins are numbered from ``first``."""
-    bins, places, content = best_fit(sizes, capacity)
-    return {"bin": pa.array(bins + first), "at": pa.array(places), "size": pa.array(content[bins]), "open": pa.array(content[bins] < capacity - slack)}
-
-
-def pieces_in_bins(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, slack: int, id_col: str, text_col: str) -> DataFrame:
-    """``(id, piece, start, length, crc, bin, at, size, open)`` of every piece: packed within its partition."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """``(item, size, id, piece, start, crc)`` of every piece, tokenised where the documents lie; ``item`` numbers them."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        table, base, done = _tokenizer(tokenizer), TaskContext.get().partitionId() << 32, 0
-        held: list[tuple] = []
-        waiting = 0
-
-        def packed() -> pa.RecordBatch:
-            nonlocal done
-            columns = {"id": pa.concat_arrays([h[0] for h in held])} | {c: pa.array(np.concatenate([h[k] for h in held])) for k, c in enumerate(("piece", "start", "length", "crc"), 1)}
-            columns |= _pack(base + done, columns["length"].to_numpy(), capacity, slack)
-            done += len(columns["id"])
-            return pa.RecordBatch.from_pydict(columns)
-
+        table, done = _tokenizer(tokenizer), TaskContext.get().partitionId() << 32
         for batch in batches:
             for lo, n in _slices(batch.column("t")):
                 ids, lengths = table.encode(batch.column("t").slice(lo, n), end_id)
@@ -178,59 +163,51 @@ def pieces_in_bins(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
                 doc = np.repeat(np.arange(n), count)
                 piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
                 start = piece * capacity
-                length = np.minimum(capacity, lengths[doc] - start)
+                size = np.minimum(capacity, lengths[doc] - start)
                 at, raw = (np.repeat(np.cumsum(lengths) - lengths, count) + start) * 4, memoryview(ids.astype("<u4").tobytes())
-                crc = np.array([zlib.crc32(raw[a : a + 4 * k]) for a, k in zip(at.tolist(), length.tolist(), strict=True)], np.int64)
-                held.append((batch.column("id").slice(lo, n).take(pa.array(doc)), piece.astype(np.int32), start, length, crc))
-                waiting += len(doc)
-                if waiting >= LEAF:
-                    yield packed()
-                    held, waiting = [], 0
-        if held:
-            yield packed()
+                crc = np.array([zlib.crc32(raw[a : a + 4 * k]) for a, k in zip(at.tolist(), size.tolist(), strict=True)], np.int64)
+                item, done = np.arange(done, done + len(doc)), done + len(doc)
+                yield pa.RecordBatch.from_pydict({"item": item, "size": size, "id": batch.column("id").slice(lo, n).take(pa.array(doc)), "piece": piece.astype(np.int32), "start": start, "crc": crc})
 
-    return rows.mapInArrow(run, "id long, piece int, start long, length long, crc long, bin long, at long, size long, open boolean")
+    return rows.mapInArrow(run, "item long, size long, id long, piece int, start long, crc long")
 
 
-def _level(items: DataFrame, n: int, level: int, capacity: int, slack: int) -> DataFrame:
-    """``(item, bin, at, size, open)``: items ``(item, size)`` packed in nodes of some ``NODE`` of them."""
-    node = F.pmod(F.xxhash64("item", F.lit(level)), F.lit(-(-n // NODE))).alias("node")
+def packed(items: DataFrame, n: int, level: int, capacity: int, least: int) -> DataFrame:
+    """``items`` (item, size and others; ``n`` of them) with ``bin, at, content, open``: dealt to nodes of some ``NODE``
+    of them, each packed best-fit. A bin is ``open`` if more than ``least`` of its room is left."""
+    node = F.pmod(F.xxhash64("item", F.lit(level)), F.lit(max(1, -(-n // NODE)))).alias("node")
+    own = items.columns
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("size", "descending"), ("item", "ascending")])
+        table = table.sort_by([("size", "descending"), ("item", "ascending")]).combine_chunks()
         first = (level << 56) + (table.column("node")[0].as_py() << 32)
-        packed = _pack(first, table.column("size").combine_chunks().to_numpy(), capacity, slack)
-        return pa.table({"item": table.column("item"), **packed})
+        bins, places, content = best_fit(table.column("size").to_numpy(), capacity)
+        return pa.table({c: table.column(c) for c in own} | {"bin": bins + first, "at": places, "content": content[bins], "open": content[bins] < capacity - least})
 
-    return items.select(node, "item", "size").groupBy("node").applyInArrow(run, "item long, bin long, at long, size long, open boolean")
+    fields = ", ".join(f"{c} {t}" for c, t in items.dtypes)
+    return items.select(node, *own).groupBy("node").applyInArrow(run, f"{fields}, bin long, at long, content long, open boolean")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
     """``(id_col, piece, start, length, ids_crc32, sequence_id, offset)`` of every piece of every document."""
     least = int(capacity * slack)
-    leaves = materialise(pieces_in_bins(docs, tokenizer, capacity, end_id, least, id_col, text_col), "leaves")
-    underfull = lambda df: df.filter("open and at = 0").select(F.col("bin").alias("item"), "size")
+    items = materialise(pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces")
     levels: list[DataFrame] = []
-    items = underfull(leaves)
-    n = items.count()
-    while n > 1:
-        levels.append(materialise(_level(items, n, len(levels) + 1, capacity, least), "level"))
-        bins = levels[-1].filter("at = 0").count()
-        if n <= NODE or bins > (1 - LEAST_JOINED) * n:
+    while (n := items.count()) > 1 or not levels:
+        levels.append(materialise(packed(items, n, len(levels), capacity, least), "packed"))
+        if n <= NODE or levels[-1].filter("at = 0").count() > (1 - LEAST_JOINED) * n and len(levels) > 1:
             break
-        items = underfull(levels[-1])
-        n = items.count()
-    final = None
-    for level in reversed(levels):
+        items = levels[-1].filter("open and at = 0").select(F.col("bin").alias("item"), F.col("content").alias("size"))
+    places = None
+    for level in reversed(levels[1:]):
         own = level.select("item", F.col("bin").alias("sequence"), F.col("at").alias("shift"))
-        if final is not None:
-            above = final.select(F.col("item").alias("bin"), F.col("sequence").alias("_sequence"), F.col("shift").alias("_shift"))
-            own = own.join(above, F.col("sequence") == F.col("bin"), "left")
-            own = own.select("item", F.coalesce("_sequence", "sequence").alias("sequence"), (F.col("shift") + F.coalesce("_shift", F.lit(0))).alias("shift"))
-        final = materialise(own, "places")
-    columns = [F.col("id").alias(id_col), "piece", "start", "length", F.col("crc").alias("ids_crc32")]
-    if final is None:
-        return leaves.select(*columns, F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
-    whole = leaves.filter("not open").select(*columns, F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
-    moved = leaves.filter("open").join(final, F.col("bin") == F.col("item"))
-    return whole.unionByName(moved.select(*columns, F.col("sequence").alias("sequence_id"), (F.col("at") + F.col("shift")).alias("offset")))
+        if places is not None:
+            above = places.select(F.col("item").alias("sequence"), F.col("sequence").alias("top"), F.col("shift").alias("more"))
+            own = own.join(above, "sequence", "left").select("item", F.coalesce("top", "sequence").alias("sequence"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"))
+        places = materialise(own, "places")
+    columns = [F.col("id").alias(id_col), "piece", "start", F.col("size").alias("length"), F.col("crc").alias("ids_crc32")]
+    if places is None:
+        return levels[0].select(*columns, F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
+    settled = levels[0].filter("not open").select(*columns, F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
+    moved = levels[0].filter("open").join(places.withColumnRenamed("item", "bin"), "bin")
+    return settled.unionByName(moved.select(*columns, F.col("sequence").alias("sequence_id"), (F.col("at") + F.col("shift")).alias("offset")))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import attach, materialise, prepare, shared_dir, text_or_empty
+from ._shared import attach, flagged, materialise, prepare, shared_dir, text_or_empty
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 FOUND = T.ArrayType(SPAN)
@@ -82,25 +82,31 @@ def scan_blobs(docs: DataFrame, rules: RuleSet = BASE, ledger: str | None = None
     ``ledger`` names the Parquet folder of earlier runs; append the second result to it. The first has a row for each
     row of ``docs``: ``path, blob, found`` (spans by start, then by the order of the rules; code points, end exclusive).
 
-    Of the paths of an unseen blob one is picked by the smallest path hash; only its text reaches a scanner. Hashes and
-    paths are shuffled twice, texts once.
+    Of the paths of an unseen blob the one of the smallest hash is picked, and only its text reaches a scanner; where
+    several rows have that path and text, or the path is null, each task first makes them one, then all do. Hashes are
+    shuffled three times, texts once.
     """
     spark = docs.sparkSession
     prepare(spark)
     named = blobs(docs, path_col, text_col)
     keys = materialise(named.select("path", "blob"), "paths")
-    groups = keys.groupBy("blob").agg(F.min(F.xxhash64("path")).alias("pick"), F.count("*").alias("n"))
+    by_path = keys.groupBy("blob", F.xxhash64("path").alias("pick")).agg(F.count("*").alias("m"))
+    groups = by_path.groupBy("blob").agg(F.min(F.struct("pick", "m")).alias("p"), F.sum("m").alias("n")).select("blob", "p.*", "n")
     known = read_ledger(spark, ledger).filter(F.col("rules") == rules.version).select("blob", "found").dropDuplicates(["blob"])
     groups = materialise(groups.join(known.select("blob", F.lit(True).alias("known")), "blob", "left"), "blobs")
-    fresh = groups.filter("known is null").select("blob", "pick")
-    picked = named.withColumn("pick", F.xxhash64("path")).join(fresh, ["blob", "pick"], "left_semi")
+    fresh = groups.filter("known is null").select("blob", "pick", "m")
+    rows = named.withColumn("pick", F.xxhash64("path"))
+    picked = rows.join(fresh.filter("m = 1"), ["blob", "pick"], "left_semi").select("blob", "text")
+    if not fresh.filter("m > 1").isEmpty():
+        repeated = flagged(rows, fresh.filter("m > 1"), "blob").filter("_may").groupBy("blob", "pick").agg(F.first("text").alias("text"))
+        picked = picked.unionByName(repeated.join(fresh.filter("m > 1"), ["blob", "pick"], "left_semi").select("blob", "text"))
     scan = _scanner(rules)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"blob": batch["blob"], "found": [[{"kind": k, "start": s, "end": e} for k, s, e in scan(x)] for x in batch["text"]]})
 
-    found = picked.select("blob", "text").mapInPandas(run, T.StructType([LEDGER["blob"], LEDGER["found"]]))
+    found = picked.mapInPandas(run, T.StructType([LEDGER["blob"], LEDGER["found"]]))
     found = materialise(found, "scanned").dropDuplicates(["blob"])
     values = found.unionByName(known).join(groups.select("blob", "n"), "blob")
     paths = attach(keys, values, "blob", "n", keys.count())

@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,14 +108,14 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """``(id, fp)`` of every row; ``fp`` is the fingerprint as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = np.array([fingerprint(x, words) for x in batch["t"]], np.uint64)
-            yield pd.DataFrame({"id": batch["id"], "fp": found.astype(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # ids stay in Arrow: as a pandas column with nulls they would be doubles
+            found = np.array([fingerprint(x, words) for x in batch.column("t").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found.astype(np.int64))], names=["id", "fp"])
 
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t"))
-    return rows.mapInPandas(run, "id long, fp long")
+    return rows.mapInArrow(run, "id long, fp long")
 
 
 def _cut(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: int) -> np.ndarray:
@@ -339,12 +340,13 @@ def near_dedup(
     prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")).withColumn("node", F.unhex(F.md5("t")))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprints_of(x, print_words, prints) for x in batch["t"]], np.uint64).reshape(-1, prints)
-            yield pd.DataFrame({"id": batch["id"], "node": batch["node"], "fps": list(found.astype(np.int64))})
+            found = np.array([fingerprints_of(x, print_words, prints) for x in batch.column("t").to_pylist()], np.uint64).reshape(-1, prints)
+            lists = pa.ListArray.from_arrays(np.arange(0, found.size + 1, prints, dtype=np.int32), pa.array(found.astype(np.int64).reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), lists], names=["id", "node", "fps"])
 
-    own = materialise(rows.mapInPandas(run, "id long, node binary, fps array<long>"), "fingerprints")
+    own = materialise(rows.mapInArrow(run, "id long, node binary, fps array<long>"), "fingerprints")
     nodes = materialise(own.groupBy("node").agg(F.min("id").alias("least"), F.first("fps").alias("fps")), "nodes")
     turn = lambda k: F.transform("fps", lambda x, i: F.get("fps", (i + k) % prints))
     held = nodes.select("node", F.posexplode(F.arrays_zip(F.col("fps").alias("fp"), turn(1).alias("check"), turn(2).alias("other"))).alias("print", "p")).select("node", "print", "p.*")

@@ -47,7 +47,9 @@ class Neighbours:
     @classmethod
     def of(cls, entries: np.ndarray) -> Neighbours:
         gap = ((entries[:, None, :] - entries[None, :, :]) ** 2).sum(axis=2)
+        np.fill_diagonal(gap, -1)  # itself before entries that are equal
         order = np.argsort(gap, axis=1, kind="stable")
+        np.fill_diagonal(gap, 0)
         return cls(entries, order, np.take_along_axis(gap, order, axis=1))
 
     def nearest(self, points: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

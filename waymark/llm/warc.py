@@ -24,7 +24,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,6 +180,23 @@ def with_responses(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     return out.withColumn("revisit", F.col("keep_url").isNotNull() & ~F.col("id").eqNullSafe(F.col("keep"))).drop("same")
 
 
+class Row(NamedTuple):
+    """A page with its response, if it revisits one."""
+
+    id: int | None
+    url: str
+    html: str
+    date: str
+    keep: int | None
+    keep_url: str | None
+    keep_date: str | None
+    revisit: bool
+
+
+def digits(number: int | None) -> str:
+    return "" if number is None else str(number)
+
+
 def convert(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_REVISIT, path: str | None = None) -> DataFrame:
     """Pages through an ARC stream of both versions into WARC files; gives the manifest ``(file, records, bytes)``.
 
@@ -194,7 +211,7 @@ def convert(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).cast("long").alias("id"), url.alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), F.lit("20000101000000").alias("date"))
     joined = with_responses(rows, least)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         out, done = None, []
@@ -203,18 +220,17 @@ def convert(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             out[0].close()
             done.append((out[1], out[2], out[3]))
 
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                version = 1 + (0 if pd.isna(row.id) else int(row.id)) % 2
+        for batch in batches:  # ids as Python's integers: as a pandas column with nulls they would be doubles
+            for row in map(Row, *[batch.column(c).to_pylist() for c in Row._fields]):
+                version = 1 + (row.id or 0) % 2
                 header = {"URL": row.url, "IP-address": "0.0.0.0", "Archive-date": row.date, "Content-type": "text/html", "Result-code": "200"}
                 arc = io.BytesIO(b"".join(arc_bytes([(header, row.html.encode("utf-8", "replace"))], version)))
                 for record in parse_arc(arc):
                     revisit = None
                     if row.revisit:
                         date, digest = iso_date(row.keep_date), base32_sha1(record.body)
-                        keep = "" if pd.isna(row.keep) else str(int(row.keep))
-                        revisit = Revisit(record_uuid(row.keep_url, date, digest, "response", keep), row.keep_url, date)
-                    extra = {"X-Page": "" if pd.isna(row.id) else str(int(row.id)), "X-Payload-Length": str(len(record.body))} | ({"X-Refers-To-Page": "" if pd.isna(row.keep) else str(int(row.keep))} if revisit else {})
+                        revisit = Revisit(record_uuid(row.keep_url, date, digest, "response", digits(row.keep)), row.keep_url, date)
+                    extra = {"X-Page": digits(row.id), "X-Payload-Length": str(len(record.body))} | ({"X-Refers-To-Page": digits(row.keep)} if revisit else {})
                     unit = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                     member = unit.compress(warc_record(record, revisit, extra)) + unit.flush()
                     if out is None or out[3] >= FILE_BYTES:
@@ -227,9 +243,14 @@ def convert(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     out[3] += len(member)
         if out is not None:
             close()
-        yield pd.DataFrame(done, columns=["file", "records", "bytes"])
+        columns = [*zip(*done, strict=True)] or [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], names=["file", "records", "bytes"])
+
+    return materialise(joined.mapInArrow(run, "file string, records long, bytes long"), "manifest")
+
 
-    return materialise(joined.mapInPandas(run, "file string, records long, bytes long"), "manifest")
+#: What is read of a record.
+READ = pa.schema([("id", pa.int64()), ("bytes", pa.int64()), ("digest", pa.string()), ("type", pa.string()), ("refers", pa.int64()), ("record_id", pa.string()), ("date", pa.string())])
 
 
 def read_archives(manifest: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -239,9 +260,9 @@ def read_archives(manifest: DataFrame, id_col: str = "page_id") -> DataFrame:
     """
     spark = manifest.sparkSession
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file in batch["file"]:
+            for file in batch.column("file").to_pylist():
                 rows = []
                 with open_input(file) as stream:
                     for member in _gunzip(stream):
@@ -251,9 +272,9 @@ def read_archives(manifest: DataFrame, id_col: str = "page_id") -> DataFrame:
                                 int(h["X-Page"]) if h["X-Page"] else None, len(payload) if whole else int(h["X-Payload-Length"]), base32_sha1(payload) if whole else h["WARC-Payload-Digest"].partition(":")[2],
                                 h["WARC-Type"], int(h["X-Refers-To-Page"]) if h.get("X-Refers-To-Page") else None, h["WARC-Record-ID"], h["WARC-Date"],
                             ))
-                out = pd.DataFrame(rows, columns=["id", "bytes", "digest", "type", "refers", "record_id", "date"])
-                yield out.assign(id=out["id"].astype("Int64"), refers=out["refers"].astype("Int64"))
+                columns = [*zip(*rows, strict=True)] or [[]] * len(READ)
+                yield pa.RecordBatch.from_arrays([pa.array(c, READ.field(k).type) for k, c in enumerate(columns)], schema=READ)
 
     files = manifest.select("file").repartition(max(1, spark.sparkContext.defaultParallelism), "file")
-    out = files.mapInPandas(run, "id long, bytes long, digest string, type string, refers long, record_id string, date string")
+    out = files.mapInArrow(run, "id long, bytes long, digest string, type string, refers long, record_id string, date string")
     return out.select(F.col("id").alias(id_col), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers").alias("refers_to"), "record_id", "date")
