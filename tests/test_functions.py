@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from waymark.functions import geo
+from waymark.functions import offsets as O
 from waymark.functions import text as K
 
 quick = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -129,4 +130,28 @@ def test_lines_of_the_normalised_text(spark):
     rows = spark.createDataFrame([(text,)], "t string")
     for word, line in (("one", 3), ("two", 3), ("three", 6), ("four", 7), ("five", 8)):
         place = F.call_function("locate", F.lit(word), K.normalize(F.col("t"))) - 1
-        assert rows.select(K.line_at(K.normalize_lines(F.col("t")), place).alias("x")).first().x == line
+        span = O.span_in(O.normalized_runs(F.col("t")), place, place + 1)
+        assert rows.select(O.line_of(F.col("t"), span["start"]).alias("x")).first().x == line
+
+
+ODD_TEXT = st.lists(st.sampled_from(["a", "b", " ", "  ", "\n", "\u00a0", "_", "\u00ad", "\u200b", "-", "—", "–", "…", "“", "e\u0301", "é", "x\u0301", "\u0301", "ß", "ﬁ", "İ", "\u1112\u1161\u11ab", "\u0958", "😀"]), max_size=14).map("".join)
+
+
+@quick
+@given(ODD_TEXT)
+def test_offset_maps(spark, text):
+    """Places of a key lead to places of the raw text that never go back, and whose text has that key."""
+    rows = spark.createDataFrame([(text,)], "t string")
+    norm = rows.select(K.normalize(F.col("t")).alias("n"), K.match_key(F.col("t")).alias("k"), O.normalized_runs(F.col("t")).alias("runs"), O.casefold_runs(K.normalize(F.col("t"))).alias("folds")).first()
+    assert sum(r.old + r.skip for r in norm.runs) == len(text) and sum(r.old + r.skip for r in norm.folds) == len(norm.n)
+    assert len(norm.k) == sum(r.new + r.skip for r in norm.folds)
+    n = len(norm.n)
+    if not n:
+        return
+    mapped = rows.select("t", O.normalized_runs(F.col("t")).alias("runs"))
+    each = mapped.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: O.span_in(F.col("runs"), i, i + 1))).alias("s"), "t").select("s.*", K.normalize(F.substring("t", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))).alias("own")).collect()
+    assert [r.start for r in each] == sorted(r.start for r in each) and all(0 <= r.start < r.end <= len(text) for r in each)
+    for c, r in zip(norm.n, each, strict=True):
+        assert c in r.own or (c == " " and not r.own.strip()), (c, r)
+    whole = rows.select(O.span_in(O.normalized_runs(F.col("t")), F.lit(0), F.lit(n)).alias("s")).first().s
+    assert rows.select(K.normalize(F.substring("t", whole.start + 1, whole.end - whole.start)).alias("x")).first().x == norm.n

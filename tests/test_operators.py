@@ -263,3 +263,32 @@ def test_sources_and_anchors(spark, tmp_path):
     sources.write_cache(cache, str(tmp_path / "cache"))
     again = spark.read.schema("key string, candidates array<string>").json(str(tmp_path / "cache"))
     assert sources.with_cache(spark.createDataFrame([("“Suez”",)], "name string"), again, "w").first().candidates == ["Q1"]
+
+
+def test_near_misses_over_a_corpus(spark):
+    """All pairs of the smallest tables by brute force, and a quotation of each class with one place changed."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", F.regexp_replace("text", " th", " sh").alias("text"))
+    columns = ["doc_id", "item_id", "kind", "ratio", "start", "end", "line_no", "closest"]
+    got = evidence.find_near(docs, items).select(columns)
+    pairs = docs.crossJoin(items.withColumnRenamed("text", "quote"))
+    want = evidence.check_quotes(pairs.repartition(16)).filter("kind != 'missing'").select(columns)
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(map(tuple, want.collect())) and sum(r[2] == "near_miss" for r in rows) >= 1
+    text = "Nobody on board the packet that day had ever seen the island from the north side before.\nIt lay low and grey under cloud."
+    for n in (10, 14, 20, 30, 44, 60, 100):
+        quote = text[3 : 3 + n].replace("\n", " ")
+        quote = quote[: n - 2] + "#" + quote[n - 1 :]
+        one = spark.createDataFrame([(1, "x" * 5 + text), (2, "nothing of that kind"), (3, None)], "doc_id int, text string")
+        found = evidence.find_near(one, spark.createDataFrame([(7, quote), (8, None), (9, "short")], "item_id int, text string")).collect()
+        assert [(r.doc_id, r.item_id, r.kind) for r in found] == [(1, 7, "near_miss")], (n, found)
+        assert found[0].start <= 8 and 8 + n - 2 <= found[0].end
+
+
+def test_lists_of_quotations(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "Three  four"), (3, None)], "doc_id int, text string")
+    quotes = spark.createDataFrame([(1, "one two"), (2, "three"), (3, "four"), (4, None)], "item_id int, text string")
+    want = sorted(map(tuple, evidence.find_quotes(docs, quotes).collect()))
+    monkeypatch.setattr(evidence, "AUTOMATON_BYTES", 20)
+    assert sorted(map(tuple, evidence.find_quotes(docs, quotes).collect())) == want == [(1, 1, "exact"), (1, 2, "exact"), (2, 2, "case_insensitive"), (2, 3, "exact")]
+    assert evidence.find_quotes(docs, quotes.limit(0)).count() == 0 and evidence.find_near(docs, quotes.limit(0)).count() == 0

@@ -66,11 +66,20 @@ _MANY = {c: f for c, f in _FOLDED.items() if len(f) > 1}
 
 
 def casefold(text: Column) -> Column:
-    """Full case folding: lower case, and what folding makes of the characters that have several lower-case forms."""
-    lower = F.translate(F.lower(text), "".join(_ONE), "".join(_ONE.values()))
+    """Full case folding: lower case, and what folding makes of the characters that have several lower-case forms.
+
+    Texts of ASCII only, the most by far, are just lower-cased.
+    """
+    lower = F.lower(text)
+    one = F.translate(lower, "".join(_ONE), "".join(_ONE.values()))
     table = F.create_map(*[F.lit(x) for pair in _MANY.items() for x in pair])
-    spelled = F.array_join(F.transform(F.split(lower, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-    return F.when(lower.rlike(f"[{''.join(_MANY)}]"), spelled).otherwise(lower)
+    spelled = F.array_join(F.transform(F.split(one, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(~text.rlike(NOT_ASCII), lower).when(text.rlike(_MAY_SPELL), spelled).otherwise(one)
+
+
+NOT_ASCII = "[^\\x00-\\x7f]"
+#: Blocks that hold all characters that folding makes several of: a short class, so that other texts are passed quickly.
+_MAY_SPELL = "[\\xDF\\x{130}\\x{149}\\x{1F0}\\x{390}\\x{3B0}\\x{587}\\x{1E96}-\\x{1FFC}\\x{FB00}-\\x{FB17}]"
 
 
 def strip(text: Column) -> Column:
@@ -94,28 +103,6 @@ def normalize(text: Column, nfc: bool = True) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(fold(text, nfc), r"(?U)\s+", " "), "-{2,}", "-"))
 
 
-#: Stands for a line end in ``normalize_lines``; no character, so that texts don't hold it.
-LINE_MARK = "\ufdd0"
-
-
-def normalize_lines(text: Column, nfc: bool = True) -> Column:
-    """``normalize`` with a ``LINE_MARK`` for each line end, behind the space that it became part of."""
-    marked = F.replace(fold(text, nfc), F.lit("\n"), F.lit(" " + LINE_MARK))
-    marked = F.replace(F.regexp_replace(marked, r"(?U)\s+", " "), F.lit(LINE_MARK + " "), F.lit(LINE_MARK))
-    return F.ltrim(F.regexp_replace(marked, "-{2,}", "-"))
-
-
-def line_at(marked: Column, place: Column) -> Column:
-    """The line, from 1, on which a place (from 0) of the normalised text is; ``marked`` is its ``normalize_lines``."""
-    start = F.struct(F.lit(0).alias("end"), F.lit(1).alias("line"), place.alias("place"))
-
-    def step(s: Column, part: Column) -> Column:
-        end = s["end"] + F.length(part)
-        return F.struct(end.alias("end"), F.when(end <= s["place"], s["line"] + 1).otherwise(s["line"]).alias("line"), s["place"].alias("place"))
-
-    return F.aggregate(F.split(marked, LINE_MARK), start, step, lambda s: s["line"])
-
-
 def match_key(text: Column, nfc: bool = True) -> Column:
     """Normalised and case-folded."""
     return casefold(normalize(text, nfc))
@@ -322,10 +309,11 @@ WINDOWS, WINDOW_STEP = 4, 6
 @F.pandas_udf(SPAN)
 def best_span(haystack: pd.Series, needle: pd.Series) -> pd.DataFrame:
     """Where a text is most like another, by difflib: nine windows around their longest common block, widened to words."""
-    return pd.DataFrame([_best_span(h or "", n or "") for h, n in zip(haystack, needle, strict=True)], columns=["ratio", "start", "end"])
+    return pd.DataFrame([closest_span(h or "", n or "") for h, n in zip(haystack, needle, strict=True)], columns=["ratio", "start", "end"])
 
 
-def _best_span(text: str, wanted: str) -> tuple[float, int, int]:
+def closest_span(text: str, wanted: str) -> tuple[float, int, int]:
+    """``best_span`` of one pair."""
     from difflib import SequenceMatcher
 
     if not text or not wanted:

@@ -185,36 +185,44 @@ def evidence_explode(conversations: DataFrame) -> DataFrame:
 
 # Capitals of ASCII only: engines differ in the others.
 UPPER = "translate({0}, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+# Spelled so that a place in the key is another one in the text: runs of spaces and dashes, deleted marks, an ellipsis.
+VARIED = "replace(replace(replace(coalesce(text, ''), ' the ', ' “the”   '), ' of ', ' —–of '), ' and ', ' _and_ wait… ')"
+LADDER_QUOTE = (
+    "case turn % 5 when 0 then left(t, 40) when 1 then {upper} when 2 then left(t, 20) || ' ... ' || right(t, 20) when 3 then '“' || right(t, 30) || '”' else replace(replace(left(t, 60), '_', ''), '…', '...') end"
+).format(upper=UPPER.format("left(t, 40)"))
+# How many characters of the key are made of the text before each place: a span begins at the last place that has no more
+# than come before it, and ends at the first that has more than its last.
 LADDER_SQL = f"""
-with q as (select conv_id, turn, coalesce(text, '') t, case when turn % 4 = 0 then left(t, 40) when turn % 4 = 1 then {UPPER.format('left(t, 40)')} when turn % 4 = 2 then left(t, 20) || ' ... ' || right(t, 20) else '“' || right(t, 30) || '”' end q from conversations),
-n as (select *, string_split(t, chr(10)) ls, {norm_sql('t')} nt, {norm_sql('q')} nq, {key_sql('t')} kt, {key_sql('q')} kq from q),
+with q as (select *, {LADDER_QUOTE} q from (select conv_id, turn, {VARIED} t from conversations)),
+n as (select *, {norm_sql('t')} nt, {norm_sql('q')} nq, {key_sql('t')} kt, {key_sql('q')} kq from q),
 m as (select *, {EDGE_SQL.format('nq')} bq, list_filter(regexp_split_to_array(nq, '\\s*\\.\\.\\.\\s*'), lambda f: length(f) >= 8) fq from n),
 k as (select *, case when q <> '' and contains(t, q) then 'exact' when nq = '' then 'missing' when contains(nt, nq) or (bq <> '' and contains(nt, bq)) then 'normalised' when contains(kt, kq) then 'case_insensitive' when {ELIDED_SQL} then 'ellipsis' else 'unlike' end kind,
- case when contains(nt, nq) then instr(nt, nq) when bq <> '' and contains(nt, bq) then instr(nt, bq) when contains(kt, kq) then least(instr(kt, kq), length(nt)) else instr(nt, fq[1]) end spot from m)
-select conv_id, turn, kind, case when kind = 'exact' then len(string_split(left(t, (instr(t, q) - 1)::int), chr(10))) when kind in ('normalised', 'case_insensitive', 'ellipsis') then list_filter(range(1, len(ls) + 1), lambda i: length({norm_sql('array_to_string(ls[1:i], chr(10))')}) >= spot)[1] end::int line_no,
- case when kind = 'case_insensitive' then trim(substr(nt, spot, length(nq))) end closest from k
+ case when contains(nt, nq) then instr(nt, nq) when bq <> '' and contains(nt, bq) then instr(nt, bq) when contains(kt, kq) then instr(kt, kq) else instr(nt, fq[1]) end spot from m),
+e as (select *, case when kind = 'ellipsis' then length(nt) - length(list_reduce(list_prepend(nt, fq), lambda rest, f: substr(rest, instr(rest, f) + length(f)))) when contains(nt, nq) or kind = 'case_insensitive' then spot + length(nq) - 1 else spot + length(bq) - 1 end stop,
+ case when kind in ('normalised', 'case_insensitive', 'ellipsis') then list_transform(range(0, length(t) + 1), lambda i: length({norm_sql("left(t, i::int) || 'x'")}) - 1) end before from k),
+s as (select *, case when kind = 'exact' then instr(t, q) - 1 else len(list_filter(before, lambda f: f < spot)) - 1 end st, case when kind = 'exact' then instr(t, q) - 1 + length(q) else len(list_filter(before, lambda f: f < stop)) end en from e)
+select conv_id, turn, kind, st::int as start, en::int as "end", len(string_split(left(t, st::int), chr(10)))::int line_no, case when kind = 'case_insensitive' then trim(substr(nt, spot, length(nq))) end closest from s
 """
 
 
 @declare(QUERIES, LADDER_SQL)
 def quote_ladder(conversations: DataFrame) -> DataFrame:
-    """Quotations from every turn, changed so that each needs another rung, with the line and wording that was found.
+    """Quotations from every turn, changed so that each needs another rung, with the place, line and wording that was found.
 
     ``unlike`` are those that only difflib can rank (near misses or missing).
     """
-    text = conversations.withColumn("text", F.coalesce("text", F.lit("")))
-    quote = F.expr(f"case when turn % 4 = 0 then left(text, 40) when turn % 4 = 1 then {UPPER.format('left(text, 40)')} when turn % 4 = 2 then left(text, 20) || ' ... ' || right(text, 20) else '“' || right(text, 30) || '”' end")
-    checks = evidence.check_quotes(text.withColumn("quote", quote))
+    text = conversations.select("conv_id", "turn", F.expr(VARIED).alias("t"))
+    checks = evidence.check_quotes(text.withColumn("quote", F.expr(LADDER_QUOTE)), text="t")
     ranked = F.col("kind").isin("exact", "normalised", "case_insensitive", "ellipsis") | (K.normalize(F.col("quote")) == "")
-    return checks.select("conv_id", "turn", F.when(ranked, F.col("kind")).otherwise("unlike").alias("kind"), F.when(ranked, F.col("line_no")).alias("line_no"), F.when(ranked, F.col("closest")).alias("closest"))
+    shown = [F.when(ranked, F.col(c)).alias(c) for c in ("start", "end", "line_no", "closest")]
+    return checks.select("conv_id", "turn", F.when(ranked, F.col("kind")).otherwise("unlike").alias("kind"), *shown)
 
 
 @declare(QUERIES)
 def fuzzy_best_span(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Whole items with a changed word, against the documents that have them."""
-    pairs = evidence.find_quotes(documents, benchmark).join(documents, "doc_id").join(benchmark.select("item_id", F.col("text").alias("item")), "item_id")
-    quote = F.regexp_replace("item", " the ", " one ")
-    return evidence.check_quotes(pairs.drop("kind").withColumn("quote", quote)).select("doc_id", "item_id", "kind", F.round("ratio", 6).alias("ratio"), "line_no", "closest")
+    """Items with changed letters, looked for in all documents: near misses and what is better."""
+    changed = benchmark.select("item_id", F.regexp_replace("text", " th", " sh").alias("text"))
+    return evidence.find_near(documents, changed).withColumn("ratio", F.round("ratio", 6))
 
 
 # The longest common subsequence by the bit-parallel recurrence, on 128-bit integers: part names have fewer characters.
