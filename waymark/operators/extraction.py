@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions import text as K
 
+from .repair import repair
+
 
 def _struct(**fields: str) -> str:
     return "struct<" + ",".join(f"`{k.rstrip('_')}`:{v}" for k, v in fields.items()) + ">"
@@ -74,33 +75,6 @@ def stated_chapter(text: Column) -> Column:
     return F.coalesce(F.try_variant_get(v, "$.chapter", "int"), F.regexp_extract(text, r'"chapter"\s*:\s*(\d+)', 1).try_cast("int"))
 
 
-@F.pandas_udf(T.StringType())
-def repair(texts: pd.Series) -> pd.Series:
-    """A JSON object out of nearly JSON text, or null: quotes, trailing commas, comments and cut ends are mended."""
-    return pd.Series([_repair(x) for x in texts])
-
-
-def _repair(text: str | None) -> str | None:
-    import json
-    import re
-
-    if text is None or "{" not in text:
-        return None
-    body = text[text.index("{") :]
-    body = re.sub(r"//[^\n]*(?=\n)|```\w*", "", body).translate({0x201C: '"', 0x201D: '"'})
-    body = re.sub(r",(\s*[}\]])", r"\1", body)
-    body = re.sub(r"\bTrue\b", "true", re.sub(r"\bFalse\b", "false", re.sub(r"\bNone\b", "null", body)))
-    body = re.sub(r"([{,]\s*)([A-Za-z_]\w*)(\s*:)", r'\1"\2"\3', body)
-    for tail in ("", '"', "}", '"}', "]}", '"]}', "}]}", '"}]}'):
-        try:
-            value, _ = json.JSONDecoder(strict=False).raw_decode(re.sub(r",\s*$", "", body) + tail)
-        except ValueError:
-            continue
-        if isinstance(value, dict) and value:
-            return json.dumps(value, ensure_ascii=False)
-    return None
-
-
 def unknown_keys(text: Column, allowed: list[str]) -> Column:
     """The keys of a JSON object that the closed schema doesn't have."""
     return F.array_sort(F.array_except(F.json_object_keys(text), F.array(*[F.lit(k) for k in allowed])))
@@ -144,7 +118,7 @@ def load(files: DataFrame, text: str = "text", number: str = "number", repair_br
     Errors: missing, empty, malformed, no_chapter, mismatch, unknown_keys, bad_role, bad_status.
     """
     found = parse_object(F.col(text))
-    rows = files.withColumn("_json", F.coalesce(found, repair(F.col(text))) if repair_broken else found)
+    rows = files.withColumn("_json", F.coalesce(found, repair(F.when(found.isNull(), F.col(text)))) if repair_broken else found)
     names = [f.name for f in T._parse_datatype_string(SCHEMA).fields]
     rows = rows.withColumn("_raw", F.from_json("_json", SCHEMA)).withColumn("record", coerce(F.col("_raw")))
     bad_role = F.exists("record.places_visited", lambda p: ~F.coalesce(p["role"], F.lit("")).isin(*ROLES))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import text as K
 from waymark.operators import evidence, extraction, segment, validate
+from waymark.operators import repair as mending
 
 from ._declare import Declared, declare
 
@@ -168,6 +169,31 @@ def json_closed_schema(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.array_join(extraction.unknown_keys(text, ["k"]), ",").alias("unknown")).filter("unknown != ''")
 
 
+# Turns printed as JSON by hand: marks and line ends aren't escaped, a comma is too many or too few, or the end is missing.
+SAID = "replace(replace(replace(text, ' the ', ' \"the\" '), ' of ', ' \"of\" '), chr(92), '')"
+BROKEN = (
+    "'Here it is: {\"turn\": ' || turn || case when turn % 4 = 1 then ' ' else ', ' end || '\"text\": \"' || said || '\", \"role\": [\"' || role || '\"' || "
+    "case turn % 4 when 0 then ',]}' when 1 then ']} as you asked' when 2 then '' else '}' end"
+)
+
+
+@declare(
+    QUERIES,
+    f"""with s as (select *, {SAID} said from conversations where text is not null)
+select conv_id, turn, md5(said) said, role, (length(said) - length(replace(said, '"', '')))::int escaped, (length(said) - length(replace(said, chr(10), '')))::int controls,
+ case turn % 4 when 0 then 'comma' when 1 then 'comma' when 2 then 'end' else 'bracket' end other from s""",
+)
+def repaired_records(conversations: DataFrame) -> DataFrame:
+    """Broken JSON mended: every string comes back whole, and each edit is listed."""
+    said = conversations.filter("text is not null").withColumn("said", F.expr(SAID))
+    fixed = said.select("conv_id", "turn", mending.repaired(F.expr(BROKEN)).alias("r"))
+    v, edits = F.try_parse_json("json"), F.col("edits.edit")
+    count = lambda kind: F.size(F.filter(edits, lambda e: e == kind))
+    other = F.array_join(F.filter(edits, lambda e: ~e.isin("escape", "control")), ",")
+    fixed = fixed.select("conv_id", "turn", "r.*")
+    return fixed.select("conv_id", F.try_variant_get(v, "$.turn", "int").alias("turn"), F.md5(F.try_variant_get(v, "$.text", "string")).alias("said"), F.try_variant_get(v, "$.role[0]", "string").alias("role"), count("escape").alias("escaped"), count("control").alias("controls"), other.alias("other"))
+
+
 FENCED = "case when event_id % 3 = 0 then 'Here: ```' || chr(10) || props || chr(10) || '```' when event_id % 3 = 1 then '```json' || chr(10) || props || chr(10) || '```' else props end"
 
 
