@@ -1,12 +1,14 @@
 """Where everybody is: names resolved to points of a route, carried forward chapter by chapter.
 
 A point is ``(leg, along)``, ordered as such. Resolving a name reads the point carried so far, so a track's chapters are
-a fold: one group per track, whose rows are the chapters - a track is as long as its text, and tracks run side by side.
+a fold, done as a segmented scan: blocks of chapters run side by side, and only a summary of each is run through in order.
 The containment map and the route are small dimensions of one route, captured by the fold.
 """
 
 from __future__ import annotations
 
+import bisect
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -14,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.functions.lineage import kept
+
 # Fixed values.
 UNDER_WAY = 0.1
 LOCAL, UNRESOLVED, ORPHAN, UNCONFIRMED = "local_interior", "unresolved_place", "unresolved_parent", "unconfirmed_place"
@@ -108,34 +112,144 @@ def _chapter(route: Route, rows: list[dict], visited: list[dict], held: Point |
     return None
 
 
-def resolve_positions(on_stage: DataFrame, visited: DataFrame, chapters: DataFrame, tracks: DataFrame, route: Route) -> DataFrame:
+#: Chapters of a track that one task folds.
+BLOCK = 4096
+#: Two places within a leg: what only compares the carried point with stops does the same at both.
+_WITHIN = (0.137, 0.731)
+
+
+class Cells:
+    """The carried points in cells: none, each stop's point, and what lies between. Resolving a name compares the carried
+    point with stops only, so it does the same to all points of a cell: keeps them, or moves them to one place."""
+
+    def __init__(self, route: Route) -> None:
+        self.stops = sorted({route.node(i) for p in route.places.values() if p.kind == "node" for i in p.nodes})
+        between = lambda leg: [(leg, x) for x in _WITHIN]
+        self.members: list[list[Point | None]] = [[None], between(-1)]
+        for stop in self.stops:
+            self.members += [[stop], between(stop[0] if stop[1] == 0 else stop[0] + 1)]
+
+    def of(self, held: Point | None) -> int:
+        if held is None:
+            return 0
+        i = bisect.bisect_left(self.stops, held)
+        return 2 + 2 * i if i < len(self.stops) and self.stops[i] == held else 1 + 2 * i
+
+
+def _after(route: Route, rows: list[dict], there: list[dict], held: Point | None) -> Point | None:
+    found = _chapter(route, rows, there, held)
+    return found["point"] if found else held
+
+
+def _moves(route: Route, cells: Cells, rows: list[dict], there: list[dict]) -> list[list] | None:
+    """What a chapter does to each cell: ``[]`` keeps it, ``[point]`` moves it there; null if it reckons with the point."""
+    out = []
+    for members in cells.members:
+        after = [_after(route, rows, there, m) for m in members]
+        if all(a is m for a, m in zip(after, members, strict=True)):
+            out.append([])
+        elif all(a == after[0] for a in after):
+            out.append([after[0]])
+        else:
+            return None
+    return out
+
+
+def _summary(route: Route, cells: Cells, chapters: list[tuple[list[dict], list[dict]]]) -> list[dict]:
+    """A block as steps from the point carried in to the one carried out.
+
+    Chapters that only compare become one map of the cells, however many they are; a chapter that reckons with the carried
+    point is a step of its own. Once a map moves all cells to one place, what was carried in no longer matters, and the rest
+    of the block is folded.
+    """
+    steps: list[dict] = []
+    moves: list[list] = [[] for _ in cells.members]
+    for n, (rows, there) in enumerate(chapters):
+        own = _moves(route, cells, rows, there) if rows else [[] for _ in cells.members]
+        if own is None:
+            steps += [{"moves": moves}, {"rows": rows, "there": there}]
+            moves = [[] for _ in cells.members]
+            continue
+        moves = [own[k] if not m else own[cells.of(m[0])] or m for k, m in enumerate(moves)]
+        if all(m and m[0] == moves[0][0] for m in moves):
+            held = moves[0][0]
+            for rows, there in chapters[n + 1 :]:  # noqa: PLW2901
+                held = _after(route, rows, there, held) if rows else held
+            return [{"moves": [[held]] * len(cells.members)}]
+    return [*steps, {"moves": moves}]
+
+
+def _through(route: Route, cells: Cells, steps: list[dict], held: Point | None) -> Point | None:
+    for step in steps:
+        if "moves" in step:
+            to = step["moves"][cells.of(held)]
+            held = held if not to else None if to[0] is None else (int(to[0][0]), float(to[0][1]))
+        else:
+            held = _after(route, step["rows"], step["there"], held)
+    return held
+
+
+def _dicts(rows) -> list[dict]:
+    return [x if isinstance(x, dict) else x.asDict() for x in (rows if rows is not None else [])]
+
+
+def resolve_positions(on_stage: DataFrame, visited: DataFrame, chapters: DataFrame, tracks: DataFrame, route: Route, block: int = BLOCK) -> DataFrame:
     """The dense series: a row for every track and chapter.
 
     ``on_stage``: ``chapter, seq, track, at, start, end`` (keys), ``at_name, start_name, end_name, evidence``;
     ``visited``: ``chapter, seq, key, name, role, evidence``; ``chapters``: ``chapter``; ``tracks``: ``track``.
+
+    A segmented scan: blocks of ``block`` chapters of a track are each summarised as what they do to the point carried in,
+    a track's summaries (a row a block) are run through in order, and then each block is folded from the point that it
+    gets. So no task has a track whole, however long it is.
     """
     item = F.struct("seq", *[c for c in on_stage.columns if c not in ("chapter", "seq", "track")])
     mine = on_stage.groupBy("track", "chapter").agg(F.sort_array(F.collect_list(item)).alias("rows"))
     seen = visited.groupBy("chapter").agg(F.sort_array(F.collect_list(F.struct("seq", "key", "name", "role", "evidence"))).alias("visited"))
-    grid = chapters.select("chapter").crossJoin(F.broadcast(tracks.select("track"))).join(mine, ["track", "chapter"], "left").join(seen, "chapter", "left")
+    every = chapters.select("chapter").crossJoin(F.broadcast(tracks.select("track")))
+    grid = every.join(mine, ["track", "chapter"], "left").join(seen, "chapter", "left").withColumn("block", F.floor(F.col("chapter") / block))
+    cells = Cells(route)
+
+    def summarise(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("chapter")
+        steps = _summary(route, cells, [(_dicts(r), _dicts(v)) for r, v in zip(rows["rows"], rows["visited"], strict=True)])
+        return pd.DataFrame({"track": [rows["track"].iloc[0]], "block": [rows["block"].iloc[0]], "steps": [json.dumps(steps, default=int)]})
+
+    def enter(group: pd.DataFrame) -> pd.DataFrame:
+        held, out = None, []
+        for r in group.sort_values("block").itertuples():
+            out.append((r.track, r.block, json.dumps(held)))
+            held = _through(route, cells, json.loads(r.steps), held)
+        return pd.DataFrame(out, columns=["track", "block", "entered"])
+
+    # a block of chapters in which a track isn't on stage changes nothing, and needs no summary
+    entered = grid.filter("rows is not null").groupBy("track", "block").applyInPandas(summarise, "track string, block long, steps string")
+    entered = grid.select("track", "block").distinct().join(entered, ["track", "block"], "left").withColumn("steps", F.coalesce("steps", F.lit("[]")))
+    entered = entered.groupBy("track").applyInPandas(enter, "track string, block long, entered string")
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
-        held, since, out = None, None, []
+        start = json.loads(group["entered"].iloc[0])
+        held, since, out = start and (int(start[0]), float(start[1])), None, []
         for r in group.sort_values("chapter").itertuples():
-            rows = [x if isinstance(x, dict) else x.asDict() for x in (r.rows if r.rows is not None else [])]
-            there = [x if isinstance(x, dict) else x.asDict() for x in (r.visited if r.visited is not None else [])]
-            found = _chapter(route, rows, there, held)
+            rows = _dicts(r.rows)
+            found = _chapter(route, rows, _dicts(r.visited), held)
             if found is None:
                 flags = ["on_stage_unplaced"] if rows and held else []
                 found = {"point": held, "source": "carried" if held else "unknown", "place": None, "flags": flags, "evidence": None}
             if found["source"] in ("stated", "inferred"):
                 since = int(r.chapter)
             held = found["point"]
-            out.append((r.track, int(r.chapter), held and held[0], held and float(held[1]), found["source"], found["place"], since if held else None, found["flags"], found["evidence"]))
-        frame = pd.DataFrame(out, columns=["track", "chapter", "leg", "along", "source", "place", "stated_at", "flags", "evidence"])
+            out.append((r.track, int(r.chapter), held and held[0], held and float(held[1]), found["source"], found["place"], since if held else None, found["flags"], found["evidence"], r.block))
+        frame = pd.DataFrame(out, columns=["track", "chapter", "leg", "along", "source", "place", "stated_at", "flags", "evidence", "block"])
         return frame.astype({"leg": "Int32", "stated_at": "Int32"})
 
-    return grid.groupBy("track").applyInPandas(fold, SERIES)
+    folded = kept(grid.join(entered, ["track", "block"]).groupBy("track", "block").applyInPandas(fold, SERIES + ", block long"))
+    # when a point was last stated: in the block itself, or else in the last one before that has any
+    last = folded.groupBy("track", "block").agg(F.max("stated_at").alias("last"))
+    before = Window.partitionBy("track").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select("track", "block", F.max("last").over(before).alias("earlier"))
+    out = folded.join(last, ["track", "block"]).withColumn("stated_at", F.when(F.col("leg").isNotNull(), F.coalesce("stated_at", "earlier")))
+    return out.drop("block", "earlier")
 
 
 def temporal_class(points: Column, now: Column, known: Column, local: Column) -> Column:
