@@ -28,6 +28,11 @@ def nearest_km(lat: Column, lon: Column, anchors: Column) -> Column:
     return F.array_min(F.transform(anchors, lambda p: haversine_km(lat, lon, p[0], p[1])))
 
 
+def unit_vector(lat: Column, lon: Column) -> list[Column]:
+    """x, y, z of a place on the unit sphere."""
+    return _vector(F.array(_number(lon), _number(lat)))
+
+
 def _vector(point: Column) -> list[Column]:
     lon, lat = F.radians(point[0]), F.radians(point[1])
     return [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]

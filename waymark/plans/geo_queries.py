@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import geo
 from waymark.functions import text as K
+from waymark.operators import nearest as near
 
 from ._declare import Declared, declare
 
@@ -89,3 +90,15 @@ def route_midpoints(part: DataFrame) -> DataFrame:
 def tolerant_cells(customer: DataFrame) -> DataFrame:
     cell = F.expr("case c_custkey % 4 when 0 then ' ' || (c_custkey % 100) || ' ' when 1 then '' || (c_custkey % 100) when 2 then (c_custkey % 100) || '.5' else 'n/a' end")
     return customer.select("c_custkey", K.number_or_null(cell, "int").alias("whole"), K.number_or_null(cell).alias("number"))
+
+
+@declare(
+    QUERIES,
+    f"with a as (select distinct {LAT.format('s_suppkey')}::double + s_suppkey % 7 * 0.01 c, {LON.format('s_suppkey')}::double d from supplier), p as (select c_custkey, ({LAT.format('(c_custkey + 11)')} * 0.99)::double a, ({LON.format('(c_custkey * 3)')} + 0.25)::double b from customer)"
+    f" select c_custkey, round(min({_hav('a', 'b', 'c', 'd')}), 6) km from p, a group by 1",
+)
+def nearest_of_many(customer: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Every customer's nearest supplier, by cubes that widen until the nearest is proven."""
+    anchors = supplier.select((_lat("s_suppkey") + F.col("s_suppkey") % 7 * 0.01).alias("lat"), _lon("s_suppkey").alias("lon"))
+    points = customer.select("c_custkey", (F.expr(LAT.format("(c_custkey + 11)")) * 0.99).cast("double").alias("lat"), (F.expr(LON.format("(c_custkey * 3)")) + 0.25).cast("double").alias("lon"))
+    return near.nearest(points, anchors).select("c_custkey", F.round("nearest_km", 6).alias("km"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo
-from waymark.operators import payload, position, resolve, review, segment, validate
+from waymark.operators import containment, payload, position, resolve, review, segment, validate
 
 from ._declare import Declared, declare
 
@@ -270,3 +270,22 @@ def earliest_evidence(events: DataFrame) -> DataFrame:
 def coverage(events: DataFrame) -> DataFrame:
     series = events.select(F.col("user_id").alias("track"), F.when(F.col("event_type") == "purchase", "stated").otherwise("carried").alias("source"))
     return position.coverage(series).withColumnRenamed("track", "user_id")
+
+
+# A parent for every customer: short and long chains, some that end at a key that isn't there, some that never end.
+PARENT = (
+    "case when c_custkey % 50 = 0 then null when c_custkey % 97 = 5 then c_custkey + 1 when c_custkey % 97 = 6 then c_custkey - 1 when c_custkey % 211 = 0 then 100000000 + c_custkey "
+    "when c_custkey > 3 then c_custkey - 1 - c_custkey % 3 end"
+)
+
+
+@declare(
+    QUERIES,
+    f"""with recursive p as (select c_custkey k, {PARENT} up from customer), w(k, own) as (select k, k from p union select w.k, p.up from w join p on w.own = p.k where p.up is not null),
+t as (select w.k, w.own, q.k is null orphan from w left join p q on w.own = q.k where q.k is null or q.up is null)
+select p.k c_custkey, t.own root, case when t.k is not null then (select count(*) - 1 from w where w.k = p.k) end::bigint depth, case when t.k is null then 'cycle' when t.orphan then 'orphan' end problem from p left join t on p.k = t.k""",
+)
+def containment_roots(customer: DataFrame) -> DataFrame:
+    """What each customer belongs to in the end, by pointer jumping."""
+    parents = customer.select("c_custkey", F.expr(PARENT).alias("parent"))
+    return containment.containment(parents, "c_custkey")

@@ -142,21 +142,36 @@ def write_cache(cache: DataFrame, path: str) -> None:
     cache.orderBy("key").coalesce(1).write.mode("overwrite").json(path)
 
 
-def place_query(name: Column, limit: int = 10, language: str = "en") -> Column:
-    """A SPARQL query that searches an entity by label or alias and fetches what ``parse_binding`` reads, in one.
+# Fixed value: the search for a place by its name or alias, and what is fetched of it in the same request.
+PLACE_QUERY = """SELECT ?item ?enLabel ?alias ?description ?lat ?lon
+       ?type ?typeLabel ?country ?countryLabel ?population ?sitelinks
+WHERE {
+  SERVICE wikibase:mwapi {
+    bd:serviceParam wikibase:api "EntitySearch" .
+    bd:serviceParam wikibase:endpoint "www.wikidata.org" .
+    bd:serviceParam mwapi:search <name> .
+    bd:serviceParam mwapi:language "<language>" .
+    bd:serviceParam mwapi:limit "<limit>" .
+    ?item wikibase:apiOutputItem mwapi:item .
+  }
+  ?item wdt:P625 ?coord .
+  BIND(geof:latitude(?coord) AS ?lat)
+  BIND(geof:longitude(?coord) AS ?lon)
+  ?item rdfs:label ?enLabel . FILTER(LANG(?enLabel) = "<language>")
+  OPTIONAL { ?item skos:altLabel ?alias . FILTER(LANG(?alias) = "<language>") }
+  OPTIONAL { ?item schema:description ?description .
+             FILTER(LANG(?description) = "<language>") }
+  OPTIONAL { ?item wdt:P31 ?type . }
+  OPTIONAL { ?item wdt:P17 ?country . }
+  OPTIONAL { ?item wdt:P1082 ?population . }
+  OPTIONAL { ?item wikibase:sitelinks ?sitelinks . }
+  SERVICE wikibase:label { bd:serviceParam wikibase:language "<language>" . }
+}
+LIMIT 200
+"""
 
-    Only entities with a coordinate are asked for, and labels of one language; names are escaped.
-    """
-    wanted = {"enLabel": "rdfs:label", "alias": "skos:altLabel", "description": "schema:description"}
-    facts = {"type": "wdt:P31", "country": "wdt:P17", "population": "wdt:P1082", "sitelinks": "wikibase:sitelinks"}
-    texts = [f'?item {p} ?{v} FILTER(LANG(?{v}) = "{language}")' for v, p in wanted.items()]
-    found = [texts[0], *[f"OPTIONAL {{ {t} }}" for t in texts[1:]], *[f"OPTIONAL {{ ?item {p} ?{v} }}" for v, p in facts.items()]]
-    search = {"wikibase:api": '"EntitySearch"', "wikibase:endpoint": '"www.wikidata.org"', "mwapi:language": f'"{language}"', "mwapi:limit": f'"{limit}"'}
-    params = " ".join(f"bd:serviceParam {k} {v} ." for k, v in search.items())
-    head = "SELECT ?item ?lat ?lon ?typeLabel ?countryLabel " + " ".join(f"?{v}" for v in (*wanted, *facts))
-    begin = f"{head} WHERE {{ SERVICE wikibase:mwapi {{ {params} ?item wikibase:apiOutputItem mwapi:item . bd:serviceParam mwapi:search "
-    end = (
-        " . } ?item wdt:P625 ?at . BIND(geof:latitude(?at) AS ?lat) BIND(geof:longitude(?at) AS ?lon) " + " . ".join(found)
-        + f' SERVICE wikibase:label {{ bd:serviceParam wikibase:language "{language}" }} }} LIMIT 200'
-    )
-    return F.concat(F.lit(begin), sparql_string(name), F.lit(end))
+
+def place_query(name: Column, limit: int = 10, language: str = "en") -> Column:
+    """The query for a name, which is escaped: entities with a coordinate only, and labels of one language."""
+    before, after = PLACE_QUERY.replace("<language>", language).replace("<limit>", str(limit)).split("<name>")
+    return F.concat(F.lit(before), sparql_string(name), F.lit(after))
