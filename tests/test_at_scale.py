@@ -7,9 +7,12 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from waymark.functions import text as K
+
 from waymark.operators import containment as C
 from waymark.operators import nearest as N
 from waymark.operators import quantiles as Q
+from waymark.operators import similar as S
 
 
 def km(a, b):
@@ -65,3 +68,28 @@ def test_exact_quantiles(spark, monkeypatch, most):
     whole = [x for xs in groups.values() for x in xs]
     assert [r.value for r in Q.exact_quantiles(df, "x", [0.5]).collect()] == [statistics.median(whole)]
     assert Q.exact_quantiles(df.filter(F.lit(False)), "x", [0.5], by="g").count() == 0
+
+
+@pytest.mark.parametrize("least", [60.0, 75.0, 90.0])
+def test_similar_names(spark, least):
+    rng = random.Random(5)
+    stems = ["bombay", "new york", "san francisco", "aa", "ab", "a", "mississippi river landing", "port of hong kong", "suez", "yokohama", "kholby", "allahabad station house"]
+    letters = "abcdeins "
+
+    def spoiled(name):
+        out = list(name)
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(out) + 1)
+            if rng.random() < 0.5 and out:
+                del out[min(at, len(out) - 1)]
+            else:
+                out.insert(at, rng.choice(letters))
+        return "".join(out)
+
+    left = [spoiled(rng.choice(stems)) for _ in range(120)] + ["SUEZ", None, ""]
+    right = [spoiled(rng.choice(stems)) for _ in range(120)] + ["suez", "Suez", None, "  "]
+    df = lambda xs: spark.createDataFrame([(x,) for x in xs], "name string")
+    keys = lambda xs: {" ".join(x.split()).casefold() for x in xs if x and x.strip()}
+    got = {(r.left_key, r.right_key): r.ratio for r in S.similar_names(df(left), df(right), least=least).collect()}
+    want = {(a, b): K._indel(a, b) for a in keys(left) for b in keys(right)}
+    assert got == {k: v for k, v in want.items() if v >= least} and len(got) > 40

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from waymark.functions import text as K
 
+from .quantiles import exact_quantiles
+
 # Fixed values.
 START = r"(?im)^\*\*\*\s*START OF (?:THE |THIS )?PROJECT GUTENBERG[^\n]*$"
 END = r"(?im)^\*\*\*\s*END OF (?:THE |THIS )?PROJECT GUTENBERG[^\n]*$"
@@ -122,5 +124,6 @@ def cumulative_days(legs: DataFrame, by: Sequence[str] = (), order: Sequence[str
 def median_guard(rows: DataFrame, words: str = "words", bounds: tuple[float, float] = (0.25, 4.0), limits: tuple[int, int] = (50, 6000)) -> DataFrame:
     """``rows`` with ``ratio`` to the exact median, and whether ``words`` is ``within`` limits and ``near`` the median."""
     ratio = F.col(words) / F.col("_median")
-    both = rows.join(F.broadcast(rows.agg(F.median(words).alias("_median"))))
+    # one row: the median by selection, so that no task holds all counts
+    both = rows.join(F.broadcast(exact_quantiles(rows, words, [0.5]).select(F.col("value").alias("_median"))), how="left")
     return both.withColumn("ratio", F.round(ratio, 6)).withColumn("within", F.col(words).between(*limits)).withColumn("near", ratio.between(*bounds)).drop("_median")

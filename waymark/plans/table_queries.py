@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo
-from waymark.operators import containment, payload, position, resolve, review, segment, validate
+from waymark.operators import containment, payload, position, quantiles, resolve, review, segment, similar, validate
 
 from ._declare import Declared, declare
 
@@ -289,3 +289,28 @@ def containment_roots(customer: DataFrame) -> DataFrame:
     """What each customer belongs to in the end, by pointer jumping."""
     parents = customer.select("c_custkey", F.expr(PARENT).alias("parent"))
     return containment.containment(parents, "c_custkey")
+
+
+@declare(QUERIES, " union all ".join(f"select l_returnflag, {p}::double p, round(quantile_cont(l_extendedprice::double, {p}), 6) as value from lineitem group by 1" for p in (0.25, 0.5, 0.9)))
+def price_quantiles(lineitem: DataFrame) -> DataFrame:
+    """Exact quantiles of the prices of each flag, by selection."""
+    return quantiles.exact_quantiles(lineitem, "l_extendedprice", [0.25, 0.5, 0.9], by="l_returnflag").select("l_returnflag", "p", F.round("value", 6).alias("value"))
+
+
+TYPO = "replace(replace(replace(p_type, 'AN', 'EN'), 'SH', 'S'), ' ', '  ')"
+SIMILAR_SQL = f"""
+with l as (select distinct lower(p_type) a from part), r as (select distinct lower(replace({TYPO}, '  ', ' ')) b from part),
+m as (select a, b, (2::hugeint ** length(a))::hugeint - 1 f, list_transform(string_split(b, ''), lambda c: coalesce(list_sum(list_transform(range(length(a)), lambda i: case when substr(a, i::int + 1, 1) = c then (2::hugeint ** i)::hugeint else 0::hugeint end)), 0)::hugeint) ms from l, r),
+v as (select *, list_reduce(list_prepend(f, ms), lambda v, u: ((v + (v & u)) | (v - (v & u))) & f) v from m),
+x as (select a, b, 200.0::double * (length(a) - bit_count(v)) / (length(a) + length(b)) ratio from v)
+select a left_key, b right_key, round(ratio, 6) ratio, case when a = b then 1.0 when ratio >= 90 then 0.8 else 0.5 end::double score from x where ratio >= 75
+"""
+
+
+@declare(QUERIES, SIMILAR_SQL)
+def similar_types(part: DataFrame) -> DataFrame:
+    """Every kind of part with all spoiled spellings that are like it, and what a name like that scores."""
+    spoiled = part.select(F.expr(TYPO).alias("name"))
+    pairs = similar.similar_names(part.select(F.col("p_type").alias("name")), spoiled)
+    score = resolve.name_score(F.col("ratio"), F.col("left_key") == F.col("right_key"))
+    return pairs.select("left_key", "right_key", F.round("ratio", 6).alias("ratio"), score.alias("score"))
