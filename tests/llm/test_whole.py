@@ -46,12 +46,14 @@ def test_similar_lines_meet_in_a_band(spark):
     while len(pairs) < 1500:
         words = [f"{rng.randrange(36**5):x}{'q' * rng.randint(1, 5)}" for _ in range(rng.choice([12, 14, 16, 20, 23, 32, 45, 60]))]
         x, y = " ".join(words), varied(rng, words, max(1, len(words) // 16))
+        if len(pairs) % 3 == 0:  # the same line with other marks for some of its spaces: fewer words by white space
+            y = "".join(("-" if rng.random() < 0.3 else " ") + w for w in words)[1:]
         if 0.8 <= jaccard(characters(x), characters(y)) < 0.87:
             pairs.append((x, y))
     keys = lambda c: line_dedup.bands(F.col(c))
     meet = spark.createDataFrame(pairs, "x string, y string").select(F.size(F.split("x", " ")).alias("n"), F.arrays_overlap(keys("x"), keys("y")).alias("ok"))
     lost = meet.filter("not ok").groupBy("n").count().collect()
-    assert sum(r["count"] for r in lost) <= 3, lost
+    assert sum(r["count"] for r in lost) <= 15, lost
 
 
 def kept_of_copies(texts, radius, print_words, prints):
