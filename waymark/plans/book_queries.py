@@ -344,3 +344,59 @@ def mention_classes(customer: DataFrame) -> DataFrame:
     mentions = customer.select(k.alias("chapter"), (k % 11).cast("string").alias("key"))
     series = customer.select(F.lit("lead").alias("track"), k.alias("chapter"), F.when(n % 4 != 0, n % 9).cast("int").alias("leg"), F.lit(0.0).alias("along"))
     return position.classify_mentions(mentions, series, "lead", position.Route(7, places)).select(F.col("chapter").alias("c_custkey"), "class")
+
+
+# A record for every conversation, with a fault of every kind for some of them.
+RECORD = """named_struct(
+ 'chapter', conv_id + if(conv_id % 5 = 1, 1, 0), 'title', if(conv_id % 9 = 4, 'other', 'the  title ' || conv_id), 'summary_hover', said[0].text, 'summary_detail', said[size(said) - 1].text,
+ 'places_visited', transform(said, x -> named_struct('name_in_text', 'The ' || initcap(x.role), 'role', 'arrival', 'evidence', 'e')),
+ 'places_mentioned', array(named_struct('name_in_text', if(conv_id % 2 = 0, upper(said[0].role), 'elsewhere'), 'evidence', 'e')),
+ 'people', if(conv_id % 3 = 0, array(), array(named_struct('name_in_text', 'PERSON A', 'role', 'r', 'evidence', 'e'))),
+ 'narrative', named_struct('on_stage', if(conv_id % 10 = 9, array(), array(named_struct('name_in_text', 'Person  a', 'at_name_in_text', case conv_id % 4 when 0 then said[0].role when 1 then 'nowhere' end, 'between_from', if(conv_id % 6 = 2, 'Suez', null), 'between_to', if(conv_id % 6 = 2, '“suez”', 'x'), 'evidence', 'e'))),
+  'named_but_not_present', if(conv_id % 7 = 0, array(named_struct('name_in_text', 'person A', 'evidence', 'e')), array())),
+ 'money', named_struct('amounts', array(), 'fogg_remaining_stated', if(conv_id % 8 = 3, 'ten', null)))"""
+RECORD_SQL = """
+with t as (select conv_id, list(role order by turn) roles, list(coalesce(text, '') order by turn) texts from conversations group by 1),
+r as (select *, conv_id % 10 <> 9 stage, [x for x in [
+  case when conv_id % 5 = 1 then 'states another chapter' end,
+  case when len(list_filter(regexp_split_to_array(texts[1], '\\s+'), lambda w: w <> '')) > 25 then 'hover summary is too long' end,
+  case when len(regexp_extract_all(texts[-1], '[.!?](\\s|$)')) not between 2 and 6 then 'detail has too few or many sentences' end,
+  case when len(roles) <> len(list_distinct(roles)) then 'a place is visited twice' end,
+  case when conv_id % 2 = 0 then 'a place is both visited and mentioned' end,
+  case when conv_id % 8 = 3 then 'a remaining sum without amounts' end,
+  case when conv_id % 9 = 4 then 'title is another' end,
+  case when stage and conv_id % 7 = 0 then 'on stage and not present' end,
+  case when stage and conv_id % 6 = 2 then 'travels from a place to itself' end,
+  case when stage and conv_id % 3 = 0 then 'on stage but not among the people' end,
+  case when stage and conv_id % 4 = 1 then 'at a place that is not listed' end,
+  case when not stage and conv_id % 3 <> 0 and conv_id % 7 <> 0 then 'no narrative' end] if x is not null] ps from t)
+select conv_id::int as number, array_to_string(ps, '; ') problems from r
+"""
+
+
+@declare(QUERIES, RECORD_SQL)
+def record_problems(conversations: DataFrame) -> DataFrame:
+    """Every record against the rules of records, and its title against the contents."""
+    said = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"), "role"))).alias("said"))
+    number = F.col("conv_id").cast("int").alias("number")
+    loaded = extraction.coerce(F.from_json(F.to_json(F.expr(RECORD)), extraction.SCHEMA))
+    titles = conversations.select(number).distinct().withColumn("title", F.concat(F.lit("The Title "), "number"))
+    return validate.check_records(said.select(number, loaded.alias("record")), titles).select("number", F.array_join("problems", "; ").alias("problems"))
+
+
+CAST_SQL = """
+with p as (select c_custkey, lower(c_name) person, c_name display, case when c_custkey % 4 = 0 then 'Mr. ' || c_name else c_name end a1, case when c_custkey % 6 = 1 then 'The Double ' || c_custkey // 12 else 'Alias ' || c_custkey end a2 from customer),
+e as (select person, lower(unnest([a1, a2])) k, unnest([a1, a2]) alias from p)
+select display as name, 'display is no alias' problem from p where lower(a1) <> lower(display) union all
+select k, 'alias of several' from e group by 1 having count(distinct person) > 1 union all
+select alias, 'alias is a role' from e where k in (select 'alias ' || s_suppkey * 5 from supplier)
+"""
+
+
+@declare(QUERIES, CAST_SQL.replace("select display as name, 'display is no alias' problem from p", "select person as name, 'display is no alias' problem from p"))
+def cast_problems(customer: DataFrame, supplier: DataFrame) -> DataFrame:
+    """A cast with aliases that several have, that are roles, or that leave out what is shown."""
+    first = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("Mr. "), "c_name")).otherwise(F.col("c_name"))
+    second = F.expr("case when c_custkey % 6 = 1 then 'The  Double ' || (c_custkey div 12) else 'Alias ' || c_custkey end")
+    people = customer.select(F.lower("c_name").alias("person"), F.col("c_name").alias("display"), F.array(first, second).alias("aliases"))
+    return validate.check_cast(people, supplier.select(F.concat(F.lit("ALIAS "), (F.col("s_suppkey") * 5).cast("string")).alias("name")))
