@@ -314,3 +314,38 @@ def similar_types(part: DataFrame) -> DataFrame:
     pairs = similar.similar_names(part.select(F.col("p_type").alias("name")), spoiled)
     score = resolve.name_score(F.col("ratio"), F.col("left_key") == F.col("right_key"))
     return pairs.select("left_key", "right_key", F.round("ratio", 6).alias("ratio"), score.alias("score"))
+
+
+def _ratio_sql(a: str, b: str) -> str:
+    """``text.indel_ratio`` of two short texts, by the bit-parallel recurrence."""
+    full = f"((2::hugeint ** length({a}))::hugeint - 1)"
+    places = f"list_transform(string_split({b}, ''), lambda c: coalesce(list_sum(list_transform(range(length({a})), lambda i: case when substr({a}, i::int + 1, 1) = c then (2::hugeint ** i)::hugeint else 0::hugeint end)), 0)::hugeint)"
+    last = f"list_reduce(list_prepend({full}, {places}), lambda v, u: ((v + (v & u)) | (v - (v & u))) & {full})"
+    return f"200.0::double * (length({a}) - bit_count({last})) / (length({a}) + length({b}))"
+
+
+PLACE, ALIASES = "'Supplier#' || lpad((c_custkey % 400)::varchar, 9, '0')", "'Old ' || s_name || case when s_suppkey % 3 = 0 then ' | ' || replace(s_name, '#', ' ') else '' end"
+RESOLVED_SQL = f"""
+with p as (select c_custkey, c_nationkey, {PLACE} as name from customer), c as (select s_suppkey, s_nationkey, s_name label, {ALIASES} aliases, (s_suppkey * 37 % 180 - 89.5)::double lat, (s_suppkey * 73 % 360 - 179.5)::double lon from supplier),
+a as (select (n_nationkey * 7 - 80)::double a, (n_nationkey * 13 - 170)::double o from nation),
+k as (select c.*, (select min(2 * 6371.0088 * asin(sqrt(least(1.0::double, pow(sin((radians(a) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(a)) * pow(sin((radians(o) - radians(lon)) / 2), 2))))) from a) km from c),
+x as (select c_custkey, s_suppkey, label, lat, lon, km, lower(name) n, lower(unnest(list_concat([label], string_split(aliases, ' | ')))) l from p join k on c_nationkey = s_nationkey),
+y as (select c_custkey, s_suppkey, label, lat, lon, km, bool_or(n = l) same, max({_ratio_sql('n', 'l')}) ratio from x group by all),
+s as (select *, case when s_suppkey % 9 = 0 then 0.0 else 1.0 end::double gate, case when same then 1.0 when ratio >= 90 then 0.8 when ratio >= 75 then 0.5 else 0.2 end::double as score, 500.0::double / (500.0 + km) as route, least(1.0, log10(1.0 + s_suppkey) / 2.5)::double prom from y),
+r as (select *, row_number() over w rn, lead(score) over w as score2, lead(route) over w as route2 from s window w as (partition by c_custkey order by gate desc, score desc, route desc, prom desc, 'Q' || s_suppkey desc)),
+b as (select *, case when gate = 0 then 0.0 else round((0.7 * score + 0.2 * route + 0.1 * prom) * (0.55 + 0.45 * least(1.0, 4 * greatest(0.0, case when score2 is null then 1.0 else (score - score2) + 0.5 * (route - route2) end))), 2) end::double confidence from r where rn = 1)
+select p.c_custkey::varchar as key, p.name, 'Q' || s_suppkey qid, confidence, case when s_suppkey is null then 'no candidate' else label || ', confidence ' || format('{{:.2f}}', confidence) end why from p left join b using (c_custkey)
+"""
+
+
+@declare(QUERIES, RESOLVED_SQL)
+def resolved_places(customer: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """Every customer as a place, with the suppliers of its nation as candidates: scored by name, route and prominence."""
+    places = customer.select(F.col("c_custkey").cast("string").alias("key"), "c_nationkey", F.expr(PLACE.replace("::varchar", "")).alias("name"), F.lit("").alias("hint"))
+    own = supplier.select(
+        "s_nationkey", F.concat(F.lit("Q"), "s_suppkey").alias("qid"), F.col("s_name").alias("label"), F.expr(ALIASES).alias("aliases"), (F.col("s_suppkey") * 37 % 180 - 89.5).cast("double").alias("lat"),
+        (F.col("s_suppkey") * 73 % 360 - 179.5).cast("double").alias("lon"), F.when(F.col("s_suppkey") % 9 == 0, "Q5").alias("type_id"), F.col("s_suppkey").cast("int").alias("sitelinks"),
+    )
+    candidates = places.select("key", "c_nationkey").join(own, F.col("c_nationkey") == F.col("s_nationkey")).drop("c_nationkey", "s_nationkey")
+    anchors = nation.select((F.col("n_nationkey") * 7 - 80).cast("double").alias("lat"), (F.col("n_nationkey") * 13 - 170).cast("double").alias("lon"))
+    return resolve.resolve(places.drop("c_nationkey"), candidates, anchors).select("key", "name", "qid", "confidence", "why")
