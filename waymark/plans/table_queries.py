@@ -349,3 +349,43 @@ def resolved_places(customer: DataFrame, supplier: DataFrame, nation: DataFrame)
     candidates = places.select("key", "c_nationkey").join(own, F.col("c_nationkey") == F.col("s_nationkey")).drop("c_nationkey", "s_nationkey")
     anchors = nation.select((F.col("n_nationkey") * 7 - 80).cast("double").alias("lat"), (F.col("n_nationkey") * 13 - 170).cast("double").alias("lon"))
     return resolve.resolve(places.drop("c_nationkey"), candidates, anchors).select("key", "name", "qid", "confidence", "why")
+
+
+# One appearance of a user on a day: at a stop, at an inner place, between two stops, off from or on to one, aboard, at a
+# port that the route has twice, or nowhere that is known.
+APPEARANCE = "event_id % 8 kind, event_id // 8 % 7 a, event_id // 56 % 7 b"
+JOURNEY_SQL = f"""
+with recursive e as (select user_id track, extract(day from ts)::int chapter, min(event_id) event_id from events group by all), k as (select track, chapter, {APPEARANCE} from e),
+v as (select chapter, min(event_id) % 7 v from e group by 1), g as (select t.track, c.chapter, row_number() over (partition by t.track order by c.chapter) i, kind, a, b, v.v from (select distinct track from e) t cross join (select distinct chapter from e) c left join k using (track, chapter) join v using (chapter)),
+r as (select distinct track, 0::bigint i, null::int chapter, null::int leg, null::double along, null::varchar source, null::varchar place, null::int stated_at, null::varchar flags from e
+ union all select track, i, chapter, leg, along, source, place, case when leg is not null then case when source in ('stated', 'inferred') then chapter else since end end, flags from (
+  select g.track, g.i, g.chapter, r.stated_at since, case
+    when kind in (0, 1) then a when kind = 2 then (a + b) // 2 when kind = 3 then a when kind = 4 then case when r.leg is null then b else floor((r.leg + r.along + b) / 2)::int end
+    when kind = 6 then case when r.leg is null or (r.leg = 0 and r.along = 0) then 0 else 6 end when kind = 7 or kind = 5 and r.leg is null then g.v else r.leg end::int leg, case
+    when kind in (0, 1) then 0.0 when kind = 2 then (a + b) % 2 / 2 when kind = 3 then 0.1 when kind = 4 then case when r.leg is null then 0.0 else round((r.leg + r.along + b) / 2 - floor((r.leg + r.along + b) / 2), 6) end
+    when kind = 6 then case when r.leg is null or (r.leg = 0 and r.along = 0) then 0.0 else 1.0 end when kind = 7 or kind = 5 and r.leg is null then 0.0 else r.along end::double along, case
+    when kind in (0, 1, 2, 3, 4, 6) then 'stated' when kind = 7 or kind = 5 and r.leg is null then 'inferred' when r.leg is null then 'unknown' else 'carried' end source, case
+    when kind = 0 then 'Stop ' || a when kind = 1 then 'Inn ' || a when kind in (2, 4) then 'Stop ' || b when kind = 3 then 'Stop ' || a when kind = 6 then 'Port' when kind = 7 or kind = 5 and r.leg is null then 'Stop ' || g.v when kind = 5 then 'Deck' end place, case
+    when kind in (2, 3, 4) then 'in_transit' when kind = 7 or kind = 5 and r.leg is null then 'inferred_from_places_visited' when kind = 5 then 'local_interior' else '' end flags
+  from r join g on r.track = g.track and g.i = r.i + 1))
+select track::varchar track, chapter, leg, round(along, 6) along, source, place, stated_at, flags from r where i > 0
+"""
+
+
+@declare(QUERIES, JOURNEY_SQL)
+def journey_series(events: DataFrame) -> DataFrame:
+    """Every user's place on every day: appearances of all kinds, and what is visited where an appearance has no place."""
+    day = F.dayofmonth("ts").alias("chapter")
+    first = events.groupBy(F.col("user_id").cast("string").alias("track"), day).agg(F.min("event_id").alias("e"))
+    kind, a, b = F.col("e") % 8, F.expr("e div 8 % 7"), F.expr("e div 56 % 7")
+    key = lambda stem, n: F.concat(F.lit(stem), n.cast("string"))
+    at = F.when(kind == 0, key("stop ", a)).when(kind == 1, key("inn ", a)).when(kind == 5, "deck").when(kind == 6, "port").when(kind == 7, "nowhere")
+    start, end = F.when(kind.isin(2, 3), key("stop ", a)), F.when(kind.isin(2, 4), key("stop ", b))
+    names = [F.initcap(c).alias(f"{n}_name") for n, c in (("at", at), ("start", start), ("end", end))]
+    stage = first.select("chapter", F.lit(0).alias("seq"), "track", at.alias("at"), start.alias("start"), end.alias("end"), *names, F.lit(None).cast("string").alias("evidence"))
+    stop = key("stop ", F.col("e") % 7)
+    visited = first.groupBy("chapter").agg(F.min("e").alias("e")).select("chapter", F.lit(0).alias("seq"), stop.alias("key"), F.initcap(stop).alias("name"), F.lit("arrival").alias("role"), F.lit("seen").alias("evidence"))
+    places = {f"stop {k}": position.Place("node", (k,), confirmed=True) for k in range(7)} | {f"inn {k}": position.Place("micro", parent=f"stop {k}", confirmed=True) for k in range(7)}
+    places |= {"deck": position.Place("local", confirmed=True), "port": position.Place("node", (0, 7), confirmed=True)}
+    series = position.resolve_positions(stage, visited, stage.select("chapter").distinct(), stage.select("track").distinct(), position.Route(6, places), block=8)
+    return series.select("track", "chapter", "leg", F.round("along", 6).alias("along"), "source", "place", "stated_at", F.array_join("flags", ";").alias("flags"))
