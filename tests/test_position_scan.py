@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.operators import position as P
+from waymark.operators import scan
 
 PLACES = {
     "port": P.Place("node", (0, 5), confirmed=True), "bay": P.Place("node", (2,)), "city": P.Place("node", (1, 3, 4)), "inn": P.Place("micro", parent="city"), "hut": P.Place("micro", parent="gone"),
@@ -71,3 +72,20 @@ def test_summaries_are_small():
     on = lambda key: ([{"at": key, "start": None, "end": None, "at_name": key, "start_name": None, "end_name": None, "evidence": None}], [])
     steps = P._summary(ROUTE, cells, [on(k) for k in ["city", "deck", "port", "inn"] * 200])
     assert len(steps) == 1 and len(steps[0]["moves"]) == len(cells.members)
+
+
+def test_states_of_many_rows(spark):
+    """One key has nearly all rows, spread over many ranges; a null key and ids over 2 ** 53 are as good as others."""
+    rng = random.Random(9)
+    rows = [(k, big + n, rng.randrange(4)) for k, count, big in ((None, 40, 0), (1, 3000, (1 << 53) + 1), (2, 1, 0)) for n in range(count)]
+    df = spark.createDataFrame(rows, "k long, n long, x int").repartition(5)
+    moves = F.array(*[F.when(F.col("x") == 0, s).when(F.col("x") == 1, (s + 1) % 5).when(F.col("x") == 2, 3).otherwise(F.lit(4 - s)) for s in range(5)])
+    got = sorted((tuple(r) for r in scan.state_scan(df, "k", ["n"], moves, 5, first=2).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    want = []
+    for key in (1, 2, None):
+        state = 2
+        for k, n, x in sorted((r for r in rows if r[0] == key), key=lambda r: r[1]):
+            state = (state, (state + 1) % 5, 3, 4 - state)[x]
+            want.append((k, n, x, state))
+    assert got == want
+    assert scan.state_scan(df.limit(0), "k", ["n"], moves, 5).count() == 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo
-from waymark.operators import containment, payload, position, quantiles, resolve, review, segment, similar, validate
+from waymark.operators import containment, payload, position, quantiles, resolve, review, scan, segment, similar, validate
 
 from ._declare import Declared, declare
 
@@ -198,16 +198,12 @@ select user_id as track, event_id, leg from w
 @declare(QUERIES, STATEFUL)
 def stateful_carry(events: DataFrame) -> DataFrame:
     """A fold in which what is carried decides how a name resolves: a stop that lies behind is taken as the closing one."""
-    item = F.struct("ts", "event_id", F.when(F.col("event_type") == "purchase", (F.col("event_id") % 8).cast("int")).alias("node"))
-    lists = events.groupBy(F.col("user_id").alias("track")).agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    empty = F.array().cast("array<struct<event_id:bigint,leg:int>>")
-
-    def step(done, x):
-        held = F.try_element_at(done, F.lit(-1))["leg"]
-        leg = F.when(x["node"].isNull(), held).when(held.isNull() | (x["node"] >= held), x["node"]).otherwise(8)
-        return F.array_append(done, F.struct(x["event_id"].alias("event_id"), leg.cast("int").alias("leg")))
-
-    return lists.select("track", F.explode(F.aggregate("rows", empty, step)).alias("r")).select("track", "r.*")
+    node = F.when(F.col("event_type") == "purchase", (F.col("event_id") % 8).cast("int"))
+    # state 0: nowhere yet; state k + 1: at stop k
+    onward = lambda held: F.when(node.isNull(), held).when((F.lit(held) == 0) | (node + 1 >= held), node + 1).otherwise(9)
+    rows = events.select(F.col("user_id").alias("track"), "ts", "event_id", F.array(*[onward(k) for k in range(10)]).alias("moves"))
+    found = scan.state_scan(rows, "track", ["ts", "event_id"], F.col("moves"), 10)
+    return found.select("track", "event_id", F.when(F.col("state") > 0, F.col("state") - 1).alias("leg"))
 
 
 SERIES_SQL = """
