@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waymark.functions import geo
 from waymark.functions import text as K
 from waymark.operators import nearest as near
+from waymark.operators import payload
 
 from ._declare import Declared, declare
 
@@ -102,3 +103,29 @@ def nearest_of_many(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     anchors = supplier.select((_lat("s_suppkey") + F.col("s_suppkey") % 7 * 0.01).alias("lat"), _lon("s_suppkey").alias("lon"))
     points = customer.select("c_custkey", (F.expr(LAT.format("(c_custkey + 11)")) * 0.99).cast("double").alias("lat"), (F.expr(LON.format("(c_custkey * 3)")) + 0.25).cast("double").alias("lon"))
     return near.nearest(points, anchors).select("c_custkey", F.round("nearest_km", 6).alias("km"))
+
+
+DRIFT_SQL = f"""
+with n as (select n_nationkey i, n_name as name, {LAT.format('n_nationkey')}::double a, {LON.format('n_nationkey')}::double b from nation),
+l as (select x.i, x.name origin, y.name destination, x.a, x.b, y.a c, y.b d from n x join n y on y.i = x.i + 1),
+p as (select s_suppkey, s_suppkey % 24 leg, s_suppkey % 11 / 10.0::double t, {LAT.format('s_suppkey')}::double lat, {LON.format('s_suppkey')}::double lon from supplier),
+v as (select *, cos(radians(a)) * cos(radians(b)) x1, cos(radians(a)) * sin(radians(b)) y1, sin(radians(a)) z1, cos(radians(c)) * cos(radians(d)) x2, cos(radians(c)) * sin(radians(d)) y2, sin(radians(c)) z2 from p join l on leg = i),
+o as (select *, acos(greatest(-1.0::double, least(1.0::double, x1 * x2 + y1 * y2 + z1 * z2))) w from v),
+f as (select *, sin((1 - t) * w) / sin(w) f, sin(t * w) / sin(w) g from o),
+m as (select *, case when t <= 0 then b when t >= 1 then d else round(degrees(atan2(f * y1 + g * y2, f * x1 + g * x2)), 6) end mlon, case when t <= 0 then a when t >= 1 then c else round(degrees(atan2(f * z1 + g * z2, sqrt(pow(f * x1 + g * x2, 2) + pow(f * y1 + g * y2, 2)))), 6) end mlat from f)
+select s_suppkey::varchar as key, leg::int leg, origin, destination, row_number() over (partition by leg order by t, s_suppkey::varchar)::int place, round({_hav('mlat', 'mlon', 'lat', 'lon')}, 3) strayed_km, round({_hav('a', 'b', 'c', 'd')}, 3) leg_km from m
+"""
+
+
+@declare(QUERIES, DRIFT_SQL)
+def waypoint_drift(nation: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Nations as the stops of a journey, suppliers as places on its legs: their order, and how far each is from its leg."""
+    nodes = nation.select(F.col("n_nationkey").cast("int").alias("index"), F.col("n_name").alias("name"), _lat("n_nationkey").alias("lat"), _lon("n_nationkey").alias("lon"), F.lit(0).alias("day"))
+    legs = payload.journey_legs(nation.select(F.col("n_nationkey").cast("int").alias("index"), F.lit(1).alias("days"), F.array(F.lit("railway")).alias("modes")), nodes, samples=8)
+    places = supplier.select(
+        F.col("s_suppkey").cast("string").alias("key"), F.col("s_name").alias("name"), F.lit("waypoint").alias("kind"), (F.col("s_suppkey") % 24).cast("int").alias("leg"), (F.col("s_suppkey") % 11 / 10).alias("along"),
+        _lat("s_suppkey").alias("lat"), _lon("s_suppkey").alias("lon"),
+    )
+    order = payload.waypoints(places).select("leg", F.posexplode("waypoints").alias("at", "w")).select("leg", (F.col("at") + 1).alias("place"), F.col("w.key").alias("key"))
+    strayed = payload.drift(places, legs).join(order, "key").join(legs.select(F.col("index").alias("leg"), "origin", "destination"), "leg")
+    return strayed.select("key", "leg", "origin", "destination", "place", F.round("strayed_km", 3).alias("strayed_km"), F.round("leg_km", 3).alias("leg_km"))
