@@ -400,3 +400,49 @@ def cast_problems(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     second = F.expr("case when c_custkey % 6 = 1 then 'The  Double ' || (c_custkey div 12) else 'Alias ' || c_custkey end")
     people = customer.select(F.lower("c_name").alias("person"), F.col("c_name").alias("display"), F.array(first, second).alias("aliases"))
     return validate.check_cast(people, supplier.select(F.concat(F.lit("ALIAS "), (F.col("s_suppkey") * 5).cast("string")).alias("name")))
+
+
+# Every turn names a place and a person; a third of the places is drawn, a third listed with a reason, a third unknown.
+TURN = "conv_id::int chapter, turn, role, initcap(role) || ' ' || turn % 3 place, ['past', 'here', 'future'][1 + turn % 3] class, turn % 4 > 0 present, role || turn % 2 person, turn % 2 = 1 is_role, case turn % 5 when 0 then upper(role) when 1 then 'Mr. ' || role else role end printed"
+CARD_SQL = f"""
+with t as (select {TURN.replace("initcap(role)", "upper(role[1]) || role[2:]")} from conversations),
+m as (select chapter, string_agg(lower(place) || ':' || class || ':' || case when turn % 3 = 0 then 'drawn' when turn % 3 = 1 then 'none_found' else 'off' end || ':' || (turn % 3 = 0), ',' order by turn) places, count(*)::bigint named, count_if(turn % 3 = 0)::bigint plotted, count_if(class = 'here')::bigint here from t group by 1),
+n as (select chapter, present, person, printed, min(turn) first from t group by all),
+o as (select chapter, present, person, min(first) seq, arg_min(printed, first) as name, string_agg(printed, '/' order by first) spelled from n group by all),
+d as (select chapter, present, person, bool_or(is_role) is_role from t group by all),
+c as (select chapter, string_agg(case when present then person || '=' || spelled || case when is_role then '*' else '' end end, ',' order by seq) present, string_agg(case when not present then person || '=' || spelled || case when is_role then '*' else '' end end, ',' order by seq) elsewhere, count_if(present and is_role)::int roles from o join d using (chapter, present, person) group by 1),
+k as (select distinct chapter from t)
+select chapter, 'Chapter ' || chapter title, case when chapter % 4 > 0 then round({{lon}}, 4) end focus_lon, case when chapter % 2 = 0 then 'railway' else 'on_foot' end as mode, places, named, plotted, here, coalesce(present, '') present, coalesce(elsewhere, '') elsewhere, roles, case when chapter % 4 > 0 then 'fix:-,fogg:' || chapter % 24 else 'fix:-,fogg:-' end tracks
+from k join m using (chapter) join c using (chapter) join (select n_nationkey i, (n_nationkey * 73 % 360 - 179.5)::double a from nation) on i = chapter % 24
+"""
+
+
+@declare(QUERIES, CARD_SQL.replace("{lon}", "a"))
+def chapter_cards(conversations: DataFrame, nation: DataFrame) -> DataFrame:
+    """A document for every conversation, as a chapter: its places, people and tracks, read back from the document."""
+    t = conversations.select(*[F.expr(e).alias(n) for n, e in (
+        ("chapter", "cast(conv_id as int)"), ("turn", "turn"), ("role", "role"), ("place", "initcap(role) || ' ' || turn % 3"), ("class", "array('past', 'here', 'future')[turn % 3]"), ("present", "turn % 4 > 0"),
+        ("person", "role || turn % 2"), ("is_role", "turn % 2 = 1"), ("printed", "case turn % 5 when 0 then upper(role) when 1 then 'Mr. ' || role else role end"),
+    )])
+    number = F.col("chapter")
+    record = F.to_json(F.struct(number.alias("chapter"), F.concat(F.lit("Chapter "), number).alias("title"), F.array(F.struct(F.when(number % 2 == 0, "train").otherwise("walking").alias("mode"))).alias("transport")))
+    records = t.select(number).distinct().select(number.alias("number"), extraction.coerce(F.from_json(record, extraction.SCHEMA)).alias("record"))
+    own = t.select(K.place_key(F.col("place")).alias("key"), "place", F.col("turn") % 3).distinct().toDF("key", "name", "k")
+    mentions = t.select("chapter", F.col("turn").alias("seq"), F.concat(F.lit("“"), "place", F.lit("”")).alias("name"), "class")
+    drawn = own.filter("k < 2").select("key", "name", F.when(F.col("k") == 1, "none_found").alias("reason"))
+    places = payload.chapter_places(mentions, drawn, own.filter("k = 0").select("key"))
+    people = t.select("chapter", "present", F.col("turn").alias("seq"), "person", F.initcap("person").alias("display"), F.col("printed").alias("name"), "is_role")
+    point = F.array((F.col("n_nationkey") * 73 % 360 - 179.5).cast("double"), F.lit(10.0))
+    legs = nation.select(F.col("n_nationkey").cast("int").alias("index"), point.alias("start"), F.array(F.lit(0.0), F.lit(0.0)).alias("end"))
+    tracks = F.explode(F.array(F.lit("fogg"), F.lit("fix"))).alias("track")
+    there = (F.col("track") == "fogg") & (number % 4 > 0)
+    series = t.select("chapter").distinct().select("chapter", tracks).select("track", "chapter", F.when(there, number % 24).cast("int").alias("leg"), F.when(there, 0.0).alias("along"))
+    cards = payload.chapters_payload(records, places, people, payload.track_pins(series, legs), "fogg")
+    place = lambda p: F.concat_ws(":", p["key"], p["class"], F.when(p["plotted"], "drawn").otherwise(F.coalesce(p["reason"], F.lit("off"))), p["on_route"].cast("string"))
+    person = lambda p: F.concat(p["key"], F.lit("="), F.concat_ws("/", p["name"], p["also_printed"]), F.when(p["kind"] == "role", "*").otherwise(""))
+    listed = lambda c, f: F.array_join(F.transform(c, f), ",")
+    return cards.select(
+        "chapter", "title", F.round("focus.lon", 4).alias("focus_lon"), F.get("transport", F.lit(0))["mode"].alias("mode"), listed("places", place).alias("places"), "place_counts.named", "place_counts.plotted",
+        F.coalesce(F.try_element_at("place_counts.by_class", F.lit("here")), F.lit(0)).cast("long").alias("here"), listed("present", person).alias("present"), listed("named_elsewhere", person).alias("elsewhere"),
+        F.col("people_counts.present_roles").cast("int").alias("roles"), listed("tracks", lambda x: F.concat_ws(":", x["track"], F.coalesce(x["leg"].cast("string"), F.lit("-")))).alias("tracks"),
+    )
