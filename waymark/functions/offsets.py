@@ -25,9 +25,9 @@ _SPELLED = "".join(c for c in map(chr, range(0x20000)) if len(unicodedata.normal
 #: Characters that case folding makes several of.
 _FOLDS_LONG = "".join(c for c in map(chr, range(0x20000)) if len(c.casefold()) > 1)
 #: What normalising doesn't keep one for one, the start of a text aside.
+PLAIN_CHUNK = f"(?U)[{_HYPHEN}][{_HYPHEN}{K.DELETED}]++|[{_GAP}]{{2,}}+|[{K.DELETED}]|…[…{K.DELETED}]*+"
 CHUNK = (
-    f"(?U)[{_HYPHEN}][{_HYPHEN}{K.DELETED}]++|[{_GAP}]{{2,}}+|[{K.DELETED}]|…[…{K.DELETED}]*+"
-    f"|[^\\p{{M}}{_GAP}{_HYPHEN}…]?+\\p{{M}}++|[\\x{{AC00}}-\\x{{D7A3}}]?+[\\x{{1100}}-\\x{{11FF}}]++|[{_SPELLED}]"
+    f"{PLAIN_CHUNK}|[^\\p{{M}}{_GAP}{_HYPHEN}…]?+\\p{{M}}++|[\\x{{AC00}}-\\x{{D7A3}}]?+[\\x{{1100}}-\\x{{11FF}}]++|[{_SPELLED}]"
 )
 LEAD = f"(?U)\\A[{_GAP}]++"
 
@@ -42,11 +42,24 @@ def _runs(skips: Column, chunks: Column, changed: Column, new, reach) -> Column:
     return F.zip_with(skips, pairs, entry)
 
 
+def normalized_parts(raw: Column) -> Column:
+    """What the map of ``normalized_runs`` is made of, by regular expressions: kept as a column, that is done once."""
+    body = F.regexp_replace(raw, LEAD, "")
+    # texts in which nothing can be composed, the most by far, need only the first alternatives
+    odd = raw.rlike(K.NOT_NFC)
+    skips = F.when(odd, F.split(body, CHUNK, -1)).otherwise(F.split(body, PLAIN_CHUNK, -1))
+    chunks = F.when(odd, F.regexp_extract_all(body, F.lit(CHUNK), F.lit(0))).otherwise(F.regexp_extract_all(body, F.lit(PLAIN_CHUNK), F.lit(0)))
+    return F.struct((F.length(raw) - F.length(body)).alias("lead"), skips.alias("skips"), chunks.alias("chunks"))
+
+
 def normalized_runs(raw: Column) -> Column:
     """The map from ``text.normalize`` to the raw text."""
-    lead = F.length(raw) - F.length(F.regexp_replace(raw, LEAD, ""))
-    body = F.regexp_replace(raw, LEAD, "")
-    chunks = F.regexp_extract_all(body, F.lit(CHUNK), F.lit(0))
+    return runs_of(normalized_parts(raw))
+
+
+def runs_of(parts: Column) -> Column:
+    """``normalized_runs`` of ``normalized_parts``."""
+    chunks = parts["chunks"]
 
     def new(x: Column, composed: Column) -> Column:
         gap = F.when(x.rlike(r"(?U)\s"), 1).otherwise(0)
@@ -54,8 +67,8 @@ def normalized_runs(raw: Column) -> Column:
         return F.when(x.rlike(f"(?U)^[{_GAP}]"), gap).when(x.rlike(f"^[{_HYPHEN}]"), 1).when(x.startswith("…"), dots).otherwise(F.length(composed))
 
     single = lambda x: F.when(x.rlike(f"(?U)^[{_GAP}{_HYPHEN}]"), 1).otherwise(F.length(x))
-    head = F.array(F.struct(F.lit(0).alias("skip"), lead.alias("old"), F.lit(0).alias("new"), F.lit(0).alias("reach")))
-    return F.concat(head, _runs(F.split(body, CHUNK, -1), chunks, K.nfc_each(chunks), new, single))
+    head = F.array(F.struct(F.lit(0).alias("skip"), parts["lead"].alias("old"), F.lit(0).alias("new"), F.lit(0).alias("reach")))
+    return F.concat(head, _runs(parts["skips"], chunks, K.nfc_each(chunks), new, single))
 
 
 def casefold_runs(norm: Column) -> Column:

@@ -89,13 +89,14 @@ def check_quotes(pairs: DataFrame, quote: str = "quote", text: str = "text") ->
     rows = rows.withColumn("_key", F.when(F.col("_left"), K.casefold(norm))).withColumn("_folded", F.when(F.col("_left"), K.casefold(needle)))
     rows = rows.withColumn("_cased", span(place(F.col("_folded"), F.col("_key")), F.col("_folded"))).withColumn("_elided", F.when(F.col("_left") & F.col("_cased").isNull(), ellipsis_span(norm, needle)))
     rows = rows.withColumn("_unlike", F.col("_left") & F.col("_cased").isNull() & F.col("_elided").isNull())
-    rows = _with_near(rows.withColumn("_wanted", F.when(F.col("_unlike"), needle)))
     rows = rows.withColumn("_cased_norm", F.when(F.col("_cased").isNotNull(), O.span_in(O.casefold_runs(norm), F.col("_cased.start"), F.col("_cased.end"))))
+    rows = rows.withColumn("_parts", F.when(open_ & (needle != ""), O.normalized_parts(raw)))
+    rows = _with_near(rows.withColumn("_wanted", F.when(F.col("_unlike"), needle)))
     ratio = F.when(F.col("_unlike"), F.col("_near.ratio"))
     near = F.when(ratio > 0, F.struct(F.col("_near.start").alias("start"), F.col("_near.end").alias("end")))
     in_norm = F.coalesce("_plain", "_cased_norm", "_elided", near)
     rows = rows.withColumn("_in_norm", in_norm)
-    in_raw = F.coalesce("_exact", F.when(F.col("_in_norm").isNotNull(), O.span_in(O.normalized_runs(raw), F.col("_in_norm.start"), F.col("_in_norm.end"))))
+    in_raw = F.coalesce("_exact", F.when(F.col("_in_norm").isNotNull(), O.span_in(O.runs_of(F.col("_parts")), F.col("_in_norm.start"), F.col("_in_norm.end"))))
     kind = F.when(~open_, "exact").when(F.col("_plain").isNotNull(), "normalised").when(F.col("_cased").isNotNull(), "case_insensitive").when(F.col("_elided").isNotNull(), "ellipsis")
     kind = kind.when(ratio >= NEAR_MISS, "near_miss").otherwise("missing")
     differs = F.col("_cased").isNotNull() | near.isNotNull()
