@@ -1,5 +1,6 @@
 """Small vectors for the functions, and properties against plain Python."""
 
+import random
 import unicodedata
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from waymark.functions import geo
 from waymark.functions import offsets as O
 from waymark.functions import text as K
+from waymark.operators import resolve
 
 quick = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -155,3 +157,19 @@ def test_offset_maps(spark, text):
         assert c in r.own or (c == " " and not r.own.strip()), (c, r)
     whole = rows.select(O.span_in(O.normalized_runs(F.col("t")), F.lit(0), F.lit(n)).alias("s")).first().s
     assert rows.select(K.normalize(F.substring("t", whole.start + 1, whole.end - whole.start)).alias("x")).first().x == norm.n
+
+
+def test_fixed(spark):
+    """The double's exact value is rounded, ties to even, as Python does; Java's formatter rounds what it prints, upward."""
+    rng = random.Random(4)
+    values = [0.845, 8450.0 / 10000, 0.125, 0.375, 1.005, 2.675, -0.845, -0.001, 0.0, -0.0, 0.995, 0.9999, 1e-300, 4503599627370497.5, 1e17, 123456.785]
+    values += [k / 1000 for k in range(0, 3000, 5)] + [rng.uniform(-1, 1) * 10 ** rng.randrange(-4, 12) for _ in range(500)]
+    rows = spark.createDataFrame([(v,) for v in [*values, None]], "v double").select("v", *[K.fixed(F.col("v"), p).alias(f"p{p}") for p in (2, 3)]).collect()
+    assert [(r.p2, r.p3) for r in rows] == [(f"{v:.2f}", f"{v:.3f}") if v is not None else (None, None) for v in (r.v for r in rows)]
+
+
+def test_reasons_round_as_the_sql(spark):
+    row = spark.createDataFrame([(0.845, 1000.5)], "b double, km double")
+    none, yes = F.lit(False), F.lit(True)
+    reasons = lambda c: resolve.reasons_to_check(none, yes, yes, yes, F.col(c), F.lit(2), F.col("km"), F.lit(""))
+    assert list(row.select(reasons("b")).first()[0]) == ["2 candidates, 0.84 confidence", "1,000 km from the route, but the party goes there"]

@@ -278,6 +278,24 @@ def review_status(cell: Column) -> Column:
     return F.when(is_confirmed(cell), "confirmed").when(is_rejected(cell), "rejected").otherwise("unconfirmed")
 
 
+def fixed(value: Column, places: int) -> Column:
+    """A number with so many decimals, as C and Python write it: the double's exact value is rounded, ties to even.
+
+    ``format_string`` rounds the shortest decimal that reads back as the double, ties upward: 0.845, which is a little less,
+    becomes 0.85 there and 0.84 here. What is behind the point is split in two halves, whose products are exact.
+    """
+    scale, y = 10**places, F.abs(value)
+    whole = F.floor(y)
+    part = y - whole
+    far = part * 134217729.0
+    high = far - (far - part)
+    n = F.floor(part * scale)
+    over = (high * scale - n - 0.5) + (part - high) * scale
+    up = n + F.when((over > 0) | (over == 0) & (n % 2 == 1), 1).otherwise(0)
+    written = F.format_string(f"%d.%0{places}d", whole + F.when(up == scale, 1).otherwise(0), up % scale)
+    return F.when((y > 0) & (y < 2.0**62), F.concat(F.when(value < 0, "-").otherwise(""), written)).when(value.isNotNull(), F.format_string(f"%.{places}f", value))
+
+
 @F.pandas_udf(T.DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity 0 to 100 by insertions and deletions: 200 * longest common subsequence / total length.

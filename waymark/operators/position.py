@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.functions import text as K
 from waymark.functions.lineage import kept
 
 # Fixed values.
@@ -293,7 +294,7 @@ def series_rows(series: DataFrame) -> DataFrame:
     """The series as review rows, all strings: key "NN:track", three decimals, evidence cut at 160 characters."""
     return series.select(
         F.format_string("%02d:%s", "chapter", "track").alias("key"), F.col("chapter").cast("string").alias("chapter"), "track", F.coalesce(F.col("leg").cast("string"), F.lit("")).alias("leg"),
-        F.when(F.col("along").isNull(), "").otherwise(F.format_string("%.3f", "along")).alias("along"), F.coalesce("place", F.lit("")).alias("place_name_in_text"), "source",
+        F.when(F.col("along").isNull(), "").otherwise(K.fixed(F.col("along"), 3)).alias("along"), F.coalesce("place", F.lit("")).alias("place_name_in_text"), "source",
         F.coalesce(F.col("stated_at").cast("string"), F.lit("")).alias("stated_at_chapter"), F.array_join("flags", ";").alias("flags"), F.substring(F.coalesce("evidence", F.lit("")), 1, 160).alias("evidence"),
     )
 

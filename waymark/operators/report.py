@@ -45,7 +45,7 @@ def count_blocking(checks: DataFrame, strict: bool) -> DataFrame:
 def markdown_items(checks: DataFrame, chapter: str = "number", path: str = "path") -> DataFrame:
     """``chapter, item``: a Markdown item for every verdict that didn't pass; the closest text where it is close enough."""
     head = F.format_string("- **chapter %02d** `%s` %s: %s", F.col(chapter), F.col(path), F.col("kind"), F.regexp_replace("quote", r"\s+", " "))
-    close = F.when(F.col("ratio").between(SHOW_CLOSEST, 0.9999) & F.col("closest").isNotNull(), F.format_string("\n  closest (%.2f): %s", "ratio", F.regexp_replace("closest", r"\s+", " ")))
+    close = F.when(F.col("ratio").between(SHOW_CLOSEST, 0.9999) & F.col("closest").isNotNull(), F.format_string("\n  closest (%s): %s", K.fixed(F.col("ratio"), 2), F.regexp_replace("closest", r"\s+", " ")))
     return checks.filter(~F.col("kind").isin(*PASSING)).select(F.col(chapter).alias("chapter"), F.concat(head, F.coalesce(close, F.lit(""))).alias("item"))
 
 
@@ -131,6 +131,6 @@ def positions_log(series: DataFrame, tracks: Sequence[str]) -> DataFrame:
     """``chapter, line``: where each track is in each chapter, tracks in the given order; a dash where it is nowhere."""
     since = F.when(F.col("source") == "carried", F.format_string("carried from %02d", "stated_at"))
     where = F.concat_ws(" ", F.nullif("place", F.lit("")), F.when(F.coalesce("place", F.lit("")) != "", F.concat(F.lit("("), since, F.lit(")"))).otherwise(since))
-    cell = F.when(F.col("leg").isNull(), F.concat("track", F.lit(" —"))).otherwise(F.rtrim(F.concat("track", F.format_string(" leg %d@%.2f ", "leg", "along"), where)))
+    cell = F.when(F.col("leg").isNull(), F.concat("track", F.lit(" —"))).otherwise(F.rtrim(F.concat("track", F.format_string(" leg %d@%s ", "leg", K.fixed(F.col("along"), 2)), where)))
     cells = series.groupBy("chapter").pivot("track", list(tracks)).agg(F.first(cell))
     return cells.select("chapter", F.concat(F.format_string("ch %02d   ", "chapter"), F.concat_ws("   ", *[F.coalesce(F.col(f"`{t}`"), F.lit(f"{t} —")) for t in tracks])).alias("line"))

@@ -83,7 +83,7 @@ def resolve(places: DataFrame, candidates: DataFrame, anchors: DataFrame, key: s
     pairs = pairs.withColumn("gate", is_place(F.col("type_id")).cast("double")).withColumn("prominence", prominence(F.col("sitelinks"))).withColumn("_name", F.col("name"))
     best = best_candidate(pairs.drop("name").withColumnRenamed("name_score", "name"), [key])
     best = best.select(key, "qid", "label", "lat", "lon", "confidence")
-    why = F.when(F.col("qid").isNull(), "no candidate").otherwise(F.format_string("%s, confidence %.2f", "label", "confidence"))
+    why = F.when(F.col("qid").isNull(), "no candidate").otherwise(F.format_string("%s, confidence %s", "label", K.fixed(F.col("confidence"), 2)))
     return places.join(best, key, "left").withColumn("why", why)
 
 
@@ -91,9 +91,9 @@ def reasons_to_check(confirmed: Column, positional: Column, queried: Column, res
     """Why a person should look at a place: an array, in order; empty for what is confirmed."""
     when = lambda c, text: F.when(c, text)
     reasons = F.array_compact(F.array(
-        when(confidence < LOW, F.format_string("low confidence (%.2f)", confidence)),
-        when((confidence >= LOW) & (candidates > 1) & (confidence < CONTESTED), F.format_string("%d candidates, %.2f confidence", candidates, confidence)),
-        when(positional & (km > FAR_KM), F.format_string("%,.0f km from the route, but the party goes there", km)),
+        when(confidence < LOW, F.concat(F.lit("low confidence ("), K.fixed(confidence, 2), F.lit(")"))),
+        when((confidence >= LOW) & (candidates > 1) & (confidence < CONTESTED), F.format_string("%d candidates, %s confidence", candidates, K.fixed(confidence, 2))),
+        when(positional & (km > FAR_KM), F.format_string("%,.0f km from the route, but the party goes there", F.rint(km))),
         when(renamed != "", F.concat(F.lit("reported as renamed to "), renamed)),
     ))
     none = F.array().cast("array<string>")
