@@ -120,6 +120,27 @@ def test_resolve(spark):
     assert got["bombay"].qid == "Q1156" and got["bombay"].confidence > 0.5 and got["atlantis"].why == "no candidate"
 
 
+def test_resolve_by_group(spark):
+    """Places that share their candidates get what each gets with candidates of its own; hints, and repeated names."""
+    places = spark.createDataFrame([(str(k), k % 2, ["Bombay", "Suez", "bombay "][k % 3], "Aden" if k == 5 else None) for k in range(12)] + [("x", 7, "Suez", None), ("y", None, "Suez", None)], "key string, g int, name string, hint string")
+    rows = [(k % 2, f"Q{k}", ["Bombay", "Suez", "Sues", "Aden", None][k % 5], ["", "Bombai | Suez", None][k % 3], float(k), float(k), "Q5" if k == 4 else None, k) for k in range(9)]
+    shared = spark.createDataFrame(rows, "g int, qid string, label string, aliases string, lat double, lon double, type_id string, sitelinks int")
+    anchors = spark.createDataFrame([(1.0, 2.0)], "lat double, lon double")
+    got = resolve.resolve(places, shared, anchors, by="g").select("key", "qid", "confidence", "why").collect()
+    own = resolve.resolve(places, places.select("key", "g").join(shared, "g").drop("g"), anchors).select("key", "qid", "confidence", "why").collect()
+    assert sorted(got, key=str) == sorted(own, key=str) and len(got) == 14
+
+
+@pytest.mark.parametrize(("places", "candidates", "pairs"), [(1024, 4096, 1 << 21), (2, 3, 4)])
+def test_pairs_in_cells(spark, monkeypatch, places, candidates, pairs):
+    for name, value in (("PLACES", places), ("CANDIDATES", candidates), ("PAIRS", pairs)):
+        monkeypatch.setattr(resolve, name, value)
+    a = spark.createDataFrame([(k, k % 3) for k in range(20)] + [(90, None), (91, 8)], "k int, g int")
+    b = spark.createDataFrame([(k, k % 4) for k in range(15)] + [(90, None), (91, 9), (3, 3)], "c int, g int")
+    got = sorted(tuple(r) for r in resolve.pairs_in_cells(a, b, "g", "k").select("k", "g", "c").collect())
+    assert got == sorted(tuple(r) for r in a.join(b, "g").select("k", "g", "c").collect())
+
+
 def test_review(spark):
     old = spark.createDataFrame([("a", "x", "y", "mine"), ("z", "", "", "")], "key string, name string, confirmed string, note string")
     new = spark.createDataFrame([("a", "n", "", ""), ("b", "m", "", "")], "key string, name string, confirmed string, note string")

@@ -305,12 +305,34 @@ def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _indel(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-def _indel(a: str, b: str) -> float:
-    if not a and not b:
-        return 100.0
+@F.pandas_udf(T.DoubleType())
+def best_ratio(name: pd.Series, spellings: pd.Series) -> pd.Series:
+    """The best ``indel_ratio`` of a name and any of some spellings, which are one string with NULs between."""
+    places, split = {}, {}
+    out = []
+    for a, b in zip(name, spellings, strict=True):
+        if a is None or b is None:
+            out.append(None)
+            continue
+        if a not in places:
+            places[a] = _places(a)
+        if b not in split:
+            split[b] = b.split("\0")
+        out.append(max([_indel(a, x, places[a]) for x in split[b]]))
+    return pd.Series(out, dtype="float64")
+
+
+def _places(a: str) -> dict[str, int]:
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
+    return places
+
+
+def _indel(a: str, b: str, places: dict[str, int] | None = None) -> float:
+    if not a and not b:
+        return 100.0
+    places = _places(a) if places is None else places
     full = (1 << len(a)) - 1
     v = full
     for c in b:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo
 from waymark.functions import text as K
+from waymark.functions.lineage import kept
 
 # Fixed values.
 HALF_LIFE_KM = 500.0
 NOT_A_PLACE = ("Q5", "Q11424", "Q7725634", "Q571", "Q4830453", "Q476028", "Q215380", "Q11446", "Q2235308")
 LOW, CONTESTED, FAR_KM = 0.7, 0.85, 1000.0
+#: Sides of the cells that pairs are made in, and pairs of a task.
+PLACES, CANDIDATES, PAIRS = 1024, 4096, 1 << 21
 
 
 def merge_candidates(rows: DataFrame, by: Sequence[str] = ("qid",), seq: str = "seq", alias: str = "alias", type_id: str = "type_id") -> DataFrame:
@@ -46,45 +50,85 @@ def prominence(sitelinks: Column) -> Column:
     return F.least(F.lit(1.0), F.log10(F.lit(1.0) + F.greatest(F.coalesce(sitelinks, F.lit(0)), F.lit(0))) / 2.5)
 
 
+def _spellings(labels: Column) -> Column:
+    """The match keys of an array of spellings, each once, in one string; null if there is none."""
+    keys = F.array_distinct(F.transform(K.nfc_each(F.array_compact(labels)), lambda x: K.match_key(x, nfc=False)))
+    return F.when(F.size(keys) > 0, F.array_join(keys, "\u0000"))
+
+
+def _score(key: Column, spellings: Column) -> Column:
+    ratio = K.best_ratio(key, spellings)
+    # only equal keys have a ratio of 100
+    return name_score(F.coalesce(ratio, F.lit(0.0)), F.coalesce(ratio == 100, F.lit(False)))
+
+
 def score_names(pairs: DataFrame, name: str = "name", labels: str = "labels") -> DataFrame:
-    """``pairs`` with ``name_score`` of a name against an array of spellings; only inexact ones reach the ratio."""
-    key = K.match_key(F.col(name))
-    exact = F.array_contains(F.transform(K.nfc_each(F.col(labels)), lambda x: K.match_key(x, nfc=False)), key)
-    rows = pairs.withColumn("_exact", exact).withColumn("_id", F.monotonically_increasing_id())
-    each = rows.filter(~F.col("_exact")).select("*", F.explode(labels).alias("_label"))
-    ratio = each.withColumn("_r", K.indel_ratio(key, K.match_key(F.col("_label")))).groupBy("_id").agg(F.max("_r").alias("_ratio"))
-    return rows.join(ratio, "_id", "left").withColumn("name_score", name_score(F.coalesce("_ratio", F.lit(0.0)), F.col("_exact"))).drop("_id", "_exact", "_ratio")
+    """``pairs`` with ``name_score`` of a name against an array of spellings."""
+    return pairs.withColumn("name_score", _score(K.match_key(F.col(name)), _spellings(F.col(labels))))
 
 
-def best_candidate(scored: DataFrame, by: Sequence[str], qid: str = "qid") -> DataFrame:
+def best_candidate(scored: DataFrame, by: Sequence[str], qid: str = "qid", rounded: Callable[[Column], Column] = lambda x: F.bround(x, 2)) -> DataFrame:
     """The best candidate of each group by ``gate, name, route, prominence``, ties to the largest id, with ``confidence``.
 
-    Confidence: a weighted score, lowered where the runner-up is close; 0 where the best is no place.
+    Confidence: a weighted score, lowered where the runner-up is close; 0 where the best is no place. Only the first two
+    of a group count: every task keeps those alone of what it has, and nothing else is shuffled.
     """
     order = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in ("gate", "name", "route", "prominence", qid)])
-    ranked = scored.withColumn("_rank", F.row_number().over(order)).withColumn("_name", F.lead("name").over(order)).withColumn("_route", F.lead("route").over(order))
+    first = scored.withColumn("_rank", F.row_number().over(order)).filter("_rank <= 2")
+    ranked = first.withColumn("_name", F.lead("name").over(order)).withColumn("_route", F.lead("route").over(order))
     margin = F.when(F.col("_name").isNull(), 1.0).otherwise((F.col("name") - F.col("_name")) + 0.5 * (F.col("route") - F.col("_route")))
     base = 0.70 * F.col("name") + 0.20 * F.col("route") + 0.10 * F.col("prominence")
     sure = base * (0.55 + 0.45 * F.least(F.lit(1.0), 4 * F.greatest(F.lit(0.0), margin)))
-    confidence = F.when(F.col("gate") == 0, 0.0).otherwise(F.bround(F.least(F.lit(1.0), F.greatest(F.lit(0.0), sure)), 2))
+    confidence = F.when(F.col("gate") == 0, 0.0).otherwise(rounded(F.least(F.lit(1.0), F.greatest(F.lit(0.0), sure))))
     return ranked.filter("_rank = 1").withColumn("confidence", confidence).drop("_rank", "_name", "_route")
 
 
-def resolve(places: DataFrame, candidates: DataFrame, anchors: DataFrame, key: str = "key") -> DataFrame:
+def pairs_in_cells(places: DataFrame, candidates: DataFrame, by: str, key: str) -> DataFrame:
+    """Every place with every candidate of the same ``by``, made in cells of at most about ``PLACES`` by ``CANDIDATES``.
+
+    A ``by`` that very many share is in many cells, and a task has some ``PAIRS`` pairs, so what it sorts or counts fits its
+    memory. Pairs of a place follow one another, places in order of ``key``. Only the rows of both sides are shuffled.
+    """
+    spark = places.sparkSession
+    many = places.groupBy(by).agg(F.count("*").alias("_n")).join(candidates.groupBy(by).agg(F.count("*").alias("_m")), by)
+    sizes = kept(many.select(by, "_n", "_m", F.ceil(F.col("_n") / PLACES).cast("int").alias("_p"), F.ceil(F.col("_m") / CANDIDATES).cast("int").alias("_c")))
+    total = sizes.agg(F.sum(F.col("_n") * F.col("_m"))).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / PAIRS))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = places.join(sizes, by).withColumn("_i", F.pmod(F.xxhash64(key), F.col("_p")).cast("int")).withColumn("_j", upto("_c"))
+    theirs = candidates.join(sizes, by).withColumn("_j", F.pmod(F.xxhash64(*candidates.columns), F.col("_c")).cast("int")).withColumn("_i", upto("_p"))
+    cell, size = [by, "_i", "_j"], ["_n", "_m", "_p", "_c"]
+    own = own.drop(*size).repartition(parts, *cell).sortWithinPartitions(key)
+    theirs = theirs.drop(*size).repartition(parts, *cell)
+    return own.join(theirs.hint("shuffle_hash"), cell).drop("_i", "_j")
+
+
+def resolve(places: DataFrame, candidates: DataFrame, anchors: DataFrame, key: str = "key", by: str | None = None) -> DataFrame:
     """Each place (``key, name, hint``) with its best candidate's columns and a ``why``; without candidates, nulls.
 
-    ``candidates``: ``key, qid, label, aliases, lat, lon, type_id, sitelinks``. ``anchors``: ``lat, lon``, few: they are
-    the located stops of one route, and come as one array.
+    ``candidates``: ``key, qid, label, aliases, lat, lon, type_id, sitelinks``; with ``by``, a column that places and
+    candidates have, instead of the key: places that share it have the same candidates. ``anchors``: ``lat, lon``, few: they
+    are the located stops of one route, and come as one array.
+
+    What a candidate is worth is made once for each of them, and a name among the same candidates is resolved once, however
+    many places have it.
     """
+    by = by or key
     near = anchors.agg(F.collect_list(F.array("lat", "lon")).alias("_near"))
-    pairs = places.select(key, F.coalesce(F.nullif("hint", F.lit("")), "name").alias("name")).join(candidates, key)
-    pairs = pairs.withColumn("labels", F.concat(F.array("label"), F.filter(F.split(F.coalesce("aliases", F.lit("")), r" \| "), lambda x: x != "")))
-    pairs = score_names(pairs).join(F.broadcast(near)).withColumn("route", route_score(geo.nearest_km(F.col("lat"), F.col("lon"), F.col("_near"))))
-    pairs = pairs.withColumn("gate", is_place(F.col("type_id")).cast("double")).withColumn("prominence", prominence(F.col("sitelinks"))).withColumn("_name", F.col("name"))
-    best = best_candidate(pairs.drop("name").withColumnRenamed("name_score", "name"), [key])
-    best = best.select(key, "qid", "label", "lat", "lon", "confidence")
+    own = candidates.join(F.broadcast(near)).withColumn("labels", F.concat(F.array("label"), F.filter(F.split(F.coalesce("aliases", F.lit("")), r" \| "), lambda x: x != "")))
+    own = own.withColumn("route", route_score(geo.nearest_km(F.col("lat"), F.col("lon"), F.col("_near")))).withColumn("gate", is_place(F.col("type_id")).cast("double"))
+    own = own.select(F.col(by).alias("_by"), F.monotonically_increasing_id().alias("_candidate"), "qid", "label", "lat", "lon", "gate", "route", prominence(F.col("sitelinks")).alias("prominence"), _spellings(F.col("labels")).alias("_spellings"))
+    own = kept(own)
+    wanted_name = F.coalesce(F.nullif("hint", F.lit("")), "name")
+    names = places.select(F.col(by).alias("_by"), wanted_name.alias("_wanted")).filter("_by is not null").distinct()
+    names = kept(names.select("_by", "_wanted", F.monotonically_increasing_id().alias("_place"), K.match_key(F.col("_wanted")).alias("_key")))
+    pairs = pairs_in_cells(names.select("_by", "_place", "_key"), own.select("_by", "_candidate", "qid", "gate", "route", "prominence", "_spellings"), "_by", "_place")
+    scored = pairs.withColumn("name", _score(F.col("_key"), F.col("_spellings"))).drop("_by", "_key", "_spellings")
+    best = best_candidate(scored, ["_place"]).select("_place", "_candidate", "confidence")
+    best = best.join(own.select("_candidate", "qid", "label", "lat", "lon"), "_candidate").join(names.drop("_key"), "_place").drop("_candidate", "_place")
+    same = (places[by] == F.col("_by")) & wanted_name.eqNullSafe(F.col("_wanted"))
     why = F.when(F.col("qid").isNull(), "no candidate").otherwise(F.format_string("%s, confidence %s", "label", K.fixed(F.col("confidence"), 2)))
-    return places.join(best, key, "left").withColumn("why", why)
+    return places.join(best, same, "left").drop("_by", "_wanted").withColumn("why", why)
 
 
 def reasons_to_check(confirmed: Column, positional: Column, queried: Column, resolved: Column, confidence: Column, candidates: Column, km: Column, renamed: Column) -> Column:
