@@ -74,6 +74,21 @@ def test_summaries_are_small():
     assert len(steps) == 1 and len(steps[0]["moves"]) == len(cells.members)
 
 
+def test_groups_across_batches(spark):
+    """Groups that go on in the next batch are one group, and many of them are one batch: none is a data frame of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        rows = spark.range(50).selectExpr("cast(id % 4 as string) track", "id div 20 block", "id chapter")
+        given = P._in_runs(rows, ["track", "block"], "chapter", lambda own: [(own[0]["track"], own[0]["block"], [r["chapter"] for r in own])], "track string, block long, chapters array<long>")
+        got = {(r.track, r.block): r.chapters for r in given.collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert got == {(str(t), b): [i for i in range(50) if i % 4 == t and i // 20 == b] for t in range(4) for b in range(3)}
+    assert "FlatMapGroupsInPandas" not in given._jdf.queryExecution().executedPlan().toString()
+
+
 def test_states_of_many_rows(spark):
     """One key has nearly all rows, spread over many ranges; a null key and ids over 2 ** 53 are as good as others."""
     rng = random.Random(9)

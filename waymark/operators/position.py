@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import bisect
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from waymark.functions import text as K
 from waymark.functions.lineage import kept
@@ -115,6 +118,10 @@ def _chapter(route: Route, rows: list[dict], visited: list[dict], held: Point |
 
 #: Chapters of a track that one task folds.
 BLOCK = 4096
+#: Chapters whose moves a task remembers.
+KNOWN = 1 << 14
+#: Rows of a batch that a task gives.
+GIVEN = 4096
 #: Two places within a leg: what only compares the carried point with stops does the same at both.
 _WITHIN = (0.137, 0.731)
 
@@ -142,9 +149,15 @@ def _after(route: Route, rows: list[dict], there: list[dict], held: Point | None
     return found["point"] if found else held
 
 
-def _moves(route: Route, cells: Cells, rows: list[dict], there: list[dict]) -> list[list] | None:
-    """What a chapter does to each cell: ``[]`` keeps it, ``[point]`` moves it there; null if it reckons with the point."""
-    out = []
+def _moves(route: Route, cells: Cells, rows: list[dict], there: list[dict], known: dict | None = None) -> list[list] | None:
+    """What a chapter does to each cell: ``[]`` keeps it, ``[point]`` moves it there; null if it reckons with the point.
+
+    ``known`` holds what was found for the same names before.
+    """
+    same = (tuple((r["at"], r["start"], r["end"]) for r in rows), tuple((v["role"], v["key"]) for v in there))
+    if known is not None and same in known:
+        return known[same]
+    out: list[list] | None = []
     for members in cells.members:
         after = [_after(route, rows, there, m) for m in members]
         if all(a is m for a, m in zip(after, members, strict=True)):
@@ -152,11 +165,16 @@ def _moves(route: Route, cells: Cells, rows: list[dict], there: list[dict]) -> l
         elif all(a == after[0] for a in after):
             out.append([after[0]])
         else:
-            return None
+            out = None
+            break
+    if known is not None:
+        if len(known) >= KNOWN:
+            known.clear()
+        known[same] = out
     return out
 
 
-def _summary(route: Route, cells: Cells, chapters: list[tuple[list[dict], list[dict]]]) -> list[dict]:
+def _summary(route: Route, cells: Cells, chapters: list[tuple[list[dict], list[dict]]], known: dict | None = None) -> list[dict]:
     """A block as steps from the point carried in to the one carried out.
 
     Chapters that only compare become one map of the cells, however many they are; a chapter that reckons with the carried
@@ -166,7 +184,7 @@ def _summary(route: Route, cells: Cells, chapters: list[tuple[list[dict], list[d
     steps: list[dict] = []
     moves: list[list] = [[] for _ in cells.members]
     for n, (rows, there) in enumerate(chapters):
-        own = _moves(route, cells, rows, there) if rows else [[] for _ in cells.members]
+        own = _moves(route, cells, rows, there, known) if rows else [[] for _ in cells.members]
         if own is None:
             steps += [{"moves": moves}, {"rows": rows, "there": there}]
             moves = [[] for _ in cells.members]
@@ -190,8 +208,39 @@ def _through(route: Route, cells: Cells, steps: list[dict], held: Point | None)
     return held
 
 
-def _dicts(rows) -> list[dict]:
-    return [x if isinstance(x, dict) else x.asDict() for x in (rows if rows is not None else [])]
+def _grouped(batches: Iterator[pa.RecordBatch], by: Sequence[str]) -> Iterator[list[dict]]:
+    """The rows of each group, where a group's rows follow one another, also from batch to batch."""
+    own: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if own and any(own[0][c] != row[c] for c in by):
+                yield own
+                own = []
+            own.append(row)
+    if own:
+        yield own
+
+
+def _in_runs(rows: DataFrame, by: Sequence[str], order: str, run: Callable[[list[dict]], Iterable[tuple]], schema: str) -> DataFrame:
+    """``run`` over the rows of each group in order, many groups a batch: no group costs a data frame of its own."""
+    fields = T.StructType.fromDDL(schema)
+    kinds = to_arrow_schema(fields)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for own in _grouped(batches, by):
+            out += run(own)
+            if len(out) >= GIVEN:
+                yield _batch(out, kinds)
+                out = []
+        if out:
+            yield _batch(out, kinds)
+
+    return rows.repartition(*by).sortWithinPartitions(*by, order).mapInArrow(groups, fields)
+
+
+def _batch(rows: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
 
 
 def resolve_positions(on_stage: DataFrame, visited: DataFrame, chapters: DataFrame, tracks: DataFrame, route: Route, block: int = BLOCK) -> DataFrame:
@@ -207,44 +256,42 @@ def resolve_positions(on_stage: DataFrame, visited: DataFrame, chapters: DataFra
     item = F.struct("seq", *[c for c in on_stage.columns if c not in ("chapter", "seq", "track")])
     mine = on_stage.groupBy("track", "chapter").agg(F.sort_array(F.collect_list(item)).alias("rows"))
     seen = visited.groupBy("chapter").agg(F.sort_array(F.collect_list(F.struct("seq", "key", "name", "role", "evidence"))).alias("visited"))
-    every = chapters.select("chapter").crossJoin(F.broadcast(tracks.select("track")))
-    grid = every.join(mine, ["track", "chapter"], "left").join(seen, "chapter", "left").withColumn("block", F.floor(F.col("chapter") / block))
+    every = tracks.select("track").crossJoin(F.broadcast(chapters.select("chapter")))
+    number = F.floor(F.col("chapter") / block).alias("block")
+    grid = every.join(mine, ["track", "chapter"], "left").join(seen, "chapter", "left").select("*", number)
+    blocks = chapters.select(number).distinct()
     cells = Cells(route)
 
-    def summarise(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("chapter")
-        steps = _summary(route, cells, [(_dicts(r), _dicts(v)) for r, v in zip(rows["rows"], rows["visited"], strict=True)])
-        return pd.DataFrame({"track": [rows["track"].iloc[0]], "block": [rows["block"].iloc[0]], "steps": [json.dumps(steps, default=int)]})
-
-    def enter(group: pd.DataFrame) -> pd.DataFrame:
-        held, out = None, []
-        for r in group.sort_values("block").itertuples():
-            out.append((r.track, r.block, json.dumps(held)))
-            held = _through(route, cells, json.loads(r.steps), held)
-        return pd.DataFrame(out, columns=["track", "block", "entered"])
-
-    # a block of chapters in which a track isn't on stage changes nothing, and needs no summary
-    entered = grid.filter("rows is not null").groupBy("track", "block").applyInPandas(summarise, "track string, block long, steps string")
-    entered = grid.select("track", "block").distinct().join(entered, ["track", "block"], "left").withColumn("steps", F.coalesce("steps", F.lit("[]")))
-    entered = entered.groupBy("track").applyInPandas(enter, "track string, block long, entered string")
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        start = json.loads(group["entered"].iloc[0])
-        held, since, out = start and (int(start[0]), float(start[1])), None, []
-        for r in group.sort_values("chapter").itertuples():
-            rows = _dicts(r.rows)
-            found = _chapter(route, rows, _dicts(r.visited), held)
+    def summarise(known: dict | None, group: list[dict]) -> list[tuple]:
+        steps = _summary(route, cells, [(r["rows"] or [], r["visited"] or []) for r in group], known)
+        return [(group[0]["track"], group[0]["block"], json.dumps(steps, default=int))]
+
+    def enter(group: list[dict]) -> Iterator[tuple]:
+        held = None
+        for r in group:
+            yield r["track"], r["block"], json.dumps(held)
+            held = _through(route, cells, json.loads(r["steps"]), held)
+
+    def fold(group: list[dict]) -> Iterator[tuple]:
+        start = json.loads(group[0]["entered"])
+        held, since = start and (int(start[0]), float(start[1])), None
+        for r in group:
+            rows = r["rows"] or []
+            found = _chapter(route, rows, r["visited"] or [], held)
             if found is None:
                 flags = ["on_stage_unplaced"] if rows and held else []
                 found = {"point": held, "source": "carried" if held else "unknown", "place": None, "flags": flags, "evidence": None}
             if found["source"] in ("stated", "inferred"):
-                since = int(r.chapter)
+                since = r["chapter"]
             held = found["point"]
-            out.append((r.track, int(r.chapter), held and held[0], held and float(held[1]), found["source"], found["place"], since if held else None, found["flags"], found["evidence"], r.block))
-        frame = pd.DataFrame(out, columns=["track", "chapter", "leg", "along", "source", "place", "stated_at", "flags", "evidence", "block"])
-        return frame.astype({"leg": "Int32", "stated_at": "Int32"})
-
-    folded = kept(grid.join(entered, ["track", "block"]).groupBy("track", "block").applyInPandas(fold, SERIES + ", block long"))
+            yield r["track"], r["chapter"], held and held[0], held and float(held[1]), found["source"], found["place"], since if held else None, found["flags"], found["evidence"], r["block"]
+
+    # a block of chapters in which a track isn't on stage changes nothing, and what the last block does nobody needs
+    passed = grid.filter("rows is not null").join(F.broadcast(blocks.agg(F.max("block").alias("_end"))), F.col("block") < F.col("_end")).drop("_end")
+    entered = _in_runs(passed, ["track", "block"], "chapter", partial(summarise, None), "track string, block long, steps string")
+    entered = tracks.select("track").distinct().crossJoin(F.broadcast(blocks)).join(entered, ["track", "block"], "left").withColumn("steps", F.coalesce("steps", F.lit("[]")))
+    entered = _in_runs(entered, ["track"], "block", enter, "track string, block long, entered string")
+    folded = kept(_in_runs(grid.join(entered, ["track", "block"]), ["track", "block"], "chapter", fold, SERIES + ", block long"))
     # when a point was last stated: in the block itself, or else in the last one before that has any
     last = folded.groupBy("track", "block").agg(F.max("stated_at").alias("last"))
     before = Window.partitionBy("track").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
