@@ -89,6 +89,17 @@ def test_groups_across_batches(spark):
     assert "FlatMapGroupsInPandas" not in given._jdf.queryExecution().executedPlan().toString()
 
 
+def test_the_same_chapters_are_reckoned_once(monkeypatch):
+    cells, calls, real = P.Cells(ROUTE), [], P._chapter
+    monkeypatch.setattr(P, "_chapter", lambda *a: calls.append(1) or real(*a))
+    on = lambda key: ([{"at": key, "start": None, "end": None, "at_name": key, "start_name": None, "end_name": None, "evidence": None}], [])
+    chapters = [on(k) for k in ["deck", "port"] * 400]
+    plain = P._summary(ROUTE, cells, chapters)
+    calls.clear()
+    assert P._summary(ROUTE, cells, chapters, {}) == plain
+    assert len(calls) <= 2 * sum(len(m) for m in cells.members)
+
+
 def test_states_of_many_rows(spark):
     """One key has nearly all rows, spread over many ranges; a null key and ids over 2 ** 53 are as good as others."""
     rng = random.Random(9)

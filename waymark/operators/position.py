@@ -288,7 +288,7 @@ def resolve_positions(on_stage: DataFrame, visited: DataFrame, chapters: DataFra
 
     # a block of chapters in which a track isn't on stage changes nothing, and what the last block does nobody needs
     passed = grid.filter("rows is not null").join(F.broadcast(blocks.agg(F.max("block").alias("_end"))), F.col("block") < F.col("_end")).drop("_end")
-    entered = _in_runs(passed, ["track", "block"], "chapter", partial(summarise, None), "track string, block long, steps string")
+    entered = _in_runs(passed, ["track", "block"], "chapter", partial(summarise, {}), "track string, block long, steps string")
     entered = tracks.select("track").distinct().crossJoin(F.broadcast(blocks)).join(entered, ["track", "block"], "left").withColumn("steps", F.coalesce("steps", F.lit("[]")))
     entered = _in_runs(entered, ["track"], "block", enter, "track string, block long, entered string")
     folded = kept(_in_runs(grid.join(entered, ["track", "block"]), ["track", "block"], "chapter", fold, SERIES + ", block long"))
