@@ -93,3 +93,23 @@ def test_similar_names(spark, least):
     got = {(r.left_key, r.right_key): r.ratio for r in S.similar_names(df(left), df(right), least=least).collect()}
     want = {(a, b): K._indel(a, b) for a in keys(left) for b in keys(right)}
     assert got == {k: v for k, v in want.items() if v >= least} and len(got) > 40
+
+
+@pytest.mark.parametrize("hot_keys", [1, 3, 1000])
+def test_quantiles_of_hot_keys(spark, monkeypatch, hot_keys):
+    """A key with most rows meets its brackets by broadcast, the others by a shuffle; the result is the same."""
+    monkeypatch.setattr(Q, "MOST", 16)
+    monkeypatch.setattr(Q, "HOT_KEYS", hot_keys)
+    rng = random.Random(8)
+    groups = {"hot": [rng.random() for _ in range(2000)], None: [rng.random() for _ in range(900)], "cold": [rng.random() for _ in range(60)], "one": [3.0]}
+    df = spark.createDataFrame([(g, x) for g, xs in groups.items() for x in xs], "g string, x double").repartition(4)
+    got = {(r.g, r.p): r.value for r in Q.exact_quantiles(df, "x", [0.0, 0.5, 1.0], by="g").collect()}
+    assert got == {(g, p): v for g, xs in groups.items() for p, v in ((0.0, min(xs)), (0.5, statistics.median(xs)), (1.0, max(xs)))}
+
+
+def test_no_task_gets_a_hot_key(spark):
+    """The rows of a hot key aren't shuffled by it."""
+    rows = spark.range(100).selectExpr("id % 2 as key", "id % 2 = 0 as hot", "cast(id as double) v")
+    values = spark.range(2).selectExpr("id as key", "id = 0 as hot", "id as lo")
+    given = Q._attach(rows, values, ["key", "hot"])
+    assert given.count() == 100 and "BroadcastHashJoin" in given._jdf.queryExecution().executedPlan().toString()
