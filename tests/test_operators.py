@@ -320,3 +320,20 @@ def test_lists_of_quotations(spark, monkeypatch):
     monkeypatch.setattr(evidence, "AUTOMATON_BYTES", 20)
     assert sorted(map(tuple, evidence.find_quotes(docs, quotes).collect())) == want == [(1, 1, "exact"), (1, 2, "exact"), (2, 2, "case_insensitive"), (2, 3, "exact")]
     assert evidence.find_quotes(docs, quotes.limit(0)).count() == 0 and evidence.find_near(docs, quotes.limit(0)).count() == 0
+
+
+def test_quotations_come_in_small_batches(spark, monkeypatch):
+    """However many rows a task has, Python gets few at once; ids over 2 ** 53 and null ids stay what they are."""
+    monkeypatch.setattr(evidence, "BATCH_ROWS", 7)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        big = (1 << 53) + 1
+        texts = spark.createDataFrame([(None, "all aboard the steamer")] + [(big + k, f"text {k}: all aboard the steamer") for k in range(40)], "doc_id long, text string")
+        quotes = spark.createDataFrame([(1, "aboard the steamer"), (2, "nowhere at all")], "item_id int, text string")
+        got = evidence.find_quotes(texts, quotes).collect()
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.set(key, old)
+    assert sorted(r.doc_id or 0 for r in got) == [0] + [big + k for k in range(40)] and {(r.item_id, r.kind) for r in got} == {(1, "exact")}

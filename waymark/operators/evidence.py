@@ -9,11 +9,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from waymark.functions import offsets as O
 from waymark.functions import text as K
@@ -28,6 +28,19 @@ KINDS = ("exact", "normalised", "case_insensitive", "ellipsis", "near_miss", "mi
 AUTOMATON_BYTES = 16 << 20
 
 
+#: Rows and bytes of what a Python worker gets at once: texts may be long, and a row has several keys of its text.
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of a session: a worker's memory then doesn't grow with the rows that a task has."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).removesuffix("b")
+        size = int(now) if now.lstrip("-").isdigit() else 0
+        if not 0 < size <= most:
+            spark.conf.set(key, str(most))
+
+
 def ellipsis_span(norm: Column, needle: Column) -> Column:
     """Where an elided quotation is, ``(start, end)`` from 0, if all its fragments follow one another; else null."""
     fragments = F.filter(F.split(needle, r"\s*\.\.\.\s*"), lambda f: F.length(f) >= LEAST_FRAGMENT)
@@ -122,13 +135,14 @@ def find_quotes(texts: DataFrame, quotes: DataFrame, text_id: str = "doc_id", qu
     is, as many as fit one automaton; texts are read once per list, and each list's findings but the last's are kept in
     the folder of ``spark.checkpoint.dir``.
     """
+    small_batches(texts.sparkSession)
     keys = quotes.select(F.col(quote_id).alias("id"), F.col("text").alias("raw"), K.normalize(F.col("text")).alias("norm"))
     keys = keys.withColumn("key", K.casefold(F.col("norm"))).withColumn("bare", K.strip_edge_quotes(F.col("norm")))
     rows = texts.select(F.col(text_id).alias("id"), F.col(text).alias("raw"), K.normalize(F.col(text)).alias("norm")).withColumn("key", K.casefold(F.col("norm")))
     kind = dict(quotes.dtypes)[quote_id]
 
     def finder(own: list[tuple]):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import ahocorasick
 
             # what is looked for, by the column that it is looked for in, with its rung
@@ -162,8 +176,10 @@ def find_quotes(texts: DataFrame, quotes: DataFrame, text_id: str = "doc_id", qu
                 return True
 
             for batch in batches:
-                out = []
-                for row in batch.itertuples(index=False):
+                out: list[tuple] = []
+                for at in range(batch.num_rows):
+                    # one text at a time, not a batch of them as Python's strings
+                    row = [column[at].as_py() for column in batch.columns]
                     found: dict = {}
                     ends: dict = {}
                     for machine, value in zip(machines, row[1:], strict=False):
@@ -178,18 +194,19 @@ def find_quotes(texts: DataFrame, quotes: DataFrame, text_id: str = "doc_id", qu
                         if i not in found and in_order(elided[i], places):
                             found[i] = len(rungs)
                     out += [(row[0], i, rungs[k][0] if k < len(rungs) else "ellipsis") for i, k in found.items()]
-                yield pd.DataFrame(out, columns=["id", "quote", "kind"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds.types)], schema=kinds)
 
         return run
 
-    schema = f"id {dict(texts.dtypes)[text_id]}, quote {kind}, kind string"
+    schema = T.StructType.fromDDL(f"id {dict(texts.dtypes)[text_id]}, quote {kind}, kind string")
+    kinds = to_arrow_schema(schema)
     out = None
     for own, last in _lists(keys):
-        found = rows.mapInPandas(finder(own), schema)
+        found = rows.mapInArrow(finder(own), schema)
         found = found if last else kept(found)
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = rows.limit(0).mapInPandas(finder([]), schema)
+        out = rows.limit(0).mapInArrow(finder([]), schema)
     return out.select(F.col("id").alias(text_id), F.col("quote").alias(quote_id), "kind")
 
 
