@@ -337,3 +337,16 @@ def test_quotations_come_in_small_batches(spark, monkeypatch):
     finally:
         spark.conf.set(key, old)
     assert sorted(r.doc_id or 0 for r in got) == [0] + [big + k for k in range(40)] and {(r.item_id, r.kind) for r in got} == {(1, "exact")}
+
+
+def test_verdicts_are_counted_in_one_pass(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    found = spark.createDataFrame([("exact",), ("exact",), ("ellipsis",)], "kind string").mapInArrow(passed, "kind string")
+    got = {r.kind: r.n for r in evidence.verdict_counts(found, 10).collect()}
+    assert got == {"exact": 2, "normalised": 0, "case_insensitive": 0, "ellipsis": 1, "missing": 7} and seen.value == 3
