@@ -334,6 +334,9 @@ def test_quotations_come_in_small_batches(spark, monkeypatch):
         quotes = spark.createDataFrame([(1, "aboard the steamer"), (2, "nowhere at all")], "item_id int, text string")
         got = evidence.find_quotes(texts, quotes).collect()
         assert spark.conf.get(key) == "7"
+        spark.conf.set(key, "10000")
+        checks = evidence.check_quotes(texts.withColumn("quote", F.lit("Aboard the steamer")))
+        assert spark.conf.get(key) == "7" and checks.filter("kind = 'case_insensitive'").count() == 41
     finally:
         spark.conf.set(key, old)
     assert sorted(r.doc_id or 0 for r in got) == [0] + [big + k for k in range(40)] and {(r.item_id, r.kind) for r in got} == {(1, "exact")}

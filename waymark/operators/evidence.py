@@ -88,6 +88,7 @@ def check_quotes(pairs: DataFrame, quote: str = "quote", text: str = "text") ->
 
     Each rung's keys are made once, and only for the pairs that no rung before has decided.
     """
+    small_batches(pairs.sparkSession)
     raw, q = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(quote), F.lit(""))
     place = lambda part, whole: F.when(part != "", F.call_function("locate", part, whole) - 1)
     span = lambda at, part: F.when(at >= 0, F.struct(at.alias("start"), (at + F.length(part)).alias("end")))
