@@ -89,6 +89,23 @@ def test_groups_across_batches(spark):
     assert "FlatMapGroupsInPandas" not in given._jdf.queryExecution().executedPlan().toString()
 
 
+def test_groups_after_a_join_by_their_keys(spark):
+    """A join by the same keys that turns out to be a broadcast is read by mappers; a group is whole and in order still."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "64KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(4000, numPartitions=4).selectExpr("cast(id % 40 as string) track", "id div 2000 block", "4000 - id chapter")
+        few = spark.range(100_000).filter("id < 80").selectExpr("cast(id % 40 as string) track", "id div 40 block", "id as entered")
+        given = P._in_runs(rows.join(few, ["track", "block"]), ["track", "block"], "chapter", lambda own: [(own[0]["track"], own[0]["block"], [r["chapter"] for r in own])], "track string, block long, chapters array<long>")
+        got = sorted((r.track, r.block, r.chapters) for r in given.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted((str(t), b, sorted(4000 - i for i in range(4000) if i % 40 == t and i // 2000 == b)) for t in range(40) for b in range(2))
+
+
 def test_the_same_chapters_are_reckoned_once(monkeypatch):
     cells, calls, real = P.Cells(ROUTE), [], P._chapter
     monkeypatch.setattr(P, "_chapter", lambda *a: calls.append(1) or real(*a))

@@ -222,7 +222,12 @@ def _grouped(batches: Iterator[pa.RecordBatch], by: Sequence[str]) -> Iterator[l
 
 
 def _in_runs(rows: DataFrame, by: Sequence[str], order: str, run: Callable[[list[dict]], Iterable[tuple]], schema: str) -> DataFrame:
-    """``run`` over the rows of each group in order, many groups a batch: no group costs a data frame of its own."""
+    """``run`` over the rows of each group in order, many groups a batch: no group costs a data frame of its own.
+
+    The rows are numbered by a window, as that is what Spark has to keep a group in one task for, and in order. A
+    repartition by the same keys as a join below is left out by the planner, and the join may then be read by mappers
+    or in parts, so that a group is in several tasks.
+    """
     fields = T.StructType.fromDDL(schema)
     kinds = to_arrow_schema(fields)
 
@@ -236,7 +241,8 @@ def _in_runs(rows: DataFrame, by: Sequence[str], order: str, run: Callable[[list
         if out:
             yield _batch(out, kinds)
 
-    return rows.repartition(*by).sortWithinPartitions(*by, order).mapInArrow(groups, fields)
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(order))
+    return rows.withColumn("_number", number).mapInArrow(groups, fields)
 
 
 def _batch(rows: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
