@@ -12,7 +12,9 @@ from waymark.functions import text as K
 from waymark.operators import containment as C
 from waymark.operators import nearest as N
 from waymark.operators import quantiles as Q
+from waymark.operators import resolve as R
 from waymark.operators import similar as S
+from waymark.plans import registry
 
 
 def km(a, b):
@@ -113,3 +115,36 @@ def test_no_task_gets_a_hot_key(spark):
     values = spark.range(2).selectExpr("id as key", "id = 0 as hot", "id as lo")
     given = Q._attach(rows, values, ["key", "hot"])
     assert given.count() == 100 and "BroadcastHashJoin" in given._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("cell", [3, 1 << 16])
+def test_two_nearest_on_a_ring(spark, monkeypatch, cell):
+    """Against all pairs: both directions, ties, repeated places, levels with one candidate, groups of one side, many cells."""
+    monkeypatch.setattr(R, "RING_PLACES", cell)
+    monkeypatch.setattr(R, "RING_CANDIDATES", cell)
+    rng = random.Random(11)
+    places = [(rng.randrange(4), k, rng.randrange(-500, 500)) for k in range(60)] + [(0, 60, None), (9, 61, 5)]
+    candidates = [(rng.randrange(4), rng.choice([1, 1, 1, 2]), k, rng.randrange(-500, 500)) for k in range(80)] + [(0, 3, 80, 7), (8, 1, 81, 0), (1, 1, 82, None)]
+    of = [spark.createDataFrame(places, "by int, key long, at long"), spark.createDataFrame(candidates, "by int, level int, qid long, at long")]
+    got = {tuple(r) for r in R.two_nearest_on_ring(*of, ["by"], "key", "qid", 37).collect()}
+    for by, key, at in places:
+        for level in (1, 2, 3):
+            own = [(abs(at - v) % 37, -q) for b, n, q, v in candidates if (b, n) == (by, level) and v is not None] if at is not None else []
+            assert {(key, -q) for _, q in sorted(own)[:2]} <= got
+    assert cell < 100 or len(got) <= 2 * 3 * len(places)
+
+
+def test_leading_levels(spark):
+    rows = [("a", 1.0, 1), ("a", 0.5, 2), ("a", 0.5, 3), ("a", 0.2, 4), ("b", 0.5, 5), ("b", 0.5, 6), ("b", 0.2, 7), ("c", 0.1, 8)]
+    got = {(r.by, r.id): r.level for r in R.leading(spark.createDataFrame(rows, "by string, x double, id int"), ["by"], ["x"]).collect()}
+    assert got == {("a", 1): 1, ("a", 2): 2, ("a", 3): 2, ("b", 5): 1, ("b", 6): 1, ("c", 8): 1}
+
+
+def test_ranking_makes_no_pairs(spark, tmp_path):
+    """Customers and suppliers of one nation that would be 4,000,000 pairs: they are searched in cells, not joined."""
+    spark.range(4000).selectExpr("id as c_custkey", "3L as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1000).selectExpr("id as s_suppkey", "3L as s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = registry.queries()["candidate_ranking"](spark, str(tmp_path))
+    assert len(found.collect()) == 4000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "ShuffledHashJoin" not in plan

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ NOT_A_PLACE = ("Q5", "Q11424", "Q7725634", "Q571", "Q4830453", "Q476028", "Q2153
 LOW, CONTESTED, FAR_KM = 0.7, 0.85, 1000.0
 #: Sides of the cells that pairs are made in, and pairs of a task.
 PLACES, CANDIDATES, PAIRS = 1024, 4096, 1 << 21
+#: Sides of the cells that are searched on a ring.
+RING_PLACES, RING_CANDIDATES = 1 << 16, 1 << 17
 
 
 def merge_candidates(rows: DataFrame, by: Sequence[str] = ("qid",), seq: str = "seq", alias: str = "alias", type_id: str = "type_id") -> DataFrame:
@@ -89,20 +93,101 @@ def pairs_in_cells(places: DataFrame, candidates: DataFrame, by: str, key: str)
     A ``by`` that very many share is in many cells, and a task has some ``PAIRS`` pairs, so what it sorts or counts fits its
     memory. Pairs of a place follow one another, places in order of ``key``. Only the rows of both sides are shuffled.
     """
-    spark = places.sparkSession
-    many = places.groupBy(by).agg(F.count("*").alias("_n")).join(candidates.groupBy(by).agg(F.count("*").alias("_m")), by)
-    sizes = kept(many.select(by, "_n", "_m", F.ceil(F.col("_n") / PLACES).cast("int").alias("_p"), F.ceil(F.col("_m") / CANDIDATES).cast("int").alias("_c")))
+    own, theirs, sizes = _in_cells(places, candidates, [by], key, PLACES, CANDIDATES)
     total = sizes.agg(F.sum(F.col("_n") * F.col("_m"))).first()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / PAIRS))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = places.join(sizes, by).withColumn("_i", F.pmod(F.xxhash64(key), F.col("_p")).cast("int")).withColumn("_j", upto("_c"))
-    theirs = candidates.join(sizes, by).withColumn("_j", F.pmod(F.xxhash64(*candidates.columns), F.col("_c")).cast("int")).withColumn("_i", upto("_p"))
-    cell, size = [by, "_i", "_j"], ["_n", "_m", "_p", "_c"]
-    own = own.drop(*size).repartition(parts, *cell).sortWithinPartitions(key)
-    theirs = theirs.drop(*size).repartition(parts, *cell)
+    parts = max(places.sparkSession.sparkContext.defaultParallelism, math.ceil(total / PAIRS))
+    cell = [by, "_i", "_j"]
+    own = own.repartition(parts, *cell).sortWithinPartitions(key)
+    theirs = theirs.repartition(parts, *cell)
     return own.join(theirs.hint("shuffle_hash"), cell).drop("_i", "_j")
 
 
+def _in_cells(places: DataFrame, candidates: DataFrame, by: Sequence[str], key: str, most: int, most_candidates: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides with the cells (``by, _i, _j``) that they are in, and the sizes of every ``by``."""
+    many = places.groupBy(*by).agg(F.count("*").alias("_n")).join(candidates.groupBy(*by).agg(F.count("*").alias("_m")), [*by])
+    sizes = kept(many.select(*by, "_n", "_m", F.ceil(F.col("_n") / most).cast("int").alias("_p"), F.ceil(F.col("_m") / most_candidates).cast("int").alias("_c")))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = places.join(sizes, [*by]).withColumn("_i", F.pmod(F.xxhash64(key), F.col("_p")).cast("int")).withColumn("_j", upto("_c"))
+    theirs = candidates.join(sizes, [*by]).withColumn("_j", F.pmod(F.xxhash64(*candidates.columns), F.col("_c")).cast("int")).withColumn("_i", upto("_p"))
+    size = ["_n", "_m", "_p", "_c"]
+    return own.drop(*size), theirs.drop(*size), sizes
+
+
+def leading(candidates: DataFrame, by: Sequence[str], levels: Sequence[str], enough: int = 2) -> DataFrame:
+    """The candidates of each ``by`` that can be among its first ``enough`` in order of ``levels``, descending, with ``level``,
+    from 1: those of levels before which there are fewer than ``enough``."""
+    order = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in levels])
+    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = candidates.groupBy(*by, *levels).agg(F.count("*").alias("_n"))
+    wanted = sizes.select(*by, *levels, F.row_number().over(order).alias("level"), before.alias("_before")).filter(F.col("_before") < enough)
+    return candidates.join(wanted.drop("_before"), [*by, *levels])
+
+
+def two_nearest_on_ring(places: DataFrame, candidates: DataFrame, by: Sequence[str], key: str, qid: str, ring: int) -> DataFrame:
+    """``(key, qid)``: of each ``level`` of the candidates (``by, level, qid, at``) at least the two that are nearest to a place
+    (``by, key, at``), by ``abs(at - at) % ring``, ties to the larger ``qid``. All numbers are whole; without ``at``, no row.
+
+    Places and candidates of a ``by`` are in cells, of which each gives its own two. In a cell candidates are in order of
+    ``at``, and those at or before a place are some of 2, 4, 8 ... neighbours; of each of these, in order of the ring,
+    the nearest two are found by bisection, and likewise those after it. So no pairs are made: it takes as long as both
+    sides have rows, by the square of a logarithm.
+    """
+    long = lambda c: F.col(c).cast("long").alias(c)
+    own, theirs, _ = _in_cells(places.filter("at is not null").select(*by, long(key), long("at")), candidates.filter("at is not null").select(*by, "level", long(qid), long("at")), by, key, RING_PLACES, RING_CANDIDATES)
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        here, u = (left.column(c).to_numpy() for c in (key, "at"))
+        level, ids, v = (right.column(c).to_numpy() for c in ("level", qid, "at"))
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for one in np.unique(level) if len(here) else []:
+            at = np.flatnonzero(level == one)
+            for found in nearest_on_ring(u, v[at], ids[at], ring):
+                out.append((here[found >= 0], ids[at][found[found >= 0]]))
+        columns = [np.concatenate([*(x[k] for x in out), np.zeros(0, np.int64)]) for k in (0, 1)]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[key, qid])
+
+    cell = [*by, "_i", "_j"]
+    return own.groupBy(*cell).cogroup(theirs.groupBy(*cell)).applyInArrow(search, f"`{key}` long, `{qid}` long")
+
+
+def nearest_on_ring(u: np.ndarray, v: np.ndarray, ids: np.ndarray, ring: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``u`` the places in ``v`` of the nearest and the next by ``abs(u - v) % ring``, ties to the larger id; -1 if there is none."""
+    best = np.full((2, len(u)), -1, np.int64)
+    far = np.full((2, len(u)), ring, np.int64)
+
+    def offer(rows: np.ndarray, at: np.ndarray) -> None:
+        km = np.abs(u[rows] - v[at]) % ring
+        for k in (0, 1):  # what is displaced as the first is offered as the second
+            old, old_km = best[k, rows], far[k, rows]
+            nearer = (km < old_km) | ((km == old_km) & (ids[at] > ids[old]))
+            best[k, rows], far[k, rows] = np.where(nearer, at, old), np.where(nearer, km, old_km)
+            at, km = np.where(nearer, old, at), np.where(nearer, old_km, km)
+            rows, at, km = rows[at >= 0], at[at >= 0], km[at >= 0]
+
+    def before(u: np.ndarray, v: np.ndarray, side: str) -> None:
+        """Offers the nearest two of each run of neighbours that makes up what lies before."""
+        order = np.lexsort((ids, v))
+        count = np.searchsorted(v[order], u, side)
+        turn, turned = v[order] % ring, u % ring
+        for h in range(len(v).bit_length()):
+            rows = np.flatnonzero(count >> h & 1)
+            if not len(rows):
+                continue
+            run = np.arange(len(v)) >> h
+            own = np.lexsort((ids[order], turn, run))
+            mine = (count[rows] >> h) - 1
+            at = np.searchsorted(run[own] * ring + turn[own], mine * ring + turned[rows], "right") - 1
+            first, last = mine << h, (mine + 1 << h) - 1
+            at = np.where(at < first, last, at)
+            offer(rows, order[own[at]])
+            if h:
+                offer(rows, order[own[np.where(at == first, last, at - 1)]])
+
+    before(u, v, "right")
+    before(-u, -v, "left")
+    return best[0], best[1]
+
+
 def resolve(places: DataFrame, candidates: DataFrame, anchors: DataFrame, key: str = "key", by: str | None = None) -> DataFrame:
     """Each place (``key, name, hint``) with its best candidate's columns and a ``why``; without candidates, nulls.
 
